@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The incremental mode here is a *batch* high-water mark (largest value already copied),
+kept in the state table and applied as a pushed-down predicate on each run; there is no
+event-time watermark, streaming source or stateful streaming operator to rebuild. Late rows
+are handled by the ``lookback`` option of :class:`tidemark.spec.SyncSpec` (re-read below
+the mark, merged idempotently).
+"""
