@@ -85,7 +85,12 @@ class CatalogTable(Store):
                 return
             # Schema replaced on overwrite: the definition changes, so the table is re-created.
             spark.sql(f"DROP TABLE {_quote(self.name)}")
-        spark.sql(f"CREATE TABLE {_quote(self.name)} USING parquet{parts} LOCATION '{path}'")
+        columns = ""
+        if self.partition_by:
+            ordered = [f for f in schema_now.fields if f.name not in self.partition_by] + \
+                      [f for c in self.partition_by for f in schema_now.fields if f.name == c]
+            columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+        spark.sql(f"CREATE TABLE {_quote(self.name)}{columns} USING parquet{parts} LOCATION '{path}'")
         if self.partition_by:
             spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
@@ -141,9 +146,10 @@ class CatalogTable(Store):
         merged = merge_ops.merge_plan(affected, staged, keys)
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
-        ordered = spark.read.parquet(tmp).select(*target.columns)
-        (ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.name))
+        (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(self.location(spark)))
         spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+        spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
 
 @dataclass(frozen=True)
