@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..workspace import shared_root
-from .state import path_exists
+from .state import SIMPLE_ID, path_exists
 
 HISTORY_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -54,6 +54,16 @@ class RunHistory:
             .partitionBy("pipeline_id").parquet(self.path)
 
     def find(self, pipeline_id: str, batch_id: str) -> list[dict]:
+        part = f"{self.path}/pipeline_id={pipeline_id}"
+        if not SIMPLE_ID.match(pipeline_id) or not path_exists(self.spark, part):
+            if not SIMPLE_ID.match(pipeline_id):
+                return self._find_all(pipeline_id, batch_id)
+            return []
+        df = self.spark.read.option("basePath", self.path).schema(HISTORY_SCHEMA).parquet(part)
+        rows = df.where(F.col("batch_id") == batch_id).select("status", "records_synced", "mark_after", "version").collect()
+        return [r.asDict() for r in rows]
+
+    def _find_all(self, pipeline_id: str, batch_id: str) -> list[dict]:
         rows = self.runs(pipeline_id).where(F.col("batch_id") == batch_id) \
             .select("status", "records_synced", "mark_after", "version").collect()
         return [r.asDict() for r in rows]

@@ -10,6 +10,8 @@ and a lookup reads one partition. Column names follow the original ``_watermarks
 
 from __future__ import annotations
 
+import re
+import time
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -62,6 +64,9 @@ VALUE_COLUMN = {
     "string": "watermark_value_string",
 }
 
+# Pipeline ids whose partition folder name needs no escaping.
+SIMPLE_ID = re.compile(r"^[A-Za-z0-9_.\-]+$")
+
 LEGACY_COLUMNS = ("databaseName", "tableName", "wmType", "timestampWm", "bigIntWm", "intWm", "stringWm")
 
 
@@ -101,25 +106,41 @@ class StateStore:
         self.spark = spark
         self.path = (path or f"{shared_root(spark)}/state/{name}").rstrip("/")
 
-    def log(self, pipeline_id: str | None = None) -> DataFrame:
+    def _stored(self, pipeline_id: str | None) -> DataFrame | None:
+        """The stored log (one pipeline: only its partition folder is listed); ``None`` if nothing is stored."""
+        if pipeline_id is not None and SIMPLE_ID.match(pipeline_id):
+            part = f"{self.path}/pipeline_id={pipeline_id}"
+            if not path_exists(self.spark, part):
+                return None
+            return self.spark.read.option("basePath", self.path).schema(STATE_SCHEMA).parquet(part)
         if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], STATE_SCHEMA)
+            return None
         df = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
         return df if pipeline_id is None else df.where(F.col("pipeline_id") == pipeline_id)
 
+    def log(self, pipeline_id: str | None = None) -> DataFrame:
+        """The raw log, one row per state update."""
+        df = self._stored(pipeline_id)
+        return self.spark.createDataFrame([], STATE_SCHEMA) if df is None else df
+
     def current(self, pipeline_id: str | None = None) -> DataFrame:
         """Current state, one row per key (``pipeline_id`` prunes to one partition)."""
         return latest(self.log(pipeline_id))
 
     def _row(self, pipeline_id: str, identity) -> dict | None:
         conn, schema, table = identity
-        df = self.current(pipeline_id).where(
+        stored = self._stored(pipeline_id)
+        if stored is None:
+            return None
+        df = stored.where(
             (F.col("source_connection") == conn) & (F.col("source_schema") == schema) & (F.col("source_table") == table)
         )
         exprs = [F.col(c) for c in ("watermark_type", "watermark_column", "revision", "last_record_count")]
         exprs += [F.col(v) for k, v in VALUE_COLUMN.items() if k != "timestamp"]
         exprs.append(F.unix_micros("watermark_value_timestamp").alias("watermark_value_timestamp"))
-        rows = df.select(*exprs).collect()
+        # Newest revision of one key: a top-1, no shuffle.
+        newest = df.orderBy(F.col("revision").desc(), F.col("last_updated").desc()).limit(1)
+        rows = newest.select(*exprs).collect()
         return rows[0].asDict() if rows else None
 
     def get(self, pipeline_id: str, identity) -> Mark | None:
@@ -133,9 +154,11 @@ class StateStore:
 
     def put(self, pipeline_id: str, identity, column: str, mark: Mark | None, record_count: int,
             batch_id: str = "") -> None:
-        """Append the new state row (typed columns, explicit schema)."""
-        prev = self._row(pipeline_id, identity)
-        revision = (prev["revision"] if prev else 0) + 1
+        """Append the new state row (typed columns, explicit schema).
+
+        ``revision`` is the update time in microseconds: one pipeline updates its own keys
+        one run at a time, so later updates of a key carry larger revisions."""
+        revision = time.time_ns() // 1000
         conn, schema, table = identity
         values = {
             "source_connection": F.lit(conn),

@@ -112,9 +112,11 @@ def sync(
                                 dtype, spec.transforms)
     mark_before = old.text() if old else None
     mark_after = staged.mark.text() if staged.mark else None
-    history.record(run_id=run_id, pipeline_id=spec.pipeline_id, batch_id=batch_id, version=version, status="STAGED",
-                   mode=spec.mode, write_mode=spec.write_mode, records_synced=staged.rows, mark_before=mark_before,
-                   mark_after=mark_after, started_at=started, source_scans=1)
+    if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:
+        # Only a replayed append needs to know what an interrupted attempt staged.
+        history.record(run_id=run_id, pipeline_id=spec.pipeline_id, batch_id=batch_id, version=version,
+                       status="STAGED", mode=spec.mode, write_mode=spec.write_mode, records_synced=staged.rows,
+                       mark_before=mark_before, mark_after=mark_after, started_at=started, source_scans=1)
 
     if staged.rows == 0 and not (spec.mode == "full" and spec.on_empty == "truncate"):
         # Empty batch: no write, no state change; a full overwrite keeps the old target.
