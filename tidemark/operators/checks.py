@@ -49,18 +49,35 @@ def reconcile_rows(source: DataFrame, target: DataFrame, columns: Sequence[str]
 
 
 def reconcile_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keyed comparison: per key, ``missing_in_target``, ``missing_in_source`` or ``changed``."""
+    """Keyed comparison: per key, ``missing_in_target``, ``missing_in_source`` or ``changed``.
+
+    Each side is first reduced to one row per key — row count and an order-independent
+    hash of its rows (map-side partial aggregation) — so the full outer join is 1:1 even when
+    a key repeats or holds a third of all rows: no pairs within a key are ever formed.
+    NULL keys compare as equal (null-safe join).
+    """
     keys = list(keys)
     values = [c for c in source.columns if c not in keys]
-    s = source.select(*keys, F.struct(*values).alias("_src"))
-    t = target.select(*keys, F.struct(*values).alias("_tgt"))
-    joined = s.join(t, on=keys, how="full_outer")
+
+    def per_key(df: DataFrame, tag: str) -> DataFrame:
+        row_hash = F.xxhash64(*[F.col(c) for c in values]).cast("decimal(38,0)") if values else F.lit(0)
+        return df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(f"n_{tag}"), F.sum(row_hash).alias(f"h_{tag}")
+        ).select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], f"n_{tag}", f"h_{tag}")
+
+    s, t = per_key(source, "s"), per_key(target, "t")
+    cond = None
+    for k in keys:
+        test = F.col(f"s_{k}").eqNullSafe(F.col(f"t_{k}"))
+        cond = test if cond is None else cond & test
+    joined = s.join(t, on=cond, how="full_outer")
     status = (
-        F.when(F.col("_tgt").isNull(), F.lit("missing_in_target"))
-        .when(F.col("_src").isNull(), F.lit("missing_in_source"))
-        .when(~F.col("_src").eqNullSafe(F.col("_tgt")), F.lit("changed"))
+        F.when(F.col("n_t").isNull(), F.lit("missing_in_target"))
+        .when(F.col("n_s").isNull(), F.lit("missing_in_source"))
+        .when((F.col("n_s") != F.col("n_t")) | (F.col("h_s") != F.col("h_t")), F.lit("changed"))
     )
-    return joined.select(*keys, status.alias("status")).where(F.col("status").isNotNull())
+    key_cols = [F.when(F.col("n_s").isNotNull(), F.col(f"s_{k}")).otherwise(F.col(f"t_{k}")).alias(k) for k in keys]
+    return joined.select(*key_cols, status.alias("status")).where(F.col("status").isNotNull())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -49,17 +49,27 @@ def reduce_duplicates(batch: DataFrame, keys: Sequence[str], order_columns: Sequ
 
 
 def duplicate_matches(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once in the batch *and* match a target row (``error`` policy)."""
-    dups = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return dups.join(target.select(*keys), on=list(keys), how="left_semi")
+    """Target keys matched by more than one batch row (``error`` policy).
+
+    The batch's duplicated keys are aggregated first (partial aggregation); the target is the
+    streamed side of the semi join, so a small duplicate set is broadcast and the target is not
+    shuffled, and otherwise AQE can split a hot target key across tasks.
+    """
+    dups = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select(*keys)
+    return target.select(*keys).join(dups, on=list(keys), how="left_semi")
 
 
-def merge_plan(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The merged table (columns in the target's order)."""
+def merge_plan(target: DataFrame, batch: DataFrame, keys: Sequence[str], unique_keys: bool = True) -> DataFrame:
+    """The merged table (columns in the target's order).
+
+    ``unique_keys=False`` (batch may repeat keys): the anti join's build side is the batch's
+    distinct keys, so a key repeated in a third of the batch is one row there.
+    """
     missing = set(target.columns) ^ set(batch.columns)
     if missing:
         raise ValueError(f"merge needs identical column sets; differing: {sorted(missing)}")
-    kept = target.join(batch.select(*keys), on=list(keys), how="left_anti")
+    batch_keys = batch.select(*keys) if unique_keys else batch.select(*keys).distinct()
+    kept = target.join(batch_keys, on=list(keys), how="left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
 
@@ -67,7 +77,7 @@ def check_duplicates(batch: DataFrame, target: DataFrame | None, keys: Sequence[
     """Raise :class:`DuplicateKeyError` with a few example keys when the ``error`` policy is violated."""
     if target is None:
         return
-    examples = duplicate_matches(batch, target, keys).limit(5).collect()
+    examples = duplicate_matches(batch, target, keys).distinct().limit(5).collect()
     if examples:
         shown = [tuple(r[k] for k in keys) for r in examples]
         raise DuplicateKeyError(f"several batch rows match one target row for keys {list(keys)}, e.g. {shown}")

@@ -26,12 +26,18 @@ def _quote(name: str) -> str:
 
 @dataclass(frozen=True)
 class CatalogTable(Store):
-    """A table in the session catalog, named ``[catalog.]schema.table`` in full (no ``USE``)."""
+    """A table in the session catalog, named ``[catalog.]schema.table`` in full (no ``USE``).
+
+    ``retain_versions``: after publishing, delete all but this many newest version folders
+    (the current one always stays). ``None`` keeps every version; readers that started on an
+    older version keep working only while it exists.
+    """
 
     name: str
     connection: str = "catalog"
     root: str | None = None
     partition_by: tuple[str, ...] = ()
+    retain_versions: int | None = None
 
     def identity(self) -> tuple[str, str, str]:
         schema, table = split_name(self.name)
@@ -66,7 +72,29 @@ class CatalogTable(Store):
         return None
 
     def publish_version(self, spark: SparkSession, path: str) -> None:
-        """Point the table at a complete version folder (create the table when missing)."""
+        """Point the table at a complete version folder, then apply the retention."""
+        self._point_to(spark, path)
+        if self.retain_versions is not None:
+            self.expire_versions(spark, self.retain_versions, keep=path)
+
+    def expire_versions(self, spark: SparkSession, retain: int, keep: str | None = None) -> list[str]:
+        """Delete version folders beyond the ``retain`` newest (names sort by creation time)."""
+        if retain < 1:
+            raise ValueError("retain at least one version")
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.table_root(spark))
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        found = [st.getPath() for st in fs.listStatus(root) if st.isDirectory() and st.getPath().getName().startswith("v_")]
+        found.sort(key=lambda p: p.getName())
+        current = (keep or self.location(spark)).rstrip("/").rsplit("/", 1)[-1]
+        doomed = [p for p in found[:-retain] if p.getName() != current]
+        for p in doomed:
+            fs.delete(p, True)
+        return [p.toString() for p in doomed]
+
+    def _point_to(self, spark: SparkSession, path: str) -> None:
         schema_now = spark.read.parquet(path).schema
         parts = ""
         if self.partition_by:
@@ -126,14 +154,15 @@ class CatalogTable(Store):
             merge_ops.check_duplicates(staged, target, keys)
         parts = self.partition_columns(spark)
         if parts and set(parts) <= set(keys):
-            self._merge_touched_partitions(spark, staged, target, keys, parts)
+            self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys)
             return
-        merged = merge_ops.merge_plan(target, staged, keys)
+        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys == "latest")
         path = self.version_path(spark, version)
         merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
         self.publish_version(spark, path)
 
-    def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str]):
+    def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
+                                  duplicate_keys: str):
         """Partitioned target, partition columns among the keys: rewrite only touched partitions.
 
         A key cannot move between partitions, so untouched partitions are left as they are.
@@ -143,7 +172,7 @@ class CatalogTable(Store):
         """
         touched = staged.select(*parts).distinct()
         affected = target.join(touched, on=list(parts), how="left_semi")
-        merged = merge_ops.merge_plan(affected, staged, keys)
+        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys == "latest")
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
         (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
