@@ -72,3 +72,11 @@ def test_legacy_migration_uses_full_key(spark, store):
     assert store.get("p_db2", ("oracle", "db2", "t")) == Mark("string", "x")
     store.put("p_db1", ("oracle", "db1", "t"), "c", Mark("bigint", 11), 1)
     assert store.get("p_db1", ("oracle", "db1", "t")) == Mark("bigint", 11)
+
+
+def test_register_view_for_sql(spark, store):
+    store.put("p", IDENT, "c", Mark("bigint", 3), 1)
+    store.register_view("_watermarks_test")
+    rows = spark.sql("SELECT pipeline_id, watermark_value_bigint FROM _watermarks_test "
+                     "ORDER BY last_updated DESC").collect()
+    assert [tuple(r) for r in rows] == [("p", 3)]

@@ -12,8 +12,7 @@ Transform = Callable[[DataFrame], DataFrame]
 
 def filter_rows(condition: str | Column) -> Transform:
     """Keep rows where the SQL condition (or Column) is true."""
-    cond = F.expr(condition) if isinstance(condition, str) else condition
-    return lambda df: df.where(cond)
+    return lambda df: df.where(F.expr(condition) if isinstance(condition, str) else condition)
 
 
 def select_columns(columns: Sequence[str]) -> Transform:

@@ -181,6 +181,11 @@ class StateStore:
         """State report, newest first."""
         return self.current(pipeline_id).orderBy(F.col("last_updated").desc())
 
+    def register_view(self, name: str = "_watermarks") -> None:
+        """Expose the current state to SQL (``SELECT * FROM _watermarks ORDER BY last_updated DESC``).
+        The view lists the log's files when registered; register again to see later runs."""
+        self.current().createOrReplaceTempView(name)
+
     # --- legacy layout -------------------------------------------------------------------
     @staticmethod
     def is_legacy(df: DataFrame) -> bool:

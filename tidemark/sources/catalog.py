@@ -118,6 +118,9 @@ class CatalogTable(Store):
             ordered = [f for f in schema_now.fields if f.name not in self.partition_by] + \
                       [f for c in self.partition_by for f in schema_now.fields if f.name == c]
             columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+        namespace, _ = split_name(self.name)
+        if namespace and not spark.catalog.databaseExists(namespace):
+            spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quote(namespace)}")
         spark.sql(f"CREATE TABLE {_quote(self.name)}{columns} USING parquet{parts} LOCATION '{path}'")
         if self.partition_by:
             spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")

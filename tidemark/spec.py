@@ -76,3 +76,28 @@ class SyncSpec:
             raise TypeError("lookback is a timedelta (time marks) or a number (numeric marks)")
         if self.on_empty == "truncate" and self.write_mode != "overwrite":
             raise ValueError("on_empty='truncate' applies to write_mode 'overwrite' only")
+
+
+def spec_from_config(pipeline: dict[str, Any]) -> SyncSpec:
+    """``SyncSpec`` from an already-parsed pipeline dict in the reference's shape::
+
+        {pipeline_id, description, sync_config: {mode, write_mode, watermark_columns, merge_keys},
+         transformations: [{type: filter|select|rename, …}]}
+
+    ``partitions``/``fetch_size`` belong to the JDBC store (``num_partitions``/``fetch_size``).
+    Unlike the reference, ``write_mode`` is required and nothing defaults silently.
+    """
+    from .operators.transform import from_config
+
+    sync_config = dict(pipeline.get("sync_config") or {})
+    if "write_mode" not in sync_config:
+        raise ValueError(f"pipeline {pipeline.get('pipeline_id')!r}: sync_config.write_mode is required")
+    return SyncSpec(
+        pipeline_id=pipeline["pipeline_id"],
+        mode=sync_config.get("mode", "full"),
+        write_mode=sync_config["write_mode"],
+        watermark_columns=tuple(sync_config.get("watermark_columns") or ()),
+        merge_keys=tuple(sync_config.get("merge_keys") or ()),
+        transforms=tuple(from_config(pipeline.get("transformations") or [])),
+        description=pipeline.get("description", ""),
+    )
