@@ -187,3 +187,12 @@ def test_entry_smoke(spark):
 
 def test_contract_keys_match():
     assert set(E.queries()) == set(E.oracle_sql())
+
+
+def test_failures_are_recorded(run, spark):
+    from tidemark import checks
+    with pytest.raises(Exception):
+        run.sync(SyncSpec("bad", mode="incremental", write_mode="append", watermark_columns=["nope"]),
+                 run.parquet("events"), run.table("events"))
+    mon = checks.run_monitor(run.history.runs("bad")).first()
+    assert mon.failures == 1

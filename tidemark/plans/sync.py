@@ -73,12 +73,25 @@ def sync(
     history: RunHistory | None = None,
     fail_after_publish: bool = False,
 ) -> SyncResult:
-    """Run one pipeline. ``fail_after_publish`` injects a crash between publish and state (tests)."""
+    """Run one pipeline; a failure is recorded in the run history (``FAILED``) and re-raised.
+    ``fail_after_publish`` injects a crash between publish and state update (tests)."""
     state = state or StateStore(spark)
     history = history or RunHistory(spark)
     started = _now()
     clock = time.monotonic()
     run_id = uuid.uuid4().hex[:16]
+    try:
+        return _run(spark, spec, source, target, state, history, fail_after_publish, started, clock, run_id)
+    except Exception as exc:
+        try:
+            _finish(history, spec, run_id, "", "", "FAILED", 0, None, None, started, clock,
+                    f"{type(exc).__name__}: {exc}"[:2000])
+        except Exception:  # the original error matters more than its record
+            pass
+        raise
+
+
+def _run(spark, spec, source, target, state, history, fail_after_publish, started, clock, run_id) -> SyncResult:
     identity = source.identity()
 
     if spec.write_mode in ("ignore", "error") and target.exists(spark):
