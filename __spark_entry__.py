@@ -66,6 +66,12 @@ class Run:
     def sync(self, spec: SyncSpec, source, target, **kw):
         return sync(self.spark, spec, source, target, self.state, self.history, **kw)
 
+    def result(self, target: CatalogTable, source) -> DataFrame:
+        """The target, or — when every batch was empty and nothing was ever written — no rows."""
+        if target.exists(self.spark):
+            return target.read(self.spark)
+        return source.read(self.spark).limit(0)
+
 
 # --- flagship: incremental merge ---------------------------------------------------------
 
@@ -184,8 +190,10 @@ def q_incremental_filter_string(spark, sf_dir):
                     initial_mark="Customer#000000999"), r.parquet("customer"), customers)
     r.sync(SyncSpec("events_since", mode="incremental", write_mode="append", watermark_columns=["ts"],
                     initial_mark="2024-01-20 12:30:00"), r.parquet("events"), events)
-    return (customers.read(spark).select(F.lit("customer").alias("src"), F.col("c_custkey").alias("id"))
-            .unionByName(events.read(spark).select(F.lit("events").alias("src"), F.col("event_id").alias("id"))))
+    found_customers = r.result(customers, r.parquet("customer"))
+    found_events = r.result(events, r.parquet("events"))
+    return (found_customers.select(F.lit("customer").alias("src"), F.col("c_custkey").alias("id"))
+            .unionByName(found_events.select(F.lit("events").alias("src"), F.col("event_id").alias("id"))))
 
 
 def q_incremental_custom_query(spark, sf_dir):
