@@ -88,8 +88,10 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def preflight(df: DataFrame, merge_keys: Sequence[str] = (), watermark_columns: Sequence[str] = ()) -> DataFrame:
     """Pre-flight data checks, one row per check: ``check``, ``subject``, ``violations``.
 
-    Schema checks (columns exist, mark types supported) run on the driver from the schema;
-    the data checks (duplicate keys, NULL keys, NULL marks) run as one aggregation.
+    Schema checks (columns exist, mark types supported) run on the driver from the schema.
+    The data checks — rows in duplicated keys, NULL key parts, NULL marks — are one pass:
+    a group-by on the keys (partial aggregation, so a hot key costs one row per task) that
+    also counts NULL marks, then a global sum.
     """
     schema_rows = []
     fields = {f.name: f.dataType for f in df.schema.fields}
@@ -103,29 +105,29 @@ def preflight(df: DataFrame, merge_keys: Sequence[str] = (), watermark_columns:
             except TypeError:
                 schema_rows.append(("watermark_type_supported", c, 1))
     spark = df.sparkSession
-    checks = spark.createDataFrame(schema_rows, "check string, subject string, violations bigint")
     if schema_rows:
-        return checks
-    parts = [checks]
-    keys = list(merge_keys)
+        return spark.createDataFrame(schema_rows, "check string, subject string, violations bigint")
+    keys, marks = list(merge_keys), list(watermark_columns)
+    null_marks = [F.count_if(F.col(m).isNull()).alias(f"_nm{i}") for i, m in enumerate(marks)]
     if keys:
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *null_marks)
         all_set = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-        dup = duplicate_keys(df.where(all_set), keys)
-        parts.append(dup.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations"))
-                     .select(F.lit("unique_keys").alias("check"), F.lit(",".join(keys)).alias("subject"), "violations"))
-    nulls = []
-    for k in keys:
-        nulls.append(F.struct(F.lit("non_null_key").alias("check"), F.lit(k).alias("subject"),
-                              F.count_if(F.col(k).isNull()).cast("bigint").alias("violations")))
-    for c in watermark_columns:
-        nulls.append(F.struct(F.lit("non_null_mark").alias("check"), F.lit(c).alias("subject"),
-                              F.count_if(F.col(c).isNull()).cast("bigint").alias("violations")))
-    if nulls:
-        parts.append(df.agg(F.array(*nulls).alias("a")).select(F.explode("a").alias("r")).select("r.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        checks = [F.struct(F.lit("unique_keys").alias("check"), F.lit(",".join(keys)).alias("subject"),
+                           F.sum(F.when(all_set & (F.col("_n") > 1), F.col("_n")).otherwise(0)).alias("violations"))]
+        checks += [F.struct(F.lit("non_null_key").alias("check"), F.lit(k).alias("subject"),
+                            F.sum(F.when(F.col(k).isNull(), F.col("_n")).otherwise(0)).alias("violations"))
+                   for k in keys]
+        checks += [F.struct(F.lit("non_null_mark").alias("check"), F.lit(m).alias("subject"),
+                            F.sum(f"_nm{i}").alias("violations")) for i, m in enumerate(marks)]
+        totals = groups.agg(F.array(*checks).alias("a"))
+    else:
+        checks = [F.struct(F.lit("non_null_mark").alias("check"), F.lit(m).alias("subject"),
+                           F.count_if(F.col(m).isNull()).alias("violations")) for m in marks]
+        if not checks:
+            return spark.createDataFrame([], "check string, subject string, violations bigint")
+        totals = df.agg(F.array(*checks).alias("a"))
+    return totals.select(F.explode("a").alias("r")).select(
+        "r.check", "r.subject", F.coalesce(F.col("r.violations"), F.lit(0)).cast("bigint").alias("violations"))
 
 
 def schema_diff(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -38,11 +38,19 @@ def stage(
     mark_dtype: DataType | None = None,
     transforms: Sequence[Callable[[DataFrame], DataFrame]] = (),
     partition_by: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> StagedBatch:
     """Write ``transforms(batch)`` to ``path``; return its row count and the batch's mark.
 
     The mark is observed on the rows read from the source (before transformations, which
-    may drop or rename the watermark columns); the count on the rows written.
+    may drop or rename the watermark columns); the count on the rows written, in the write
+    stage itself, so a retried task is counted once (a re-run of an earlier stage cannot
+    change a ``max``).
+
+    ``rebalance``: a small batch filtered out of a huge source would otherwise be written as
+    one tiny file per input split; ``REBALANCE`` lets AQE write right-sized files (and split a
+    skewed partition). Used for incremental batches, not for full copies, whose input splits
+    already have the right size.
     """
     tag = uuid.uuid4().hex[:10]
     mark_obs = None
@@ -50,6 +58,8 @@ def stage(
         mark_obs = Observation(f"mark_{tag}")
         batch = batch.observe(mark_obs, M.batch_max(mark_columns, mark_dtype).alias("m"))
     out = reduce(lambda df, t: t(df), transforms, batch)
+    if rebalance:
+        out = out.hint("rebalance")
     count_obs = Observation(f"rows_{tag}")
     out = out.observe(count_obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -54,7 +54,7 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def incremental_predicate(spark: SparkSession, spec: SyncSpec, mark: M.Mark | None, dtype):
+def incremental_predicate(spec: SyncSpec, mark: M.Mark | None, dtype):
     """``c1 > m OR …`` from the stored mark; without a mark, rows with any non-NULL mark column."""
     if spec.mode != "incremental":
         return None
@@ -110,7 +110,7 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
         if old is None and spec.initial_mark is not None:
             old = M.coerce(spec.initial_mark, dtype, spark.conf.get("spark.sql.session.timeZone"))
     batch_id = batch_id_for(spec, identity, old)
-    predicate = incremental_predicate(spark, spec, old, dtype)
+    predicate = incremental_predicate(spec, old, dtype)
 
     if spec.mode == "incremental" and spec.write_mode == "append":
         recovered = _recover_append(spark, spec, target, state, history, identity, batch_id, old, dtype,
@@ -122,7 +122,7 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     staged_path = target.staging_path(spark, version, spec.write_mode) or scratch(spark, "staging")
     batch = source.read(spark, predicate)
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
-                                dtype, spec.transforms)
+                                dtype, spec.transforms, rebalance=spec.mode == "incremental")
     mark_before = old.text() if old else None
     mark_after = staged.mark.text() if staged.mark else None
     if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:
@@ -156,8 +156,8 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
 
 
 def _order_columns(spec: SyncSpec, frame: DataFrame) -> list[str]:
-    cols = [c for c in spec.watermark_columns if c in frame.columns]
-    return cols
+    """Columns that order rows of one key for the ``latest`` policy: the marks still present."""
+    return [c for c in spec.watermark_columns if c in frame.columns]
 
 
 def _recover_append(spark, spec, target, state, history, identity, batch_id, old, dtype, run_id, started, clock):
