@@ -64,3 +64,12 @@ def test_retention_keeps_newest_versions(run, spark):
     names = [s.getPath().getName() for s in fs.listStatus(root)]
     assert len([n for n in names if n.startswith("v_")]) == 2
     assert t.read(spark).count() == run.parquet("orders").read(spark).count()
+
+
+def test_first_load_of_partitioned_table(run, spark):
+    """A partitioned target created by its first load (overwrite, append or merge) holds every row."""
+    for mode, extra in [("overwrite", {}), ("append", {}), ("merge", {"merge_keys": ["event_id"]})]:
+        t = run.table(f"ev_{mode}", partition_by=("event_type",))
+        run.sync(SyncSpec(f"first_{mode}", write_mode=mode, **extra), run.parquet("events"), t)
+        assert t.read(spark).count() == run.parquet("events").read(spark).count()
+        assert t.partition_columns(spark) == ["event_type"]

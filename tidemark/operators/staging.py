@@ -15,7 +15,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from ..functions import marks as M
 
@@ -25,9 +25,11 @@ class StagedBatch:
     path: str
     rows: int
     mark: M.Mark | None
+    schema: StructType
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
+        """The staged snapshot, with the batch's own schema (no partition-value type guessing)."""
+        return spark.read.schema(self.schema).parquet(self.path)
 
 
 def stage(
@@ -61,8 +63,9 @@ def stage(
     if rebalance:
         out = out.hint("rebalance")
     count_obs = Observation(f"rows_{tag}")
+    schema = out.schema
     out = out.observe(count_obs, F.count(F.lit(1)).alias("n"))
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     rows = int(count_obs.get["n"])
     mark = M.from_observed(mark_obs.get["m"], mark_dtype) if mark_obs is not None else None
-    return StagedBatch(path, rows, mark)
+    return StagedBatch(path, rows, mark, schema)

@@ -119,10 +119,13 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
             return recovered
 
     version = f"{started.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    staged_path = target.staging_path(spark, version, spec.write_mode) or scratch(spark, "staging")
+    staged_path = target.staging_path(spark, version, spec.write_mode)
+    # Staged straight into the target's version folder: lay it out as the table is partitioned.
+    layout = tuple(getattr(target, "partition_by", ())) if staged_path else ()
+    staged_path = staged_path or scratch(spark, "staging")
     batch = source.read(spark, predicate)
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
-                                dtype, spec.transforms, rebalance=spec.mode == "incremental")
+                                dtype, spec.transforms, partition_by=layout, rebalance=spec.mode == "incremental")
     mark_before = old.text() if old else None
     mark_after = staged.mark.text() if staged.mark else None
     if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:

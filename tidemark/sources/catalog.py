@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import merge as merge_ops
 from ..workspace import shared_root, scratch
@@ -71,9 +72,10 @@ class CatalogTable(Store):
             return self.version_path(spark, version)
         return None
 
-    def publish_version(self, spark: SparkSession, path: str) -> None:
-        """Point the table at a complete version folder, then apply the retention."""
-        self._point_to(spark, path)
+    def publish_version(self, spark: SparkSession, path: str, schema: StructType | None = None) -> None:
+        """Point the table at a complete version folder, then apply the retention.
+        ``schema``: the written DataFrame's schema (partition values are not type-guessed)."""
+        self._point_to(spark, path, schema)
         if self.retain_versions is not None:
             self.expire_versions(spark, self.retain_versions, keep=path)
 
@@ -94,8 +96,9 @@ class CatalogTable(Store):
             fs.delete(p, True)
         return [p.toString() for p in doomed]
 
-    def _point_to(self, spark: SparkSession, path: str) -> None:
-        schema_now = spark.read.parquet(path).schema
+    def _point_to(self, spark: SparkSession, path: str, schema: StructType | None) -> None:
+        """Point the table at a complete version folder (create the table when missing)."""
+        schema_now = schema if schema is not None else spark.read.parquet(path).schema
         parts = ""
         if self.partition_by:
             parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in self.partition_by) + ")"
@@ -130,7 +133,7 @@ class CatalogTable(Store):
         if not self.exists(spark):
             if staged_path != self.version_path(spark, version):
                 staged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.version_path(spark, version))
-            self.publish_version(spark, self.version_path(spark, version))
+            self.publish_version(spark, self.version_path(spark, version), staged.schema)
             return
         # By name, no schema evolution: a batch with other columns fails, as it should.
         staged.write.format("parquet").mode("append").saveAsTable(self.name)
@@ -139,7 +142,7 @@ class CatalogTable(Store):
         path = self.version_path(spark, version)
         if staged_path != path:
             staged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
-        self.publish_version(spark, path)
+        self.publish_version(spark, path, staged.schema)
 
     def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns):
         keys = list(keys)
@@ -162,7 +165,7 @@ class CatalogTable(Store):
         merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys == "latest")
         path = self.version_path(spark, version)
         merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
-        self.publish_version(spark, path)
+        self.publish_version(spark, path, merged.schema)
 
     def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
                                   duplicate_keys: str):
@@ -178,7 +181,7 @@ class CatalogTable(Store):
         merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys == "latest")
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
-        (spark.read.parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (spark.read.schema(merged.schema).parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*parts).parquet(self.location(spark)))
         spark.sql(f"REFRESH TABLE {_quote(self.name)}")
         spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
