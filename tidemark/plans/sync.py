@@ -171,7 +171,9 @@ def _recover_append(spark, spec, target, state, history, identity, batch_id, old
     staged_rows = [p for p in prior if p["status"] == "STAGED" and p["mark_after"] is not None]
     if not staged_rows or not target.exists(spark):
         return None
-    last = max(staged_rows, key=lambda p: p["mark_after"])
+    if not set(spec.watermark_columns) <= set(target.schema(spark).fieldNames()):
+        return None  # transformations removed the marks: the window cannot be checked (at-least-once)
+    last = max(staged_rows, key=lambda p: p["started_at"])
     mark_after = M.coerce(last["mark_after"], dtype, "UTC") if dtype is not None and M.kind_of(dtype) != "timestamp" \
         else M.Mark("timestamp", _utc_text_to_micros(last["mark_after"]))
     cols = spec.watermark_columns
