@@ -73,3 +73,21 @@ def test_first_load_of_partitioned_table(run, spark):
         run.sync(SyncSpec(f"first_{mode}", write_mode=mode, **extra), run.parquet("events"), t)
         assert t.read(spark).count() == run.parquet("events").read(spark).count()
         assert t.partition_columns(spark) == ["event_type"]
+
+
+def test_partitioned_overwrite_keeps_layout(run, spark):
+    """Re-publishing a partitioned table is a location swap with the same layout, also when the
+    handle used does not declare the partitioning."""
+    from tidemark import CatalogTable
+    t = run.table("ev", partition_by=("event_type",))
+    run.sync(SyncSpec("o1", write_mode="overwrite"), run.parquet("events"), t)
+    first = t.location(spark)
+    undeclared = CatalogTable(t.name, root=t.root)
+    run.sync(SyncSpec("o2", write_mode="overwrite"), run.parquet("events"), undeclared)
+    assert t.location(spark) != first
+    assert t.partition_columns(spark) == ["event_type"]
+    assert t.read(spark).count() == run.parquet("events").read(spark).count()
+    run.sync(SyncSpec("m", write_mode="merge", merge_keys=["event_id"]),
+             run.query("SELECT * FROM {events} WHERE ts > TIMESTAMP '2024-01-25'", "e"), undeclared)
+    assert t.partition_columns(spark) == ["event_type"]
+    assert t.read(spark).count() == run.parquet("events").read(spark).count()

@@ -121,7 +121,7 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     version = f"{started.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     staged_path = target.staging_path(spark, version, spec.write_mode)
     # Staged straight into the target's version folder: lay it out as the table is partitioned.
-    layout = tuple(getattr(target, "partition_by", ())) if staged_path else ()
+    layout = tuple(target.layout(spark)) if staged_path and hasattr(target, "layout") else ()
     staged_path = staged_path or scratch(spark, "staging")
     batch = source.read(spark, predicate)
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),

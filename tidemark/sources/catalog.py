@@ -65,6 +65,12 @@ class CatalogTable(Store):
     def partition_columns(self, spark: SparkSession) -> list[str]:
         return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
 
+    def layout(self, spark: SparkSession) -> tuple[str, ...]:
+        """Partition columns new versions are written with: the declared ones, else the table's own."""
+        if self.partition_by:
+            return tuple(self.partition_by)
+        return tuple(self.partition_columns(spark)) if self.exists(spark) else ()
+
     def staging_path(self, spark: SparkSession, version: str, write_mode: str) -> str | None:
         # A full replacement is staged straight into its version folder: publishing is then a
         # catalog update, not a second copy. So is the first load of a missing table.
@@ -75,7 +81,7 @@ class CatalogTable(Store):
     def publish_version(self, spark: SparkSession, path: str, schema: StructType | None = None) -> None:
         """Point the table at a complete version folder, then apply the retention.
         ``schema``: the written DataFrame's schema (partition values are not type-guessed)."""
-        self._point_to(spark, path, schema)
+        self._point_to(spark, path, schema, self.layout(spark))
         if self.retain_versions is not None:
             self.expire_versions(spark, self.retain_versions, keep=path)
 
@@ -96,43 +102,44 @@ class CatalogTable(Store):
             fs.delete(p, True)
         return [p.toString() for p in doomed]
 
-    def _point_to(self, spark: SparkSession, path: str, schema: StructType | None) -> None:
-        """Point the table at a complete version folder (create the table when missing)."""
+    def _point_to(self, spark: SparkSession, path: str, schema: StructType | None, layout: tuple[str, ...]) -> None:
+        """Point the table at a complete version folder (create the table when missing).
+
+        Same columns, types and partitioning: one ``ALTER TABLE … SET LOCATION``. Otherwise the
+        overwrite replaces the schema, so the definition is dropped and created again.
+        """
         schema_now = schema if schema is not None else spark.read.parquet(path).schema
-        parts = ""
-        if self.partition_by:
-            parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in self.partition_by) + ")"
+        ordered = [f for f in schema_now.fields if f.name not in layout] + \
+                  [f for c in layout for f in schema_now.fields if f.name == c]
         if self.exists(spark):
             old = spark.read.table(self.name).schema
             same_layout = (
-                [(f.name, f.dataType) for f in old.fields] == [(f.name, f.dataType) for f in schema_now.fields]
-                and self.partition_columns(spark) == list(self.partition_by)
+                [(f.name, f.dataType) for f in old.fields] == [(f.name, f.dataType) for f in ordered]
+                and tuple(self.partition_columns(spark)) == layout
             )
             if same_layout:
                 spark.sql(f"ALTER TABLE {_quote(self.name)} SET LOCATION '{path}'")
                 spark.sql(f"REFRESH TABLE {_quote(self.name)}")
-                if self.partition_by:
+                if layout:
                     spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
                 return
-            # Schema replaced on overwrite: the definition changes, so the table is re-created.
             spark.sql(f"DROP TABLE {_quote(self.name)}")
-        columns = ""
-        if self.partition_by:
-            ordered = [f for f in schema_now.fields if f.name not in self.partition_by] + \
-                      [f for c in self.partition_by for f in schema_now.fields if f.name == c]
+        columns, parts = "", ""
+        if layout:
             columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+            parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in layout) + ")"
         namespace, _ = split_name(self.name)
         if namespace and not spark.catalog.databaseExists(namespace):
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quote(namespace)}")
         spark.sql(f"CREATE TABLE {_quote(self.name)}{columns} USING parquet{parts} LOCATION '{path}'")
-        if self.partition_by:
+        if layout:
             spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
     # --- publish -------------------------------------------------------------------------
     def publish_append(self, spark, staged, staged_path, version):
         if not self.exists(spark):
             if staged_path != self.version_path(spark, version):
-                staged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self.version_path(spark, version))
+                staged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(self.version_path(spark, version))
             self.publish_version(spark, self.version_path(spark, version), staged.schema)
             return
         # By name, no schema evolution: a batch with other columns fails, as it should.
@@ -141,7 +148,7 @@ class CatalogTable(Store):
     def publish_overwrite(self, spark, staged, staged_path, version):
         path = self.version_path(spark, version)
         if staged_path != path:
-            staged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+            staged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
         self.publish_version(spark, path, staged.schema)
 
     def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns):
@@ -164,7 +171,7 @@ class CatalogTable(Store):
             return
         merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys == "latest")
         path = self.version_path(spark, version)
-        merged.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
+        merged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
         self.publish_version(spark, path, merged.schema)
 
     def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
