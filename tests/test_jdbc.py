@@ -86,3 +86,11 @@ def test_oracle_options_at_option_level():
 
 def test_missing_table_does_not_exist(spark, derby_url):
     assert not JdbcTable(derby_url, table="APP.NOPE").exists(spark)
+
+
+def test_whole_table_bounds_come_from_the_database(spark, orders_jdbc, derby_url):
+    t = JdbcTable(derby_url, table="APP.ORDERS", options=NTZ, partition_column="o_orderkey", num_partitions=4)
+    q = JdbcTable(derby_url, query='SELECT "o_orderkey" FROM APP.ORDERS', name="q", options=NTZ,
+                  partition_column="o_orderkey", num_partitions=4)
+    expect = tuple(orders_jdbc.read(spark).agg(F.min("o_orderkey"), F.max("o_orderkey")).first())
+    assert t.bounds(spark) == expect and q.bounds(spark) == expect
