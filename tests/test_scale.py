@@ -91,3 +91,20 @@ def test_partitioned_overwrite_keeps_layout(run, spark):
              run.query("SELECT * FROM {events} WHERE ts > TIMESTAMP '2024-01-25'", "e"), undeclared)
     assert t.partition_columns(spark) == ["event_type"]
     assert t.read(spark).count() == run.parquet("events").read(spark).count()
+
+
+def test_touched_partition_merge_prunes_the_target_scan(run, spark, monkeypatch):
+    captured = {}
+    real = M.merge_plan
+
+    def spy(target, batch, keys, unique_keys=True):
+        captured["plan"] = real(target, batch, keys, unique_keys)
+        return captured["plan"]
+
+    monkeypatch.setattr(M, "merge_plan", spy)
+    t = run.table("ev", partition_by=("event_type",))
+    run.sync(SyncSpec("s", write_mode="overwrite"), run.parquet("events"), t)
+    run.sync(SyncSpec("m", write_mode="merge", merge_keys=["event_type", "event_id"]),
+             run.query("SELECT * FROM {events} WHERE event_type = 'click' AND ts > TIMESTAMP '2024-01-25'", "x"), t)
+    assert "(event_type#" in plan(captured["plan"]) and "= click)" in plan(captured["plan"])
+    assert t.read(spark).count() == run.parquet("events").read(spark).count()

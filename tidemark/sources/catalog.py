@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import merge as merge_ops
@@ -21,6 +22,10 @@ from ..workspace import shared_root, scratch
 from .base import Store, split_name
 
 
+# Fixed value: most touched partitions turned into a literal partition filter.
+MAX_PRUNING_VALUES = 10_000
+
+
 def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
@@ -184,7 +189,19 @@ class CatalogTable(Store):
         never overwritten while being read), then swapped in by dynamic partition overwrite.
         """
         touched = staged.select(*parts).distinct()
-        affected = target.join(touched, on=list(parts), how="left_semi")
+        affected = target
+        # The touched partition values are catalog-scale (at most one per partition). Up to a
+        # bound they become a literal filter, which prunes the target scan statically; beyond
+        # it the semi join alone keeps the result exact.
+        values = touched.limit(MAX_PRUNING_VALUES + 1).collect()
+        if len(values) <= MAX_PRUNING_VALUES:
+            for p in parts:
+                distinct = sorted({row[p] for row in values if row[p] is not None})
+                test = F.col(p).isin(distinct) if distinct else F.lit(False)
+                if any(row[p] is None for row in values):
+                    test = test | F.col(p).isNull()
+                affected = affected.where(test)
+        affected = affected.join(touched, on=list(parts), how="left_semi")
         merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys == "latest")
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
