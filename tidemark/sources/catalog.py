@@ -183,10 +183,10 @@ class CatalogTable(Store):
                                   duplicate_keys: str):
         """Partitioned target, partition columns among the keys: rewrite only touched partitions.
 
-        A key cannot move between partitions, so untouched partitions are left as they are.
-        The semi join on the batch's partition values lets dynamic partition pruning skip the
-        untouched ones at scan time. The new partition contents are staged first (a table is
-        never overwritten while being read), then swapped in by dynamic partition overwrite.
+        A key cannot move between partitions, so untouched partitions are left as they are and
+        are not even listed: the scan is pruned to the touched ones. The new partition contents
+        are staged first (a table is never overwritten while being read), then swapped in by
+        dynamic partition overwrite.
         """
         touched = staged.select(*parts).distinct()
         affected = target
