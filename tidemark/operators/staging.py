@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from ..functions import marks as M
+from .merge import reduce_duplicates
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,7 @@ def stage(
     transforms: Sequence[Callable[[DataFrame], DataFrame]] = (),
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    reduce_to_latest: tuple[Sequence[str], Sequence[str]] | None = None,
 ) -> StagedBatch:
     """Write ``transforms(batch)`` to ``path``; return its row count and the batch's mark.
 
@@ -53,6 +55,10 @@ def stage(
     one tiny file per input split; ``REBALANCE`` lets AQE write right-sized files (and split a
     skewed partition). Used for incremental batches, not for full copies, whose input splits
     already have the right size.
+
+    ``reduce_to_latest=(keys, order_columns)``: the ``latest`` duplicate policy, applied here
+    so the batch is reduced once and materialised (its aggregation shuffle replaces the
+    rebalance); the count is then the number of rows that will be merged.
     """
     tag = uuid.uuid4().hex[:10]
     mark_obs = None
@@ -60,7 +66,10 @@ def stage(
         mark_obs = Observation(f"mark_{tag}")
         batch = batch.observe(mark_obs, M.batch_max(mark_columns, mark_dtype).alias("m"))
     out = reduce(lambda df, t: t(df), transforms, batch)
-    if rebalance:
+    if reduce_to_latest is not None:
+        keys, order_columns = reduce_to_latest
+        out = reduce_duplicates(out, keys, [c for c in order_columns if c in out.columns])
+    elif rebalance:
         out = out.hint("rebalance")
     count_obs = Observation(f"rows_{tag}")
     schema = out.schema

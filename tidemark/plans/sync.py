@@ -124,8 +124,11 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     layout = tuple(target.layout(spark)) if staged_path and hasattr(target, "layout") else ()
     staged_path = staged_path or scratch(spark, "staging")
     batch = source.read(spark, predicate)
+    latest = (spec.merge_keys, spec.watermark_columns) \
+        if spec.write_mode == "merge" and spec.duplicate_keys == "latest" else None
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
-                                dtype, spec.transforms, partition_by=layout, rebalance=spec.mode == "incremental")
+                                dtype, spec.transforms, partition_by=layout, rebalance=spec.mode == "incremental",
+                                reduce_to_latest=latest)
     mark_before = old.text() if old else None
     mark_after = staged.mark.text() if staged.mark else None
     if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:
@@ -145,8 +148,10 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     elif spec.write_mode == "append":
         target.publish_append(spark, frame, staged_path, version)
     else:
+        # A 'latest' batch was already reduced to one row per key while staging.
         target.publish_merge(spark, frame, staged_path, spec.merge_keys, version,
-                             duplicate_keys=spec.duplicate_keys, order_columns=_order_columns(spec, frame))
+                             duplicate_keys="unique" if latest else spec.duplicate_keys,
+                             order_columns=_order_columns(spec, frame))
     if fail_after_publish:
         raise RuntimeError("injected failure between publish and state update")
 

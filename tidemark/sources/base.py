@@ -40,6 +40,8 @@ class Store(ABC):
 
     def publish_merge(self, spark: SparkSession, staged: DataFrame, staged_path: str, keys, version: str, *,
                       duplicate_keys: str, order_columns) -> None:
+        """Upsert ``staged`` on ``keys``. ``duplicate_keys``: ``error`` | ``latest`` (reduce here) |
+        ``unique`` (the batch was already reduced to one row per non-NULL key)."""
         raise NotImplementedError(f"{type(self).__name__} cannot be a target")
 
 

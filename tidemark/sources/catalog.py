@@ -174,7 +174,7 @@ class CatalogTable(Store):
         if parts and set(parts) <= set(keys):
             self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys)
             return
-        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys == "latest")
+        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"))
         path = self.version_path(spark, version)
         merged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
         self.publish_version(spark, path, merged.schema)
@@ -202,7 +202,7 @@ class CatalogTable(Store):
                     test = test | F.col(p).isNull()
                 affected = affected.where(test)
         affected = affected.join(touched, on=list(parts), how="left_semi")
-        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys == "latest")
+        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"))
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
         (spark.read.schema(merged.schema).parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -57,5 +57,5 @@ class ParquetPath(Store):
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
         tmp = scratch(spark, "staging")
-        merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys == "latest").write.parquet(tmp)
+        merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique")).write.parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(self.path)
