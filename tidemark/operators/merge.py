@@ -59,16 +59,21 @@ def duplicate_matches(batch: DataFrame, target: DataFrame, keys: Sequence[str])
     return target.select(*keys).join(dups, on=list(keys), how="left_semi")
 
 
-def merge_plan(target: DataFrame, batch: DataFrame, keys: Sequence[str], unique_keys: bool = True) -> DataFrame:
+def merge_plan(target: DataFrame, batch: DataFrame, keys: Sequence[str], unique_keys: bool = True,
+               broadcast_keys: bool = False) -> DataFrame:
     """The merged table (columns in the target's order).
 
     ``unique_keys=False`` (batch may repeat keys): the anti join's build side is the batch's
     distinct keys, so a key repeated in a third of the batch is one row there.
+    ``broadcast_keys``: the caller measured the batch's keys and they fit a broadcast; without
+    it Spark decides (static estimate, then AQE on runtime shuffle sizes).
     """
     missing = set(target.columns) ^ set(batch.columns)
     if missing:
         raise ValueError(f"merge needs identical column sets; differing: {sorted(missing)}")
     batch_keys = batch.select(*keys) if unique_keys else batch.select(*keys).distinct()
+    if broadcast_keys:
+        batch_keys = F.broadcast(batch_keys)
     kept = target.join(batch_keys, on=list(keys), how="left_anti")
     return kept.unionByName(batch.select(*target.columns))
 
@@ -81,3 +86,19 @@ def check_duplicates(batch: DataFrame, target: DataFrame | None, keys: Sequence[
     if examples:
         shown = [tuple(r[k] for k in keys) for r in examples]
         raise DuplicateKeyError(f"several batch rows match one target row for keys {list(keys)}, e.g. {shown}")
+
+
+# Fixed value: bytes per broadcast row beyond the key payload (hash-table entry, row header).
+BROADCAST_ROW_OVERHEAD = 32
+
+
+def fits_broadcast(spark, rows: int, key_bytes: int | None) -> bool:
+    """Measured key payload of the batch (plus per-row overhead) within the broadcast threshold."""
+    if key_bytes is None:
+        return False
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit_bytes = int(str(limit).lower().rstrip("b").replace("k", "000").replace("m", "000000"))
+    except ValueError:
+        return False
+    return limit_bytes > 0 and key_bytes + rows * BROADCAST_ROW_OVERHEAD <= limit_bytes

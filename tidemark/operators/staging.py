@@ -15,7 +15,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import BinaryType, DataType, StringType, StructType
 
 from ..functions import marks as M
 from .merge import reduce_duplicates
@@ -27,6 +27,7 @@ class StagedBatch:
     rows: int
     mark: M.Mark | None
     schema: StructType
+    key_bytes: int | None = None
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The staged snapshot, with the batch's own schema (no partition-value type guessing)."""
@@ -43,6 +44,7 @@ def stage(
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
     reduce_to_latest: tuple[Sequence[str], Sequence[str]] | None = None,
+    measure_keys: Sequence[str] = (),
 ) -> StagedBatch:
     """Write ``transforms(batch)`` to ``path``; return its row count and the batch's mark.
 
@@ -59,6 +61,9 @@ def stage(
     ``reduce_to_latest=(keys, order_columns)``: the ``latest`` duplicate policy, applied here
     so the batch is reduced once and materialised (its aggregation shuffle replaces the
     rebalance); the count is then the number of rows that will be merged.
+
+    ``measure_keys``: also observe the exact payload of these key columns (string bytes plus
+    fixed widths), so a merge can decide to broadcast the batch's keys on a measured size.
     """
     tag = uuid.uuid4().hex[:10]
     mark_obs = None
@@ -73,8 +78,20 @@ def stage(
         out = out.hint("rebalance")
     count_obs = Observation(f"rows_{tag}")
     schema = out.schema
-    out = out.observe(count_obs, F.count(F.lit(1)).alias("n"))
+    metrics = [F.count(F.lit(1)).alias("n")]
+    if measure_keys:
+        widths = []
+        for k in measure_keys:
+            dtype = schema[k].dataType
+            if isinstance(dtype, (StringType, BinaryType)):
+                widths.append(F.coalesce(F.octet_length(F.col(k)), F.lit(0)).cast("bigint"))
+            else:
+                widths.append(F.lit(dtype.defaultSize).cast("bigint"))
+        metrics.append(F.sum(sum(widths[1:], widths[0])).alias("key_bytes"))
+    out = out.observe(count_obs, *metrics)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    rows = int(count_obs.get["n"])
+    observed = count_obs.get
+    rows = int(observed["n"])
+    key_bytes = int(observed.get("key_bytes") or 0) if measure_keys else None
     mark = M.from_observed(mark_obs.get["m"], mark_dtype) if mark_obs is not None else None
-    return StagedBatch(path, rows, mark, schema)
+    return StagedBatch(path, rows, mark, schema, key_bytes)
