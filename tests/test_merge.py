@@ -51,3 +51,64 @@ def test_latest_is_a_partial_aggregate_not_a_window(spark):
 def test_merge_requires_same_columns(spark):
     with pytest.raises(ValueError):
         M.merge_plan(frame(spark, [(1, "a", 1)]), spark.createDataFrame([(1,)], "k int"), ["k"])
+
+
+def test_error_policy_decides_on_the_batch_alone_when_keys_are_unique(spark):
+    """Unique batch keys: the target is never read (here, reading it would fail)."""
+    boom = F.udf(lambda x: 1 // 0, "int")
+    unreadable = spark.range(1).select(boom("id").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("ts"))
+    M.check_duplicates(frame(spark, [(1, "x", 1), (2, "y", 2), (None, "n", 1), (None, "m", 2)]), unreadable, ["k"])
+
+
+def test_byte_settings():
+    assert M.byte_setting("10485760") == 10485760
+    assert M.byte_setting("10MB") == 10 << 20 and M.byte_setting("10m") == 10 << 20
+    assert M.byte_setting("1k") == 1024 and M.byte_setting("-1") == -1
+    assert M.byte_setting("lots") is None
+
+
+def test_join_strategy_follows_the_measured_key_payload(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+        assert M.join_strategy(spark, (1000, 8000)) == "broadcast"
+        assert M.join_strategy(spark, (100_000, 800_000)) == "merge"  # 800 kB keys + row overhead > 1 MB
+        assert M.join_strategy(spark, None) is None
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert M.join_strategy(spark, (1, 8)) == "merge"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def _joins(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+
+
+def test_merge_broadcasts_only_measured_keys_that_fit(run, spark, monkeypatch):
+    """The sync measures the staged batch's keys: a small delta is broadcast, and past the
+    threshold the anti join is a sort-merge join whatever Spark's own estimate says."""
+    from tidemark import SyncSpec
+
+    plans = []
+    real = M.merge_plan
+
+    def spy(*a, **kw):
+        plans.append(real(*a, **kw))
+        return plans[-1]
+
+    monkeypatch.setattr(M, "merge_plan", spy)
+    t = run.table("orders")
+    run.sync(SyncSpec("seed", write_mode="overwrite"), run.parquet("orders"), t)
+    spec = SyncSpec("m", mode="incremental", write_mode="merge", merge_keys=["o_orderkey"],
+                    watermark_columns=["o_orderdate"], initial_mark="2000-01-01")
+    run.sync(spec, run.parquet("orders"), t)
+    assert any("BroadcastHashJoin" in j and "LeftAnti" in j for j in _joins(plans[-1]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64b")
+        run.sync(SyncSpec("m2", mode="incremental", write_mode="merge", merge_keys=["o_orderkey"],
+                          watermark_columns=["o_orderdate"], initial_mark="1999-01-01"), run.parquet("orders"), t)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert any("SortMergeJoin" in j and "LeftAnti" in j for j in _joins(plans[-1]))
+    assert t.read(spark).count() == run.parquet("orders").read(spark).count()

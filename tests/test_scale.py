@@ -97,8 +97,8 @@ def test_touched_partition_merge_prunes_the_target_scan(run, spark, monkeypatch)
     captured = {}
     real = M.merge_plan
 
-    def spy(target, batch, keys, unique_keys=True):
-        captured["plan"] = real(target, batch, keys, unique_keys)
+    def spy(target, batch, keys, unique_keys=True, **kw):
+        captured["plan"] = real(target, batch, keys, unique_keys, **kw)
         return captured["plan"]
 
     monkeypatch.setattr(M, "merge_plan", spy)

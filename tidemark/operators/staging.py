@@ -13,14 +13,32 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, StringType, StructType
+from pyspark.sql.types import BinaryType, DataType, DecimalType, StringType, StructType
 
 from ..functions import marks as M
 from .merge import reduce_duplicates
 
 
+# Bytes of one value of each fixed-width type in Spark's row format.
+FIXED_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4, "double": 8,
+                "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def _key_width(column: Column, dtype: DataType) -> Column:
+    """Bytes of one key value: exact for strings and binaries, fixed for the other atomic types."""
+    if isinstance(dtype, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
+    if isinstance(dtype, DecimalType):
+        return F.lit(8 if dtype.precision <= 18 else 16).cast("bigint")
+    fixed = FIXED_WIDTHS.get(dtype.simpleString())
+    if fixed is not None:
+        return F.lit(fixed).cast("bigint")
+    # Nested keys: the length of their text form bounds the payload closely enough.
+    return F.coalesce(F.octet_length(column.cast("string")), F.lit(0)).cast("bigint")
+
+
 @dataclass(frozen=True)
 class StagedBatch:
     path: str
@@ -79,14 +97,13 @@ def stage(
     count_obs = Observation(f"rows_{tag}")
     schema = out.schema
     metrics = [F.count(F.lit(1)).alias("n")]
+    if not set(measure_keys) <= set(schema.fieldNames()):
+        measure_keys = ()  # the merge itself reports the missing key columns
     if measure_keys:
         widths = []
         for k in measure_keys:
             dtype = schema[k].dataType
-            if isinstance(dtype, (StringType, BinaryType)):
-                widths.append(F.coalesce(F.octet_length(F.col(k)), F.lit(0)).cast("bigint"))
-            else:
-                widths.append(F.lit(dtype.defaultSize).cast("bigint"))
+            widths.append(_key_width(F.col(k), dtype))
         metrics.append(F.sum(sum(widths[1:], widths[0])).alias("key_bytes"))
     out = out.observe(count_obs, *metrics)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -128,7 +128,8 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
         if spec.write_mode == "merge" and spec.duplicate_keys == "latest" else None
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
                                 dtype, spec.transforms, partition_by=layout, rebalance=spec.mode == "incremental",
-                                reduce_to_latest=latest)
+                                reduce_to_latest=latest,
+                                measure_keys=spec.merge_keys if spec.write_mode == "merge" else ())
     mark_before = old.text() if old else None
     mark_after = staged.mark.text() if staged.mark else None
     if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:
@@ -151,7 +152,7 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
         # A 'latest' batch was already reduced to one row per key while staging.
         target.publish_merge(spark, frame, staged_path, spec.merge_keys, version,
                              duplicate_keys="unique" if latest else spec.duplicate_keys,
-                             order_columns=_order_columns(spec, frame))
+                             order_columns=_order_columns(spec, frame), measured=(staged.rows, staged.key_bytes))
     if fail_after_publish:
         raise RuntimeError("injected failure between publish and state update")
 

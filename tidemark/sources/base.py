@@ -39,9 +39,10 @@ class Store(ABC):
         raise NotImplementedError(f"{type(self).__name__} cannot be a target")
 
     def publish_merge(self, spark: SparkSession, staged: DataFrame, staged_path: str, keys, version: str, *,
-                      duplicate_keys: str, order_columns) -> None:
+                      duplicate_keys: str, order_columns, measured: tuple[int, int | None] | None = None) -> None:
         """Upsert ``staged`` on ``keys``. ``duplicate_keys``: ``error`` | ``latest`` (reduce here) |
-        ``unique`` (the batch was already reduced to one row per non-NULL key)."""
+        ``unique`` (the batch was already reduced to one row per non-NULL key). ``measured``:
+        the batch's ``(rows, key payload bytes)`` observed while staging; it decides the join."""
         raise NotImplementedError(f"{type(self).__name__} cannot be a target")
 
 

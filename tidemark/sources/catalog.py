@@ -156,7 +156,8 @@ class CatalogTable(Store):
             staged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
         self.publish_version(spark, path, staged.schema)
 
-    def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns):
+    def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns,
+                      measured=None):
         keys = list(keys)
         if not self.exists(spark):
             # Merge into a missing table creates it from the batch (after the duplicate policy).
@@ -172,15 +173,16 @@ class CatalogTable(Store):
             merge_ops.check_duplicates(staged, target, keys)
         parts = self.partition_columns(spark)
         if parts and set(parts) <= set(keys):
-            self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys)
+            self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys, measured)
             return
-        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"))
+        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
+                                      strategy=merge_ops.join_strategy(spark, measured))
         path = self.version_path(spark, version)
         merged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
         self.publish_version(spark, path, merged.schema)
 
     def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
-                                  duplicate_keys: str):
+                                  duplicate_keys: str, measured=None):
         """Partitioned target, partition columns among the keys: rewrite only touched partitions.
 
         A key cannot move between partitions, so untouched partitions are left as they are and
@@ -202,7 +204,8 @@ class CatalogTable(Store):
                     test = test | F.col(p).isNull()
                 affected = affected.where(test)
         affected = affected.join(touched, on=list(parts), how="left_semi")
-        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"))
+        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
+                                      strategy=merge_ops.join_strategy(spark, measured))
         tmp = scratch(spark, "staging")
         merged.write.mode("overwrite").parquet(tmp)
         (spark.read.schema(merged.schema).parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

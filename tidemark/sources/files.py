@@ -46,7 +46,8 @@ class ParquetPath(Store):
     def publish_overwrite(self, spark, staged, staged_path, version):
         staged.write.mode("overwrite").parquet(self.path)
 
-    def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns):
+    def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns,
+                      measured=None):
         keys = list(keys)
         if duplicate_keys == "latest":
             staged = merge_ops.reduce_duplicates(staged, keys, order_columns)
@@ -57,5 +58,6 @@ class ParquetPath(Store):
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
         tmp = scratch(spark, "staging")
-        merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique")).write.parquet(tmp)
+        merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
+                                      strategy=merge_ops.join_strategy(spark, measured)).write.parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(self.path)
