@@ -76,6 +76,46 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def data_files(spark: SparkSession, folder: str) -> list[str]:
+    """The Parquet data files directly in ``folder`` (no markers, no hidden files)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return [st.getPath().toString() for st in fs.listStatus(path)
+            if st.isFile() and not st.getPath().getName().startswith(("_", ".")) and st.getPath().getName().endswith(".parquet")]
+
+
+def delete_files(spark: SparkSession, files: Sequence[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(conf).delete(path, False)
+
+
+def compact_partition(spark: SparkSession, root: str, pipeline_id: str, schema: StructType, min_files: int,
+                      reduce_rows) -> int:
+    """Rewrite one pipeline's folder of a log as one file once it holds more than ``min_files``.
+
+    The listed files are read, reduced (``reduce_rows``), written as one new file, and only
+    then deleted. A reader in between sees the new file next to the old ones: the rows it adds
+    repeat rows that are still there, which the readers' newest-revision (state) or
+    exact-duplicate (history) rule absorbs. A crash in between leaves the same harmless
+    repetition, removed by the next compaction. Returns the number of files removed.
+    """
+    if not SIMPLE_ID.match(pipeline_id):
+        return 0
+    files = data_files(spark, f"{root}/pipeline_id={pipeline_id}")
+    if len(files) <= min_files:
+        return 0
+    rows = reduce_rows(spark.read.option("basePath", root).schema(schema).parquet(*files))
+    rows.coalesce(1).write.mode("append").partitionBy("pipeline_id").parquet(root)
+    delete_files(spark, files)
+    return len(files)
+
+
 def _mark_literal(mark: Mark | None, kind_column: str) -> Column:
     """The typed value for one state column (NULL unless the mark's kind uses it)."""
     dtype = next(f.dataType for f in STATE_SCHEMA.fields if f.name == kind_column)
@@ -102,9 +142,13 @@ def latest(log: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
 class StateStore:
     """Mark state under ``<shared root>/state/<name>`` (or an explicit ``path``)."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, name: str = "watermarks"):
+    def __init__(self, spark: SparkSession, path: str | None = None, name: str = "watermarks",
+                 compact_after_files: int | None = 64):
+        """``compact_after_files``: once a pipeline's folder holds more files than this, ``put``
+        rewrites it to the current rows in one file (``None``: never; see :meth:`compact`)."""
         self.spark = spark
         self.path = (path or f"{shared_root(spark)}/state/{name}").rstrip("/")
+        self.compact_after_files = compact_after_files
 
     def _stored(self, pipeline_id: str | None) -> DataFrame | None:
         """The stored log (one pipeline: only its partition folder is listed); ``None`` if nothing is stored."""
@@ -176,6 +220,14 @@ class StateStore:
             values[col] = _mark_literal(mark, col)
         row = self.spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in STATE_SCHEMA.fields])
         row.coalesce(1).write.mode("append").partitionBy("pipeline_id").parquet(self.path)
+        if self.compact_after_files is not None:
+            self.compact(pipeline_id, self.compact_after_files)
+
+    def compact(self, pipeline_id: str, min_files: int = 0) -> int:
+        """Keep only the current row per key of one pipeline, in one file (a log of one file per
+        run would otherwise make every lookup list and open all of them). Run by the pipeline
+        itself after its update, so no other writer touches the folder meanwhile."""
+        return compact_partition(self.spark, self.path, pipeline_id, STATE_SCHEMA, min_files, latest)
 
     def report(self, pipeline_id: str | None = None) -> DataFrame:
         """State report, newest first."""
