@@ -51,3 +51,29 @@ def test_schema_diff_counts_unconvertible_values(spark):
 def test_stale_marks(spark):
     df = spark.createDataFrame([(dt.datetime(2020, 1, 1),), (dt.datetime(2030, 1, 1),)], "last_updated timestamp")
     assert checks.stale_marks(df, dt.timedelta(days=1), now=dt.datetime(2025, 1, 1)).count() == 1
+
+
+def test_mark_lag_is_independent_of_the_session_zone(spark, local_dir):
+    """Wall-clock marks across a daylight-saving change: the lag is the wall-clock difference."""
+    from tidemark import Mark, StateStore
+
+    store = StateStore(spark, path=f"{local_dir}/state_lag")
+    store.put("ntz", ("c", "s", "t"), "ts", Mark("timestamp_ntz", dt.datetime(2024, 3, 9, 12, 0)), 1)
+    store.put("day", ("c", "s", "d"), "d", Mark("date", dt.date(2024, 3, 9)), 1)
+    store.put("num", ("c", "s", "n"), "k", Mark("bigint", 100), 1)
+    src = spark.createDataFrame([(dt.datetime(2024, 3, 11, 12, 0), dt.date(2024, 3, 11), 150)],
+                                "ts timestamp_ntz, d date, k bigint")
+    newest = checks.newest_marks({"ntz": (src, ["ts"]), "day": (src, ["d"]), "num": (src, ["k"]),
+                                  "never": (src, ["k"])})
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = []
+        for tz in ("UTC", "America/Chicago"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = checks.mark_lag(store.current(), newest, dt.timedelta(days=1), stale_after_units=10)
+            results.append({r["pipeline_id"]: (r["lag_seconds"], r["lag_units"], r["stale"]) for r in got.collect()})
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert results[0] == results[1]
+    assert results[0] == {"ntz": (172800.0, None, True), "day": (172800.0, None, True), "num": (None, 50.0, True),
+                          "never": (None, None, True)}

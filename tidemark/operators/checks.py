@@ -12,9 +12,9 @@ import datetime as dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.marks import kind_of
 
@@ -175,3 +175,77 @@ def run_monitor(runs: DataFrame, long_run_seconds: float = 3600.0) -> DataFrame:
         F.sum("records_synced").alias("rows_synced"),
         F.max(F.when(F.col("status") == "SUCCESS", F.col("finished_at"))).alias("last_success"),
     )
+
+
+def _wall_micros(value: Column) -> Column:
+    """Epoch microseconds of a wall-clock value (timestamp_ntz or date) read as UTC, so a lag
+    between two wall clocks never depends on the session zone or a daylight-saving change."""
+    return F.unix_micros(F.make_timestamp(F.year(value), F.month(value), F.dayofmonth(value), F.hour(value),
+                                          F.minute(value), F.date_part(F.lit("SECOND"), value), F.lit("UTC")))
+
+
+def _as_micros(value: Column, dtype: DataType) -> Column:
+    if isinstance(dtype, TimestampNTZType):
+        return _wall_micros(value)
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(value)
+    return _wall_micros(value.cast("timestamp_ntz"))  # date
+
+
+def _lag_parts(value: Column, dtype: DataType) -> list[Column]:
+    """A mark value as ``newest_micros`` (instants, wall clocks, dates) or ``newest_number``."""
+    kind = kind_of(dtype)
+    micros = _as_micros(value, dtype) if kind in ("timestamp", "timestamp_ntz", "date") else F.lit(None)
+    number = value.cast("double") if kind in ("bigint", "int", "decimal") else F.lit(None)
+    return [micros.cast("bigint").alias("newest_micros"), number.cast("double").alias("newest_number")]
+
+
+def newest_marks(sources: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """The newest mark value each source holds now, per pipeline: ``pipeline_id``,
+    ``newest_micros`` / ``newest_number``. One aggregate per source that reads only the mark
+    columns, unioned into one small frame (one row per pipeline)."""
+    frames = []
+    for pipeline_id, (df, columns) in sources.items():
+        cols = list(columns)
+        value = F.col(cols[0]) if len(cols) == 1 else F.greatest(*[F.col(c) for c in cols])
+        dtype = df.select(value.alias("v")).schema["v"].dataType
+        newest = df.agg(F.max(value).alias("v"))
+        frames.append(newest.select(F.lit(pipeline_id).alias("pipeline_id"), *_lag_parts(F.col("v"), dtype)))
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+def mark_lag(state_current: DataFrame, newest: DataFrame, stale_after: dt.timedelta,
+             stale_after_units: float | None = None) -> DataFrame:
+    """Data freshness per pipeline: how far the stored mark is behind the source's newest value.
+
+    Output: ``pipeline_id``, ``watermark_type``, ``lag_seconds`` (time marks), ``lag_units``
+    (numeric marks) and ``stale`` (lag beyond ``stale_after`` / ``stale_after_units``; a
+    pipeline without a stored mark whose source holds rows is stale). Text marks have no lag.
+    Both inputs hold one row per pipeline, so the join is small by construction.
+    """
+    kind = F.col("watermark_type")
+    stored_micros = (
+        F.when(kind == "timestamp", F.unix_micros("watermark_value_timestamp"))
+        .when(kind == "timestamp_ntz", _wall_micros(F.col("watermark_value_timestamp_ntz")))
+        .when(kind == "date", _wall_micros(F.col("watermark_value_date").cast("timestamp_ntz")))
+    )
+    stored_number = (
+        F.when(kind == "bigint", F.col("watermark_value_bigint").cast("double"))
+        .when(kind == "int", F.col("watermark_value_int").cast("double"))
+        .when(kind == "decimal", F.col("watermark_value_decimal").cast("double"))
+    )
+    state = state_current.select("pipeline_id", "watermark_type", stored_micros.alias("m_micros"),
+                                 stored_number.alias("m_number"))
+    joined = newest.join(state, on="pipeline_id", how="left")
+    lag_seconds = (F.col("newest_micros") - F.col("m_micros")) / F.lit(1_000_000.0)
+    lag_units = F.col("newest_number") - F.col("m_number")
+    has_rows = F.col("newest_micros").isNotNull() | F.col("newest_number").isNotNull()
+    units_limit = F.lit(stale_after_units if stale_after_units is not None else float("inf"))
+    stale = (
+        F.when(F.col("watermark_type").isNull(), has_rows)
+        .when(F.col("newest_micros").isNotNull(), lag_seconds > F.lit(stale_after.total_seconds()))
+        .when(F.col("newest_number").isNotNull(), lag_units > units_limit)
+        .otherwise(F.lit(False))
+    )
+    return joined.select("pipeline_id", "watermark_type", lag_seconds.alias("lag_seconds"),
+                         lag_units.alias("lag_units"), stale.alias("stale"))
