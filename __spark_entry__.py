@@ -551,6 +551,20 @@ def q_jdbc_upsert(spark, sf_dir):
     return back.read(spark)
 
 
+def q_jdbc_upsert_staging_table(spark, sf_dir):
+    """Merge into a JDBC table through a staging table: only the batch travels, and the
+    database replaces and inserts in one transaction."""
+    r = Run(spark, sf_dir)
+    jt = derby(r, "APP.ORDERS", upsert="staging_table")
+    r.sync(SyncSpec("jdbc_seed", write_mode="overwrite", transforms=(upto("o_orderdate", "1999-01-01"),)),
+           r.parquet("orders"), jt)
+    r.sync(SyncSpec("jdbc_merge", mode="incremental", write_mode="merge", watermark_columns=["o_orderdate"],
+                    merge_keys=["o_orderkey"], initial_mark="1998-01-01"), r.query(CHANGED_ORDERS, "orders"), jt)
+    back = r.table("orders_back")
+    r.sync(SyncSpec("import_orders", write_mode="overwrite"), jt, back)
+    return back.read(spark)
+
+
 def q_date_to_timestamp(spark, sf_dir):
     """DATE columns from the database arrive as timestamps (Oracle-style normalisation)."""
     r = Run(spark, sf_dir)
@@ -709,6 +723,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "jdbc_partitioned_read": q_jdbc_partitioned_read,
         "jdbc_query_scan": q_jdbc_query_scan,
         "jdbc_upsert": q_jdbc_upsert,
+        "jdbc_upsert_staging_table": q_jdbc_upsert_staging_table,
         "date_to_timestamp": q_date_to_timestamp,
         "transform_chain": q_transform_chain,
         "reconcile_counts": q_reconcile_counts,
@@ -835,6 +850,7 @@ def oracle_sql() -> dict[str, str]:
         "jdbc_query_scan": ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders "
                             "WHERE o_orderstatus = 'F' AND o_orderdate > TIMESTAMP '1997-01-01'"),
         "jdbc_upsert": MERGE_INCREMENTAL_SQL,
+        "jdbc_upsert_staging_table": MERGE_INCREMENTAL_SQL,
         "date_to_timestamp": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderday FROM orders",
         "transform_chain": ("SELECT c_custkey, c_name AS customer_name, c_mktsegment FROM customer "
                             "WHERE c_acctbal > 0"),

@@ -94,3 +94,41 @@ def test_whole_table_bounds_come_from_the_database(spark, orders_jdbc, derby_url
                   partition_column="o_orderkey", num_partitions=4)
     expect = tuple(orders_jdbc.read(spark).agg(F.min("o_orderkey"), F.max("o_orderkey")).first())
     assert t.bounds(spark) == expect and q.bounds(spark) == expect
+
+
+def _rows(spark, url, table):
+    return sorted(map(tuple, spark.read.format("jdbc").option("url", url).option("dbtable", table).load().collect()),
+                  key=str)
+
+
+def test_upsert_through_a_staging_table_in_one_transaction(spark, run, derby_url):
+    """Only the batch travels; matched rows replaced, others inserted, NULL keys never match,
+    and the staging table is gone afterwards."""
+    jt = JdbcTable(derby_url, table="APP.KV", upsert="staging_table")
+    seed = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    jt.publish_overwrite(spark, seed, "", "v0")
+    batch = spark.createDataFrame([(2, "B"), (3, "C"), (None, "N")], "k int, v string")
+    jt.publish_merge(spark, batch, "", ["k"], "v1", duplicate_keys="error", order_columns=[])
+    assert _rows(spark, derby_url, "APP.KV") == sorted([(1, "a"), (2, "B"), (3, "C"), (None, "n"), (None, "N")], key=str)
+    conn = jt._connect(spark)
+    tables = conn.getMetaData().getTables(None, "APP", "KV_TM_%", None)
+    assert not tables.next()
+    conn.close()
+
+
+def test_upsert_through_a_staging_table_rolls_back_as_a_whole(spark, derby_url):
+    """The insert fails after the delete ran: the transaction leaves the target as it was."""
+    jt = JdbcTable(derby_url, table="APP.CHECKED", upsert="staging_table")
+    conn = jt._connect(spark)
+    conn.createStatement().executeUpdate("CREATE TABLE APP.CHECKED (\"k\" INT, \"v\" VARCHAR(10) CHECK (\"v\" <> 'bad'))")
+    conn.createStatement().executeUpdate("INSERT INTO APP.CHECKED VALUES (1, 'a'), (2, 'b')")
+    conn.close()
+    batch = spark.createDataFrame([(1, "new"), (3, "bad")], "k int, v string")
+    with pytest.raises(Exception):
+        jt.publish_merge(spark, batch, "", ["k"], "v1", duplicate_keys="error", order_columns=[])
+    assert _rows(spark, derby_url, "APP.CHECKED") == [(1, "a"), (2, "b")]
+
+
+def test_upsert_mode_is_validated(derby_url):
+    with pytest.raises(ValueError):
+        JdbcTable(derby_url, table="APP.T", upsert="merge_into")
