@@ -108,6 +108,21 @@ UNION ALL SELECT * FROM s
 """
 
 
+def q_merge_bucketed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship merge into a target bucketed on the merge key: the anti join reads the
+    target bucket by bucket and shuffles only the batch; every version keeps the buckets."""
+    r = Run(spark, sf_dir)
+    target = r.table("orders", bucket_by=("o_orderkey",), buckets=8)
+    r.sync(SyncSpec("seed_orders", write_mode="overwrite", transforms=(upto("o_orderdate", "1999-01-01"),)),
+           r.parquet("orders"), target)
+    spec = SyncSpec("orders_merge", mode="incremental", write_mode="merge", watermark_columns=["o_orderdate"],
+                    merge_keys=["o_orderkey"], initial_mark="1998-01-01")
+    changed = r.query(CHANGED_ORDERS, "orders")
+    r.sync(spec, changed, target)
+    r.sync(spec, changed, target)
+    return target.read(spark)
+
+
 # --- full refresh ------------------------------------------------------------------------
 
 def q_full_refresh(spark, sf_dir):
@@ -692,6 +707,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "merge_incremental": q_merge_incremental,
+        "merge_bucketed_target": q_merge_bucketed_target,
         "full_refresh": q_full_refresh,
         "full_refresh_schema_change": q_full_refresh_schema_change,
         "incremental_filter_timestamp": q_incremental_filter_timestamp,
@@ -767,6 +783,7 @@ def oracle_sql() -> dict[str, str]:
                       "ts >= TIMESTAMP '2024-01-20'"]
     return {
         "merge_incremental": MERGE_INCREMENTAL_SQL,
+        "merge_bucketed_target": MERGE_INCREMENTAL_SQL,
         "full_refresh": f"SELECT {ORDERS_COLS} FROM orders",
         "full_refresh_schema_change": "SELECT o_orderkey, o_totalprice FROM orders",
         "incremental_filter_timestamp": f"SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01'",

@@ -10,6 +10,7 @@ Append adds files to the current version (a job commit). Catalogs with row-level
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from typing import Sequence
 
@@ -37,6 +38,12 @@ class CatalogTable(Store):
     ``retain_versions``: after publishing, delete all but this many newest version folders
     (the current one always stays). ``None`` keeps every version; readers that started on an
     older version keep working only while it exists.
+
+    ``bucket_by`` + ``buckets``: store the table hash-bucketed on these columns (normally the
+    merge keys). A merge then reads the target bucket by bucket and shuffles only the batch:
+    a batch too large to broadcast no longer shuffles the whole target. Every version is
+    written with the same bucketing (one file per bucket from the kept target rows, one per
+    bucket from the batch), so the next merge finds the layout again.
     """
 
     name: str
@@ -44,6 +51,16 @@ class CatalogTable(Store):
     root: str | None = None
     partition_by: tuple[str, ...] = ()
     retain_versions: int | None = None
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+
+    def __post_init__(self):
+        object.__setattr__(self, "partition_by", tuple(self.partition_by))
+        object.__setattr__(self, "bucket_by", tuple(self.bucket_by))
+        if bool(self.bucket_by) != (self.buckets > 0):
+            raise ValueError("bucket_by and buckets go together")
+        if set(self.bucket_by) & set(self.partition_by):
+            raise ValueError("a column cannot both partition and bucket the table")
 
     def identity(self) -> tuple[str, str, str]:
         schema, table = split_name(self.name)
@@ -70,6 +87,41 @@ class CatalogTable(Store):
     def partition_columns(self, spark: SparkSession) -> list[str]:
         return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
 
+    def bucketing(self, spark: SparkSession) -> tuple[tuple[str, ...], int] | None:
+        """``(columns, buckets)``: the declared bucketing, else the existing table's, else ``None``."""
+        if self.buckets:
+            return self.bucket_by, self.buckets
+        if not self.exists(spark):
+            return None
+        info = {r["col_name"]: r["data_type"] for r in
+                spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}")
+                .where("col_name IN ('Num Buckets', 'Bucket Columns')").collect()}
+        n = int(info.get("Num Buckets") or 0)
+        if n <= 0:
+            return None
+        cols = tuple(c.strip().strip("`") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip())
+        return cols, n
+
+    def _write_version(self, spark: SparkSession, df: DataFrame, path: str) -> None:
+        """Write a complete version folder with the table's partitioning and bucketing.
+
+        Bucketed files can only be written through a table definition, so a throwaway
+        external table points at the folder while it is written and is dropped after (its
+        files stay). The rows are expected to arrive hash-partitioned by the bucket columns
+        where it matters (see :meth:`publish_merge`); otherwise each task writes one file per
+        bucket it holds.
+        """
+        writer = df.write.mode("overwrite").partitionBy(*self.layout(spark))
+        bucketing = self.bucketing(spark)
+        if bucketing is None:
+            writer.parquet(path)
+            return
+        cols, n = bucketing
+        namespace, table = split_name(self.name)
+        throwaway = f"{namespace + '.' if namespace else ''}{table}__tm_{uuid.uuid4().hex[:10]}"
+        writer.bucketBy(n, *cols).format("parquet").option("path", path).saveAsTable(throwaway)
+        spark.sql(f"DROP TABLE {_quote(throwaway)}")
+
     def layout(self, spark: SparkSession) -> tuple[str, ...]:
         """Partition columns new versions are written with: the declared ones, else the table's own."""
         if self.partition_by:
@@ -79,6 +131,9 @@ class CatalogTable(Store):
     def staging_path(self, spark: SparkSession, version: str, write_mode: str) -> str | None:
         # A full replacement is staged straight into its version folder: publishing is then a
         # catalog update, not a second copy. So is the first load of a missing table.
+        # (Bucketed files need a table writer: a bucketed table is staged elsewhere.)
+        if self.bucketing(spark) is not None:
+            return None
         if write_mode in ("overwrite", "ignore", "error") or not self.exists(spark):
             return self.version_path(spark, version)
         return None
@@ -114,6 +169,7 @@ class CatalogTable(Store):
         overwrite replaces the schema, so the definition is dropped and created again.
         """
         schema_now = schema if schema is not None else spark.read.parquet(path).schema
+        bucketing = self.bucketing(spark)
         ordered = [f for f in schema_now.fields if f.name not in layout] + \
                   [f for c in layout for f in schema_now.fields if f.name == c]
         if self.exists(spark):
@@ -121,6 +177,7 @@ class CatalogTable(Store):
             same_layout = (
                 [(f.name, f.dataType) for f in old.fields] == [(f.name, f.dataType) for f in ordered]
                 and tuple(self.partition_columns(spark)) == layout
+                and CatalogTable(self.name).bucketing(spark) == bucketing
             )
             if same_layout:
                 spark.sql(f"ALTER TABLE {_quote(self.name)} SET LOCATION '{path}'")
@@ -130,9 +187,12 @@ class CatalogTable(Store):
                 return
             spark.sql(f"DROP TABLE {_quote(self.name)}")
         columns, parts = "", ""
-        if layout:
+        if layout or bucketing:
             columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+        if layout:
             parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in layout) + ")"
+        if bucketing:
+            parts += " CLUSTERED BY (" + ", ".join(f"`{c}`" for c in bucketing[0]) + f") INTO {bucketing[1]} BUCKETS"
         namespace, _ = split_name(self.name)
         if namespace and not spark.catalog.databaseExists(namespace):
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quote(namespace)}")
@@ -144,16 +204,20 @@ class CatalogTable(Store):
     def publish_append(self, spark, staged, staged_path, version):
         if not self.exists(spark):
             if staged_path != self.version_path(spark, version):
-                staged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(self.version_path(spark, version))
+                self._write_version(spark, self._by_bucket(spark, staged), self.version_path(spark, version))
             self.publish_version(spark, self.version_path(spark, version), staged.schema)
             return
         # By name, no schema evolution: a batch with other columns fails, as it should.
-        staged.write.format("parquet").mode("append").saveAsTable(self.name)
+        writer = self._by_bucket(spark, staged).write.format("parquet").mode("append")
+        bucketing = self.bucketing(spark)
+        if bucketing is not None:
+            writer = writer.bucketBy(bucketing[1], *bucketing[0])
+        writer.saveAsTable(self.name)
 
     def publish_overwrite(self, spark, staged, staged_path, version):
         path = self.version_path(spark, version)
         if staged_path != path:
-            staged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
+            self._write_version(spark, self._by_bucket(spark, staged), path)
         self.publish_version(spark, path, staged.schema)
 
     def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns,
@@ -172,15 +236,25 @@ class CatalogTable(Store):
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
         parts = self.partition_columns(spark)
-        if parts and set(parts) <= set(keys):
+        bucketing = self.bucketing(spark)
+        if parts and set(parts) <= set(keys) and bucketing is None:
             self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys, measured)
             return
-        merged = merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
+        # Bucketed target: the batch is hash-partitioned like the buckets, so the sort-merge
+        # anti join reads the target bucket by bucket (no target shuffle) and every task of
+        # the union writes a single bucket file.
+        merged = merge_ops.merge_plan(target, self._by_bucket(spark, staged), keys,
+                                      unique_keys=duplicate_keys in ("latest", "unique"),
                                       strategy=merge_ops.join_strategy(spark, measured))
         path = self.version_path(spark, version)
-        merged.write.mode("overwrite").partitionBy(*self.layout(spark)).parquet(path)
+        self._write_version(spark, merged, path)
         self.publish_version(spark, path, merged.schema)
 
+    def _by_bucket(self, spark: SparkSession, df: DataFrame) -> DataFrame:
+        """Rows hash-partitioned exactly as the table's buckets (unchanged when not bucketed)."""
+        bucketing = self.bucketing(spark)
+        return df if bucketing is None else df.repartition(bucketing[1], *bucketing[0])
+
     def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
                                   duplicate_keys: str, measured=None):
         """Partitioned target, partition columns among the keys: rewrite only touched partitions.
