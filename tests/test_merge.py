@@ -112,3 +112,14 @@ def test_merge_broadcasts_only_measured_keys_that_fit(run, spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert any("SortMergeJoin" in j and "LeftAnti" in j for j in _joins(plans[-1]))
     assert t.read(spark).count() == run.parquet("orders").read(spark).count()
+
+
+def test_latest_policy_reads_the_batch_once(spark):
+    """The batch may still be the live source: NULL and non-NULL keys go through one pass."""
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    nulled = li.withColumn("l_linenumber", F.when(F.col("l_linenumber") == 1, None).otherwise(F.col("l_linenumber")))
+    reduced = M.reduce_duplicates(nulled, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+    assert reduced._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    expect = nulled.where("l_linenumber IS NULL").count() + \
+        nulled.where("l_linenumber IS NOT NULL").select("l_orderkey", "l_linenumber").distinct().count()
+    assert reduced.count() == expect
