@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,17 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+def _partition_clause(folder: str) -> str:
+    """``a=1/b=x%2Fy`` (a partition's folder, escaped as Spark writes it) → ``a = '1', b = 'x/y'``.
+    A NULL value keeps its folder name, which the catalog reads as NULL."""
+    pairs = []
+    for part in folder.split("/"):
+        key, value = part.split("=", 1)
+        text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+        pairs.append(f"`{unquote(key)}` = '{text}'")
+    return ", ".join(pairs)
+
+
 @dataclass(frozen=True)
 class CatalogTable(Store):
     """A table in the session catalog, named ``[catalog.]schema.table`` in full (no ``USE``).
@@ -162,6 +174,26 @@ class CatalogTable(Store):
             fs.delete(p, True)
         return [p.toString() for p in doomed]
 
+    def _repoint_partitions(self, spark: SparkSession, path: str) -> None:
+        """Move every partition the catalog lists into the version at ``path``, or drop it when
+        that version has no such partition.
+
+        Partitions carry their own locations in the catalog: moving the table does not move
+        them, and recovering partitions only adds missing ones (a Hive metastore keeps existing
+        entries as they are). Without this, a partition absent from the new version would
+        keep serving the old version's rows. One catalog call per partition (catalog-scale).
+        """
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for row in spark.sql(f"SHOW PARTITIONS {_quote(self.name)}").collect():
+            folder = row[0]
+            clause = _partition_clause(folder)
+            target = jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+            if target.getFileSystem(conf).exists(target):
+                spark.sql(f"ALTER TABLE {_quote(self.name)} PARTITION ({clause}) SET LOCATION '{path}/{folder}'")
+            else:
+                spark.sql(f"ALTER TABLE {_quote(self.name)} DROP IF EXISTS PARTITION ({clause})")
+
     def _point_to(self, spark: SparkSession, path: str, schema: StructType | None, layout: tuple[str, ...]) -> None:
         """Point the table at a complete version folder (create the table when missing).
 
@@ -180,10 +212,12 @@ class CatalogTable(Store):
                 and CatalogTable(self.name).bucketing(spark) == bucketing
             )
             if same_layout:
+                if layout:
+                    self._repoint_partitions(spark, path)
                 spark.sql(f"ALTER TABLE {_quote(self.name)} SET LOCATION '{path}'")
-                spark.sql(f"REFRESH TABLE {_quote(self.name)}")
                 if layout:
                     spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
+                spark.sql(f"REFRESH TABLE {_quote(self.name)}")
                 return
             spark.sql(f"DROP TABLE {_quote(self.name)}")
         columns, parts = "", ""
