@@ -123,3 +123,18 @@ def test_latest_policy_reads_the_batch_once(spark):
     expect = nulled.where("l_linenumber IS NULL").count() + \
         nulled.where("l_linenumber IS NOT NULL").select("l_orderkey", "l_linenumber").distinct().count()
     assert reduced.count() == expect
+
+
+def test_latest_policy_keeps_identical_null_key_rows_and_is_decided_by_value(spark):
+    batch = frame(spark, [(None, "n", 1)] * 3 + [(None, "m", 1), (1, "a", 1), (1, "b", 2), (1, "b", 2)])
+    reduced = M.reduce_duplicates(batch, ["k"], ["ts"])
+    got = sorted(map(tuple, reduced.collect()), key=str)
+    assert got == sorted([(None, "n", 1)] * 3 + [(None, "m", 1), (1, "b", 2)], key=str)
+    assert "monotonically_increasing_id" not in reduced._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_policy_with_a_map_column(spark):
+    batch = spark.createDataFrame([(None, {"a": 1}, 1), (None, {"a": 1}, 1), (2, {"b": 2}, 1), (2, {"c": 3}, 5)],
+                                  "k int, m map<string,int>, ts int")
+    got = M.reduce_duplicates(batch, ["k"], ["ts"]).collect()
+    assert len(got) == 3 and [r.m for r in got if r.k == 2] == [{"c": 3}]
