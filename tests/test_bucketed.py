@@ -78,3 +78,42 @@ def test_append_keeps_the_buckets(run, spark):
     assert CatalogTable(t.name).bucketing(spark) == (("event_id",), 3)
     joined = t.read(spark).join(t.read(spark).select("event_id").hint("merge"), "event_id")
     assert "Exchange" not in executed(joined)  # both sides read bucket by bucket
+
+
+def test_partitioned_and_bucketed_target_rewrites_only_touched_partitions(run, spark, forced_sort_merge, monkeypatch):
+    """Partitioned by event_type, bucketed by event_id, keyed by both: a merge touching one
+    partition reads that partition bucket by bucket and replaces only it, keeping the buckets."""
+    from tidemark.plans.state import data_files
+
+    t = run.table("ev", partition_by=("event_type",), bucket_by=("event_id",), buckets=4)
+    run.sync(SyncSpec("seed", write_mode="overwrite"), run.parquet("events"), t)
+    untouched = sorted(data_files(spark, f"{t.location(spark)}/event_type=view"))
+    plans = []
+    real = M.merge_plan
+
+    def spy(*a, **kw):
+        plans.append(real(*a, **kw))
+        return plans[-1]
+
+    monkeypatch.setattr(M, "merge_plan", spy)
+    run.sync(SyncSpec("m", write_mode="merge", merge_keys=["event_type", "event_id"]),
+             run.query("SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM {events} "
+                       "WHERE event_type = 'click'", "x"), t)
+    from tidemark.sources.catalog import _session_conf
+
+    with _session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # as the write ran
+        plan = executed(plans[-1])
+    lines = plan.splitlines()
+    join_at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    scan_at = next(i for i, line in enumerate(lines) if "FileScan" in line and "/tables/ev/" in line)
+    assert "Bucketed: true" in lines[scan_at] and not any("Exchange" in x for x in lines[join_at:scan_at])
+    assert sorted(data_files(spark, f"{t.location(spark)}/event_type=view")) == untouched
+    clicks = data_files(spark, f"{t.location(spark)}/event_type=click")
+    assert clicks and all(f.rsplit("_", 1)[-1].startswith("0000") for f in clicks)  # bucket ids in the names
+    ev = run.parquet("events").read(spark)
+    got = t.read(spark)
+    assert got.count() == ev.count()
+    assert got.agg(F.sum("value")).first()[0] == pytest.approx(
+        ev.agg(F.sum(F.when(F.col("event_type") == "click", F.col("value") + 1).otherwise(F.col("value")))).first()[0])
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    assert CatalogTable(t.name).bucketing(spark) == (("event_id",), 4)

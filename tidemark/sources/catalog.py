@@ -11,6 +11,7 @@ Append adds files to the current version (a job commit). Catalogs with row-level
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
 from typing import Sequence
@@ -32,6 +33,20 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+@contextmanager
+def _session_conf(spark: SparkSession, key: str, value: str):
+    """A session setting changed for one statement, restored afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _partition_clause(folder: str) -> str:
     """``a=1/b=x%2Fy`` (a partition's folder, escaped as Spark writes it) → ``a = '1', b = 'x/y'``.
     A NULL value keeps its folder name, which the catalog reads as NULL."""
@@ -270,8 +285,7 @@ class CatalogTable(Store):
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
         parts = self.partition_columns(spark)
-        bucketing = self.bucketing(spark)
-        if parts and set(parts) <= set(keys) and bucketing is None:
+        if parts and set(parts) <= set(keys):
             self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys, measured)
             return
         # Bucketed target: the batch is hash-partitioned like the buckets, so the sort-merge
@@ -311,13 +325,37 @@ class CatalogTable(Store):
                 if any(row[p] is None for row in values):
                     test = test | F.col(p).isNull()
                 affected = affected.where(test)
-        affected = affected.join(touched, on=list(parts), how="left_semi")
-        merged = merge_ops.merge_plan(affected, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
+            if len(parts) > 1:
+                # Per-column lists admit other combinations: the semi join on the exact
+                # combinations keeps it exact. Their number is known (bounded above), so they are
+                # broadcast and the target keeps its own partitioning (and buckets).
+                affected = affected.join(F.broadcast(touched), on=list(parts), how="left_semi")
+            # One partition column: the literal filter is already exact.
+        else:
+            affected = affected.join(touched, on=list(parts), how="left_semi")
+        merged = merge_ops.merge_plan(affected, self._by_bucket(spark, staged), keys,
+                                      unique_keys=duplicate_keys in ("latest", "unique"),
                                       strategy=merge_ops.join_strategy(spark, measured))
         tmp = scratch(spark, "staging")
-        merged.write.mode("overwrite").parquet(tmp)
-        (spark.read.schema(merged.schema).parquet(tmp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*parts).parquet(self.location(spark)))
+        if self.bucketing(spark) is None:
+            merged.write.mode("overwrite").parquet(tmp)
+        else:
+            # The keys are the partition columns plus more; the buckets hash a subset of them.
+            # Rows with equal keys share their bucket, so both sides hashed like the buckets are
+            # co-partitioned for the join; Spark accepts that only with this setting relaxed.
+            with _session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+                merged.write.mode("overwrite").parquet(tmp)
+        fresh = spark.read.schema(merged.schema).parquet(tmp)
+        if self.bucketing(spark) is None:
+            (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*parts).parquet(self.location(spark)))
+        else:
+            # Bucket files are written through the table: an insert that replaces only the
+            # partitions it holds. That insert takes the session's overwrite mode, so it is
+            # set to dynamic for this one statement.
+            order = spark.read.table(self.name).columns
+            with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                self._by_bucket(spark, fresh).select(*order).write.mode("overwrite").insertInto(self.name)
         spark.sql(f"REFRESH TABLE {_quote(self.name)}")
         spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
