@@ -74,3 +74,26 @@ def test_null_and_escaped_partition_values_survive_a_new_version(run, spark):
     assert got.where("p IS NULL").count() == src.where("c_mktsegment = 'HOUSEHOLD'").count()
     assert got.where("p = 'a/b'").count() == src.where("c_mktsegment = 'BUILDING'").count()
     assert got.where("p = 'it''s'").count() == src.where("c_mktsegment = 'MACHINERY'").count()
+
+
+def test_partition_scoped_merge_writes_where_the_catalog_keeps_the_partition(run, spark, local_dir):
+    """A partition living outside the table folder (as in tables made elsewhere) is updated
+    in place, not shadowed by a copy beside the table's other partitions."""
+    from tidemark import SyncSpec
+
+    t = run.table("ev", partition_by=("event_type",))
+    run.sync(SyncSpec("seed", write_mode="overwrite"), run.parquet("events"), t)
+    elsewhere = f"{local_dir}/clicks_elsewhere"
+    run.parquet("events").read(spark).where("event_type = 'click'").drop("event_type").write.parquet(elsewhere)
+    spark.sql(f"ALTER TABLE {t.name} PARTITION (event_type = 'click') SET LOCATION '{elsewhere}'")
+    run.sync(SyncSpec("m", write_mode="merge", merge_keys=["event_type", "event_id"]),
+             run.query("SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM {events} "
+                       "WHERE event_type = 'click' UNION ALL "
+                       "SELECT event_id, ts, user_id, 'replay' AS event_type, value, props FROM {events} "
+                       "WHERE event_type = 'view'", "x"), t)
+    ev = run.parquet("events").read(spark)
+    got = t.read(spark)
+    assert got.count() == ev.count() + ev.where("event_type = 'view'").count()  # a new partition, registered
+    assert got.where("event_type = 'replay'").count() == ev.where("event_type = 'view'").count()
+    assert got.where("event_type = 'click'").agg(F.sum("value")).first()[0] == pytest.approx(
+        ev.where("event_type = 'click'").agg(F.sum(F.col("value") + 1)).first()[0])

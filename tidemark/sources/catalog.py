@@ -310,7 +310,7 @@ class CatalogTable(Store):
         A key cannot move between partitions, so untouched partitions are left as they are and
         are not even listed: the scan is pruned to the touched ones. The new partition contents
         are staged first (a table is never overwritten while being read), then swapped in by
-        dynamic partition overwrite.
+        an insert with dynamic partition overwrite.
         """
         touched = staged.select(*parts).distinct()
         affected = target
@@ -346,18 +346,16 @@ class CatalogTable(Store):
             with _session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
                 merged.write.mode("overwrite").parquet(tmp)
         fresh = spark.read.schema(merged.schema).parquet(tmp)
-        if self.bucketing(spark) is None:
-            (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*parts).parquet(self.location(spark)))
-        else:
-            # Bucket files are written through the table: an insert that replaces only the
-            # partitions it holds. That insert takes the session's overwrite mode, so it is
-            # set to dynamic for this one statement.
-            order = spark.read.table(self.name).columns
-            with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-                self._by_bucket(spark, fresh).select(*order).write.mode("overwrite").insertInto(self.name)
+        # Written back through the table: an insert that replaces only the partitions it holds,
+        # wherever the catalog keeps them (a partition placed outside the table folder is
+        # rewritten there), and writes bucket files for a bucketed table. The
+        # insert takes the session's overwrite mode, so it is dynamic for this one statement.
+        order = spark.read.table(self.name).columns
+        with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            self._by_bucket(spark, fresh).select(*order).write.mode("overwrite").insertInto(self.name)
+        # The insert registered new partitions itself. (Recovering partitions here could
+        # re-point a partition kept elsewhere back at a stale default folder.)
         spark.sql(f"REFRESH TABLE {_quote(self.name)}")
-        spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
 
 @dataclass(frozen=True)
