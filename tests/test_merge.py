@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import merge as M
@@ -138,3 +140,16 @@ def test_latest_policy_with_a_map_column(spark):
                                   "k int, m map<string,int>, ts int")
     got = M.reduce_duplicates(batch, ["k"], ["ts"]).collect()
     assert len(got) == 3 and [r.m for r in got if r.k == 2] == [{"c": 3}]
+
+ROW = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.sampled_from(["a", "b", "c"]), st.integers(0, 3))
+
+
+@settings(max_examples=25, deadline=None)
+@given(rows=st.lists(ROW, min_size=0, max_size=14))
+def test_latest_policy_matches_its_definition(spark, rows):
+    """Per non-NULL key the row with the largest (ts, v); every NULL-key row kept as often as it occurs."""
+    expect = [r for r in rows if r[0] is None]
+    for k in {r[0] for r in rows if r[0] is not None}:
+        expect.append(max((r for r in rows if r[0] == k), key=lambda r: (r[2], r[1])))
+    got = M.reduce_duplicates(frame(spark, rows), ["k"], ["ts"]).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expect, key=repr)
