@@ -76,8 +76,9 @@ class RunHistory:
                 return self._find_all(pipeline_id, batch_id)
             return []
         df = self.spark.read.option("basePath", self.path).schema(HISTORY_SCHEMA).parquet(part)
-        rows = df.where(F.col("batch_id") == batch_id).select("status", "records_synced", "mark_after", "version",
-                                                               "started_at").distinct().collect()
+        # Repeats (a compaction in progress) cannot change the answer: no distinct needed.
+        rows = df.where(F.col("batch_id") == batch_id) \
+            .select("status", "records_synced", "mark_after", "version", "started_at").collect()
         return [r.asDict() for r in rows]
 
     def _find_all(self, pipeline_id: str, batch_id: str) -> list[dict]:

@@ -10,6 +10,8 @@ Append adds files to the current version (a job commit). Catalogs with row-level
 
 from __future__ import annotations
 
+import functools
+import threading
 import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -33,6 +35,27 @@ def _quote(name: str) -> str:
     return ".".join(f"`{p}`" for p in name.split("."))
 
 
+_LOCAL = threading.local()
+
+
+def _memo_scope(method):
+    """Memoise table descriptions for the duration of one publish step (several helpers ask for
+    the location and the bucketing; each ask would otherwise be a catalog command)."""
+    @functools.wraps(method)
+    def wrapped(self, *args, **kwargs):
+        depth = getattr(_LOCAL, "depth", 0)
+        if depth == 0:
+            _LOCAL.described = {}
+        _LOCAL.depth = depth + 1
+        try:
+            return method(self, *args, **kwargs)
+        finally:
+            _LOCAL.depth = depth
+            if depth == 0:
+                _LOCAL.described = {}
+    return wrapped
+
+
 @contextmanager
 def _session_conf(spark: SparkSession, key: str, value: str):
     """A session setting changed for one statement, restored afterwards."""
@@ -107,9 +130,26 @@ class CatalogTable(Store):
     def version_path(self, spark: SparkSession, version: str) -> str:
         return f"{self.table_root(spark)}/v_{version}"
 
+    def _described(self, spark: SparkSession) -> dict[str, str]:
+        """Location and bucketing from the catalog (memoised within one publish step)."""
+        memo = getattr(_LOCAL, "described", None) if getattr(_LOCAL, "depth", 0) else None
+        if memo is not None and self.name in memo:
+            return memo[self.name]
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}") \
+            .where("col_name IN ('Location', 'Num Buckets', 'Bucket Columns')").collect()
+        info = {r["col_name"]: r["data_type"] for r in rows}
+        if memo is not None:
+            memo[self.name] = info
+        return info
+
+    def _forget(self) -> None:
+        """The definition changed: drop the memoised description."""
+        memo = getattr(_LOCAL, "described", None)
+        if memo is not None:
+            memo.pop(self.name, None)
+
     def location(self, spark: SparkSession) -> str:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}").where("col_name = 'Location'").collect()
-        return rows[0]["data_type"] if rows else ""
+        return self._described(spark).get("Location", "")
 
     def partition_columns(self, spark: SparkSession) -> list[str]:
         return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
@@ -120,9 +160,7 @@ class CatalogTable(Store):
             return self.bucket_by, self.buckets
         if not self.exists(spark):
             return None
-        info = {r["col_name"]: r["data_type"] for r in
-                spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}")
-                .where("col_name IN ('Num Buckets', 'Bucket Columns')").collect()}
+        info = self._described(spark)
         n = int(info.get("Num Buckets") or 0)
         if n <= 0:
             return None
@@ -155,16 +193,16 @@ class CatalogTable(Store):
             return tuple(self.partition_by)
         return tuple(self.partition_columns(spark)) if self.exists(spark) else ()
 
+    @_memo_scope
     def staging_path(self, spark: SparkSession, version: str, write_mode: str) -> str | None:
         # A full replacement is staged straight into its version folder: publishing is then a
         # catalog update, not a second copy. So is the first load of a missing table.
         # (Bucketed files need a table writer: a bucketed table is staged elsewhere.)
-        if self.bucketing(spark) is not None:
-            return None
         if write_mode in ("overwrite", "ignore", "error") or not self.exists(spark):
-            return self.version_path(spark, version)
+            return self.version_path(spark, version) if self.bucketing(spark) is None else None
         return None
 
+    @_memo_scope
     def publish_version(self, spark: SparkSession, path: str, schema: StructType | None = None) -> None:
         """Point the table at a complete version folder, then apply the retention.
         ``schema``: the written DataFrame's schema (partition values are not type-guessed)."""
@@ -226,6 +264,7 @@ class CatalogTable(Store):
                 and tuple(self.partition_columns(spark)) == layout
                 and CatalogTable(self.name).bucketing(spark) == bucketing
             )
+            self._forget()
             if same_layout:
                 if layout:
                     self._repoint_partitions(spark, path)
@@ -233,6 +272,7 @@ class CatalogTable(Store):
                 if layout:
                     spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
                 spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+                self._forget()
                 return
             spark.sql(f"DROP TABLE {_quote(self.name)}")
         columns, parts = "", ""
@@ -246,10 +286,12 @@ class CatalogTable(Store):
         if namespace and not spark.catalog.databaseExists(namespace):
             spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quote(namespace)}")
         spark.sql(f"CREATE TABLE {_quote(self.name)}{columns} USING parquet{parts} LOCATION '{path}'")
+        self._forget()
         if layout:
             spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
 
     # --- publish -------------------------------------------------------------------------
+    @_memo_scope
     def publish_append(self, spark, staged, staged_path, version):
         if not self.exists(spark):
             if staged_path != self.version_path(spark, version):
@@ -263,12 +305,14 @@ class CatalogTable(Store):
             writer = writer.bucketBy(bucketing[1], *bucketing[0])
         writer.saveAsTable(self.name)
 
+    @_memo_scope
     def publish_overwrite(self, spark, staged, staged_path, version):
         path = self.version_path(spark, version)
         if staged_path != path:
             self._write_version(spark, self._by_bucket(spark, staged), path)
         self.publish_version(spark, path, staged.schema)
 
+    @_memo_scope
     def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns,
                       measured=None):
         keys = list(keys)
