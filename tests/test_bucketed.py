@@ -116,4 +116,5 @@ def test_partitioned_and_bucketed_target_rewrites_only_touched_partitions(run, s
     assert got.agg(F.sum("value")).first()[0] == pytest.approx(
         ev.agg(F.sum(F.when(F.col("event_type") == "click", F.col("value") + 1).otherwise(F.col("value")))).first()[0])
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition").lower() == "true"
     assert CatalogTable(t.name).bucketing(spark) == (("event_id",), 4)
