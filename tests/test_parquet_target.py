@@ -97,3 +97,12 @@ def test_partition_scoped_merge_writes_where_the_catalog_keeps_the_partition(run
     assert got.where("event_type = 'replay'").count() == ev.where("event_type = 'view'").count()
     assert got.where("event_type = 'click'").agg(F.sum("value")).first()[0] == pytest.approx(
         ev.where("event_type = 'click'").agg(F.sum(F.col("value") + 1)).first()[0])
+
+
+def test_partition_clause_from_escaped_folder_names():
+    from tidemark.sources.catalog import _partition_clause
+
+    assert _partition_clause("p=a%2Fb") == "`p` = 'a/b'"
+    assert _partition_clause("p=it's") == "`p` = 'it\\'s'"
+    assert _partition_clause("d=2024-01-01/t=x%3Dy") == "`d` = '2024-01-01', `t` = 'x=y'"
+    assert _partition_clause("p=__HIVE_DEFAULT_PARTITION__") == "`p` = '__HIVE_DEFAULT_PARTITION__'"
