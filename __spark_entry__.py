@@ -340,6 +340,21 @@ def q_merge_partitioned_composite(spark, sf_dir):
     return target.read(spark)
 
 
+def q_merge_partitioned_bucketed(spark, sf_dir):
+    """merge_partitioned_composite into a target also bucketed by event_id: only the touched
+    partitions are read (bucket by bucket) and rewritten, keeping their bucket files."""
+    r = Run(spark, sf_dir)
+    keys = ["event_type", "event_id"]
+    target = r.table("events_by_type", partition_by=("event_type",), bucket_by=("event_id",), buckets=4)
+    r.sync(SyncSpec("ev_seed", write_mode="merge", merge_keys=keys, transforms=(upto("ts", "2024-01-25 00:00:00"),)),
+           r.parquet("events"), target)
+    r.sync(SyncSpec("ev_delta", mode="incremental", write_mode="merge", merge_keys=keys, watermark_columns=["ts"],
+                    initial_mark="2024-01-20"),
+           r.query("SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM {events} "
+                   "WHERE event_type <> 'signup'", "events"), target)
+    return target.read(spark)
+
+
 NULL_KEYED = ("SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_custkey END AS k, "
               "c_name, c_nationkey, c_acctbal%s AS c_acctbal, c_mktsegment FROM {customer}")
 
@@ -725,6 +740,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "merge_latest_wins": q_merge_latest_wins,
         "merge_partitioned_target": q_merge_partitioned_target,
         "merge_partitioned_composite": q_merge_partitioned_composite,
+        "merge_partitioned_bucketed": q_merge_partitioned_bucketed,
         "merge_null_keys": q_merge_null_keys,
         "merge_into_missing_table": q_merge_into_missing_table,
         "merge_closed_boundary": q_merge_closed_boundary,
@@ -825,6 +841,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM events "
             "WHERE ts > TIMESTAMP '2024-01-20' AND event_type <> 'signup'",
             "s.event_type = t.event_type AND s.event_id = t.event_id"),
+        "merge_partitioned_bucketed": merge_sql(
+            f"SELECT {EVENTS_COLS} FROM events WHERE ts <= TIMESTAMP '2024-01-25'",
+            "SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM events "
+            "WHERE ts > TIMESTAMP '2024-01-20' AND event_type <> 'signup'",
+            "s.event_type = t.event_type AND s.event_id = t.event_id"),
         "merge_null_keys": merge_sql(
             "SELECT CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_custkey END AS k, c_name, c_nationkey, "
             "c_acctbal, c_mktsegment FROM customer WHERE c_nationkey < 13",
