@@ -153,3 +153,14 @@ def test_latest_policy_matches_its_definition(spark, rows):
         expect.append(max((r for r in rows if r[0] == k), key=lambda r: (r[2], r[1])))
     got = M.reduce_duplicates(frame(spark, rows), ["k"], ["ts"]).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(expect, key=repr)
+
+
+def test_staged_key_payload_is_measured_exactly(spark, local_dir):
+    """String keys count their UTF-8 bytes (NULL as 0), fixed-width keys their width."""
+    from tidemark.operators.staging import stage
+
+    rows = [(1, "ab", 1), (2, "é", 2), (3, None, 3), (4, "東京", 4)]
+    batch = spark.createDataFrame(rows, "k bigint, v string, ts int")
+    staged = stage(spark, batch, f"{local_dir}/staged_keys", measure_keys=["k", "v"])
+    assert staged.rows == 4
+    assert staged.key_bytes == 4 * 8 + sum(len(v.encode()) for _, v, _ in rows if v is not None)
