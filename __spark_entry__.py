@@ -8,6 +8,7 @@ tables: what the sync must produce, written independently of how it is produced.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -31,6 +32,12 @@ from tidemark import (
 )
 from tidemark.workspace import ensure_checkpoint_dir, shared_root
 
+# The training-data operators are a subpackage of their own, which may be absent.
+if importlib.util.find_spec("tidemark.llm"):
+    from tidemark.llm import queries as llm_queries
+else:
+    llm_queries = None
+
 ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 
@@ -720,6 +727,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | (llm_queries.queries() if llm_queries else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "merge_incremental": q_merge_incremental,
         "merge_bucketed_target": q_merge_bucketed_target,
@@ -791,7 +806,7 @@ def merge_sql(t: str, s: str, on: str) -> str:
 EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     li_on = "s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber"
     two = f"SELECT * FROM ({TWO_MARKS_SQL}) WHERE created > TIMESTAMP '2000-06-01' OR modified > TIMESTAMP '2000-06-01'"
     events_batches = ["ts < TIMESTAMP '2024-01-10'",
