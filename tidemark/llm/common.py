@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
     for batch in batches:
         if not batch.num_rows:
             continue
-        size = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0)
         ends = np.cumsum(size.to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
@@ -71,21 +72,20 @@ def smallest_reachable(links: DataFrame, most_rounds: int = 200) -> DataFrame:
     """``(id, component)`` for each id in ``links`` (columns ``a``, ``b``, bigint): the smallest id it is linked to by any path.
 
     Rounds of the large-star and small-star operations (Kiveris et al., 2014). Each round groups by a vertex, but hands
-    every neighbour the group's *minimum*, which is a plain aggregate and joins back: no group is gathered in one task,
-    and a hub's rows are split by the adaptive join. Every round is staged in the shared folder; the rounds end when
-    nothing changes, after about log(n) of them.
+    every neighbour the group's *minimum*, which is a plain aggregate and joins back: no group is gathered in one task. Both
+    sides of a join are staged tables, so a hub's rows can be split by the adaptive join. The rounds end when nothing
+    changes, after about log(n) of them.
     """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     for _ in range(most_rounds):
         # large star: each larger neighbour of u is linked to the smallest id about u
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        both = staged(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
+        least = staged(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: the smaller neighbours of u, and u, are linked to the smallest of them
         large = staged(large.distinct(), "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(least, "u")
-        small = pairs.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
         after = staged(small.where("u <> v").distinct(), "small-star")
         if _same(edges, after):
             break
