@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, quality
+from . import bpe, fingerprints, quality, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.components(_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +41,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op8_quality_rules": op8_quality_rules,
