@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, quality, simhash
+from . import bpe, fingerprints, quality, simhash, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rows.select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -44,6 +48,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
         "op4_bpe_round_trip": op4_bpe_round_trip,
+        "op6_suffix_array_dedup": op6_suffix_array_dedup,
         "op8_quality_rules": op8_quality_rules,
     }
 
