@@ -163,6 +163,20 @@ class Vocabulary:
         self.learn({w for ws in cut for w in ws} - self.special.keys())
         return [[i for w in ws for i in ((self.special[w],) if w in self.special else self.known[w])] for ws in cut]
 
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and how many each text has."""
+        cut = [self.split(t) for t in texts]
+        number = {w: k for k, w in enumerate(dict.fromkeys(w for ws in cut for w in ws))}
+        self.learn(number.keys() - self.special.keys())
+        each = [(self.special[w],) if w in self.special else self.known[w] for w in number]
+        size = np.fromiter(map(len, each), np.int64, len(each))
+        flat = np.fromiter((i for x in each for i in x), np.int64, int(size.sum()))
+        words = np.fromiter((number[w] for ws in cut for w in ws), np.int64, sum(map(len, cut)))
+        n = size[words]
+        ids = flat[np.repeat((np.cumsum(size) - size)[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *map(len, cut)])]
+        return ids, np.diff(ends)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, quality, simhash, suffixes
+from . import bpe, fingerprints, order, packing, quality, simhash, suffixes, tools, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +30,18 @@ def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
 
 
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order.materialised(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(_table(spark, sf_dir, "documents"))
 
@@ -43,13 +51,26 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op9_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tools.linked(*tools.calls_of(_table(spark, sf_dir, "conversations")), tools.SCHEMAS)
+
+
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.resolved(warc.records_of(_table(spark, sf_dir, "pages")))
+    return rows.withColumn("headers", F.to_json("headers"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
         "op2_multiset_fingerprint": op2_multiset_fingerprint,
+        "op3_training_order": op3_training_order,
         "op4_bpe_round_trip": op4_bpe_round_trip,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op6_suffix_array_dedup": op6_suffix_array_dedup,
         "op8_quality_rules": op8_quality_rules,
+        "op9_tool_call_linking": op9_tool_call_linking,
+        "op10_warc_revisits": op10_warc_revisits,
     }
 
 
