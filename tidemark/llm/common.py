@@ -68,6 +68,37 @@ _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boole
           "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``d``, a bigint that orders the documents, and null texts made empty. It is doc_id where that is unique and never null; else
+    documents are the distinct pairs of doc_id (null last) and a hash of the text, in this order, so equal rows are one document."""
+    own = docs.withColumn("text", F.coalesce("text", F.lit("")))
+    if docs.where("doc_id IS NULL").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return own.withColumn("d", F.col("doc_id").cast("bigint"))
+    own = own.withColumn("_h", F.xxhash64("text")).withColumn("_o", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    numbers = staged(own.select("_o", "_h").distinct().orderBy("_o", "_h").withColumn("d", F.monotonically_increasing_id()), "numbers")
+    return own.join(numbers, ["_o", "_h"]).drop("_o", "_h")
+
+
+def folded(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``rest``, a struct of the other columns and doc_id, so that no name of theirs clashes with one used on the way."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+
+
+def unfolded(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with ``text`` as it is in ``found``."""
+    return found.select(*[F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+
+
+#: Lists of up to so many bytes, as staged, are sent to the documents; beyond it both sides are shuffled.
+SENT_BYTES = 8 << 20
+
+
+def with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined on ``d`` with a staged table of a row for some documents."""
+    size = int(str(lists._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return docs.join(F.broadcast(lists) if size <= SENT_BYTES else lists, "d", how)
+
+
 def smallest_reachable(links: DataFrame, most_rounds: int = 200) -> DataFrame:
     """``(id, component)`` for each id in ``links`` (columns ``a``, ``b``, bigint): the smallest id it is linked to by any path.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, order, packing, quality, simhash, suffixes, tools, warc
+from . import bpe, fingerprints, lines, order, packing, quality, simhash, suffixes, tools, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digests(_table(spark, sf_dir, "documents"))
 
 
+def op7_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digests(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return rows.select("doc_id", *quality.COUNTS, "base_failed", "kept")
@@ -60,6 +64,12 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("headers", F.to_json("headers"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
@@ -68,11 +78,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bpe_round_trip": op4_bpe_round_trip,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_suffix_array_dedup": op6_suffix_array_dedup,
+        "op7_fuzzy_line_dedup": op7_fuzzy_line_dedup,
         "op8_quality_rules": op8_quality_rules,
         "op9_tool_call_linking": op9_tool_call_linking,
         "op10_warc_revisits": op10_warc_revisits,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}

@@ -32,13 +32,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import slices, staged
+from .common import folded, numbered, slices, staged, unfolded, with_lists
 
 LENGTH, GRAM, STEP, CHUNK = 100, 32, 8, 2 << 20
 WIDTH = LENGTH - GRAM + 1  # grams in a window
 SAMPLED, SHARE, LEAST_HOT = 64, 50_000, 32
-LAST = (1 << 63) - 1
 CONTEXT = "h bigint, c bigint, d bigint, lo int, n int, done boolean"
 
 
@@ -183,7 +183,7 @@ def _settled(rows: DataFrame) -> DataFrame:
 
 def _pieces(docs: DataFrame, opened: DataFrame) -> DataFrame:
     """(route, d, lo, n, bytes) of the contexts to compare; those of hot grams are cut into contexts of ``STEP`` windows."""
-    lists = opened.groupBy("d").agg(F.collect_list(F.struct("lo", "n", "h", "hot")).alias("open"))  # one document's contexts
+    lists = staged(opened.groupBy("d").agg(F.collect_list(F.struct("lo", "n", "h", "hot")).alias("open")), "open")  # one document's contexts
     names = ["route", "d", "lo", "n", "bytes"]
 
     def run(batches):
@@ -197,7 +197,7 @@ def _pieces(docs: DataFrame, opened: DataFrame) -> DataFrame:
                         x.extend(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=names)
 
-    return docs.join(lists, "d").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
+    return with_lists(docs, lists, "inner").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
 
 
 def _piece(data: bytes, h: int, d: int, lo: int, n: int) -> list[tuple]:
@@ -289,16 +289,6 @@ def _compared(pieces: DataFrame) -> DataFrame:
     return pieces.repartition("route").sortWithinPartitions("route").mapInArrow(run, "d bigint, lo int, n int")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``d``, a number that orders the documents. It is doc_id where that is unique and never null."""
-    own = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    if docs.where("doc_id IS NULL").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return own.withColumn("d", F.col("doc_id"))
-    own = own.withColumn("_h", F.xxhash64("text")).withColumn("_o", F.coalesce("doc_id", F.lit(LAST)))
-    numbers = staged(own.select("_o", "_h").distinct().orderBy("_o", "_h").withColumn("d", F.monotonically_increasing_id()), "numbers")
-    return own.join(numbers, ["_o", "_h"]).drop("_o", "_h")
-
-
 def repeats(docs: DataFrame) -> DataFrame:
     """(d, lo, n): runs of windows, in the bytes of document ``d``, that also start earlier. ``docs`` has d and text."""
     distinct = docs.select("d", "text")
@@ -326,9 +316,9 @@ def covered(size: int, runs: list) -> np.ndarray:
 
 def _with_runs(docs: DataFrame) -> DataFrame:
     # a document's runs number no more than its bytes; repeated rows share a ``d`` and are one document
-    numbered = _numbered(docs)
-    lists = staged(repeats(numbered).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
-    return numbered.join(lists, "d", "left")
+    own = numbered(docs)
+    lists = staged(repeats(own).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
+    return with_lists(own, lists, "left")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -351,17 +341,19 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats cut out of ``text``. A code point that is only partly covered stays; a null text stays null."""
-    @F.pandas_udf("string")
-    def rest(texts, runs):
-        def one(t, r):
-            if r is None or not len(r):
-                return t
-            data = np.frombuffer(t.encode(), np.uint8)
-            starts = np.flatnonzero((data & 0xC0) != 0x80)
-            stays = np.maximum.reduceat(~covered(len(data), r), starts)
-            return data[np.repeat(stays, np.diff(np.append(starts, len(data))))].tobytes().decode()
-
-        return texts.combine(runs, one)
-
-    found = _with_runs(docs)
-    return found.select(*[F.when(F.col("runs").isNull(), F.col("text")).otherwise(rest("text", "runs")).alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    def cut(text, runs):
+        if text is None or not runs:
+            return text
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts = np.flatnonzero((data & 0xC0) != 0x80)
+        stays = np.maximum.reduceat(~covered(len(data), runs), starts)
+        return data[np.repeat(stays, np.diff(np.append(starts, len(data))))].tobytes().decode()
+
+    def run(batches):
+        for part in slices(batches, "text"):
+            texts = [cut(t, r) for t, r in zip(part.column(0).to_pylist(), part.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), part.column(1)], names=["text", "rest"])
+
+    own = folded(docs).withColumn("whole", F.col("text"))
+    found = _with_runs(own).select(F.col("whole").alias("text"), "rest", "runs")
+    return unfolded(found.mapInArrow(run, T.StructType([f for f in found.schema if f.name in ("text", "rest")])), docs)
