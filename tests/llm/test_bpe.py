@@ -1,0 +1,59 @@
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tests.conftest import SF
+from tidemark.llm import bpe
+from tidemark.llm.queries import tokenizer_path
+
+from .helpers import ODD, documents
+
+LIBRARY = Tokenizer.from_file(tokenizer_path())
+OWN = bpe.Vocabulary.read(tokenizer_path())
+
+
+def ids(text):
+    return LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=200))
+def test_any_text(text):
+    assert OWN.encode_batch([text])[0] == ids(text)
+    assert OWN.decode(ids(text)) == LIBRARY.decode(ids(text), skip_special_tokens=False)
+
+
+def test_repeats_long_words_and_special_tokens():
+    r = random.Random(1)
+    texts = ["a" * 3000, "ab" * 900, "".join(r.choice("abcdeé") for _ in range(4000)), "the" * 500, "<|endoftext|>a<|endoftext|>", "<|endoftext|", "  x\r\n\n y", ""]
+    texts += ["".join(r.choice("abcdefgh ") for _ in range(r.randint(1, 900))) for _ in range(200)]
+    assert OWN.encode_batch(texts) == [ids(t) for t in texts]
+    flat, n = OWN.encode_flat(texts)
+    assert flat.tolist() == [i for t in texts for i in ids(t)] and n.tolist() == [len(ids(t)) for t in texts]
+
+
+def test_rounds_and_heap_agree():
+    words = [b"abababab", b"thethethe", "é".encode() * 50, b"a", b"zzzzzzz"]
+    assert OWN.merge_rounds(words) == [OWN.merge_heap(w) for w in words]
+
+
+def test_tables_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = bpe.encoded(docs, tokenizer_path())
+    assert {r.doc_id: r.ids for r in rows.collect()} == {i: ids(t) for i, t in texts.items()}
+    assert {r.doc_id: r.text for r in bpe.decoded(rows, tokenizer_path()).collect()} == texts
+
+
+def test_digests_and_odd_rows(spark):
+    import hashlib
+
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    docs = documents(spark, ODD, extra=True)
+    want = sorted((i if i is not None else -1, len(ids(t or "")), sha(",".join(map(str, ids(t or "")))), sha(t or "")) for i, t in ODD)
+    got = bpe.round_trips(docs, tokenizer_path()).collect()
+    assert sorted((r[0] if r[0] is not None else -1, *r[1:]) for r in got) == want
+    assert bpe.round_trips(docs.limit(0), tokenizer_path()).count() == 0
+    assert OWN.decode([220, 94]) == LIBRARY.decode([220, 94], skip_special_tokens=False)
