@@ -58,7 +58,7 @@ def resolved(records: DataFrame) -> DataFrame:
     """
     own = records.select("record_id", "kind", canonical_url(F.col("url")).alias("url"), F.coalesce("date", F.lit(-(1 << 62))).alias("date"),
                          _named(F.col("headers")).alias("headers"), "payload_digest").withColumn("span", F.floor(F.col("date") / SPAN))
-    response = F.when(F.col("kind") == "response", F.struct("date", "record_id", "headers", "payload_digest"))
+    response = F.when((F.col("kind") == "response") & F.col("url").isNotNull(), F.struct("date", "record_id", "headers", "payload_digest"))
     inside = Window.partitionBy("url", "span").orderBy(F.col("date"), F.col("record_id").asc_nulls_first(), F.col("kind")).rowsBetween(Window.unboundedPreceding, -1)
     asked = own.where("kind IN ('response', 'revisit')").withColumn("found", F.last(response, ignorenulls=True).over(inside)).where("kind = 'revisit'")
     # the last response of each span of a URL that has one, and from which span it holds on
