@@ -77,3 +77,28 @@ def test_mark_lag_is_independent_of_the_session_zone(spark, local_dir):
     assert results[0] == results[1]
     assert results[0] == {"ntz": (172800.0, None, True), "day": (172800.0, None, True), "num": (None, 50.0, True),
                           "never": (None, None, True)}
+
+
+def test_reconcile_keys_marks_nulls_and_aligns_types(spark):
+    a = spark.createDataFrame([(1, None, "x"), (2, "y", "z"), (None, "n", None)], "k int, a string, b string")
+    b = spark.createDataFrame([(1, "x", None), (2, "y", "z"), (None, "n", None)], "k bigint, a string, b string")
+    assert [tuple(r) for r in checks.reconcile_keys(a, b, ["k"]).collect()] == [(1, "changed")]
+    five = spark.createDataFrame([(1, 5, {"p": 1, "q": 2})], "k int, v int, m map<string,int>")
+    same = spark.createDataFrame([(1, 5, {"q": 2, "p": 1})], "k int, v bigint, m map<string,int>")
+    assert checks.reconcile_keys(five, same, ["k"]).count() == 0
+    plan = checks.reconcile_keys(a, b, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_lag_of_large_integers_and_long_decimals(spark, local_dir):
+    from decimal import Decimal
+
+    from tidemark import Mark, StateStore
+
+    store = StateStore(spark, path=f"{local_dir}/state_big")
+    store.put("big", ("c", "s", "t"), "k", Mark("bigint", 2**60), 1)
+    store.put("dec", ("c", "s", "d"), "x", Mark("decimal", Decimal("1.000000000098")), 1)
+    src = spark.createDataFrame([(2**60 + 50, Decimal("1.000000000100"))], "k bigint, x decimal(20,12)")
+    newest = checks.newest_marks({"big": (src, ["k"]), "dec": (src, ["x"])})
+    got = {r.pipeline_id: (r.lag_units, r.stale) for r in checks.mark_lag(store.current(), newest, dt.timedelta(days=1), stale_after_units=10).collect()}
+    assert got == {"big": (50.0, True), "dec": (2e-12, False)}

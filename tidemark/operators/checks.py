@@ -14,7 +14,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, MapType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.marks import kind_of
 
@@ -48,36 +48,35 @@ def reconcile_rows(source: DataFrame, target: DataFrame, columns: Sequence[str]
     return counted.where(F.col("source_rows") != F.col("target_rows"))
 
 
+def _comparable(column: Column, dtype: DataType) -> Column:
+    """A value that can be hashed: a map as its entries in the order of its keys."""
+    return F.array_sort(F.map_entries(column)) if isinstance(dtype, MapType) else column
+
+
 def reconcile_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keyed comparison: per key, ``missing_in_target``, ``missing_in_source`` or ``changed``.
 
-    Each side is first reduced to one row per key — row count and an order-independent
-    hash of its rows (map-side partial aggregation) — so the full outer join is 1:1 even when
-    a key repeats or holds a third of all rows: no pairs within a key are ever formed.
-    NULL keys compare as equal (null-safe join).
+    Both sides are tagged and put together (which brings each column to a common type), and one
+    aggregation per key counts the rows of each side and sums two hashes of their values, NULLs marked:
+    one shuffle, partially aggregated, so a hot key costs a row per task and no pairs are
+    formed. NULL keys compare as equal. Values are compared by the sums of two 64-bit
+    hashes, not byte by byte; maps may be columns, but not inside other columns.
     """
     keys = list(keys)
     values = [c for c in source.columns if c not in keys]
-
-    def per_key(df: DataFrame, tag: str) -> DataFrame:
-        row_hash = F.xxhash64(*[F.col(c) for c in values]).cast("decimal(38,0)") if values else F.lit(0)
-        return df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"n_{tag}"), F.sum(row_hash).alias(f"h_{tag}")
-        ).select(*[F.col(k).alias(f"{tag}_{k}") for k in keys], f"n_{tag}", f"h_{tag}")
-
-    s, t = per_key(source, "s"), per_key(target, "t")
-    cond = None
-    for k in keys:
-        test = F.col(f"s_{k}").eqNullSafe(F.col(f"t_{k}"))
-        cond = test if cond is None else cond & test
-    joined = s.join(t, on=cond, how="full_outer")
+    both = source.select(*keys, *values, F.lit(True).alias("_s")).unionByName(target.select(*keys, *values, F.lit(False).alias("_s")))
+    parts = [x for c in values for x in (F.col(c).isNull(), _comparable(F.col(c), both.schema[c].dataType))]
+    hashes = [F.xxhash64(F.lit(k), *parts).cast("decimal(38,0)") for k in (1, 2)]
+    own = F.col("_s")
+    sums = [F.coalesce(F.sum(F.when(own, h)), F.lit(0)) - F.coalesce(F.sum(F.when(~own, h)), F.lit(0)) for h in hashes]
+    counted = both.groupBy(*keys).agg(
+        F.count_if(own).alias("_ns"), F.count_if(~own).alias("_nt"), *[x.alias(f"_h{i}") for i, x in enumerate(sums)])
     status = (
-        F.when(F.col("n_t").isNull(), F.lit("missing_in_target"))
-        .when(F.col("n_s").isNull(), F.lit("missing_in_source"))
-        .when((F.col("n_s") != F.col("n_t")) | (F.col("h_s") != F.col("h_t")), F.lit("changed"))
+        F.when(F.col("_nt") == 0, F.lit("missing_in_target"))
+        .when(F.col("_ns") == 0, F.lit("missing_in_source"))
+        .when((F.col("_ns") != F.col("_nt")) | (F.col("_h0") != 0) | (F.col("_h1") != 0), F.lit("changed"))
     )
-    key_cols = [F.when(F.col("n_s").isNotNull(), F.col(f"s_{k}")).otherwise(F.col(f"t_{k}")).alias(k) for k in keys]
-    return joined.select(*key_cols, status.alias("status")).where(F.col("status").isNotNull())
+    return counted.select(*keys, status.alias("status")).where(F.col("status").isNotNull())
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -166,8 +165,7 @@ def stale_marks(state_current: DataFrame, older_than: dt.timedelta, now: dt.date
 
 def run_monitor(runs: DataFrame, long_run_seconds: float = 3600.0) -> DataFrame:
     """Per pipeline: runs, failures, zero-row runs, long runs, rows synced, last success."""
-    done = runs.where(F.col("status") != "STAGED")
-    return done.groupBy("pipeline_id").agg(
+    return runs.groupBy("pipeline_id").agg(
         F.count(F.lit(1)).alias("runs"),
         F.count_if(F.col("status") == "FAILED").alias("failures"),
         F.count_if((F.col("status") == "SUCCESS") & (F.col("records_synced") == 0)).alias("zero_row_runs"),
@@ -193,11 +191,19 @@ def _as_micros(value: Column, dtype: DataType) -> Column:
 
 
 def _lag_parts(value: Column, dtype: DataType) -> list[Column]:
-    """A mark value as ``newest_micros`` (instants, wall clocks, dates) or ``newest_number``."""
+    """A mark value as ``newest_micros`` (instants, wall clocks, dates) or ``newest_number``, the digits as text."""
     kind = kind_of(dtype)
     micros = _as_micros(value, dtype) if kind in ("timestamp", "timestamp_ntz", "date") else F.lit(None)
-    number = value.cast("double") if kind in ("bigint", "int", "decimal") else F.lit(None)
-    return [micros.cast("bigint").alias("newest_micros"), number.cast("double").alias("newest_number")]
+    number = value.cast("string") if kind in ("bigint", "int", "decimal") else F.lit(None)
+    return [micros.cast("bigint").alias("newest_micros"), number.cast("string").alias("newest_number")]
+
+
+def _difference(a: Column, b: Column) -> Column:
+    """``a - b`` of two numbers written as text, exact where 38 digits hold them, as a double."""
+    exact = [a.try_cast(t) - b.try_cast(t) for t in ("decimal(38,0)", "decimal(38,18)", "decimal(38,10)")]
+    whole = ~a.contains(".") & ~b.contains(".")
+    return F.when(whole, exact[0].cast("double")).otherwise(
+        F.coalesce(exact[1].cast("double"), exact[2].cast("double"), a.cast("double") - b.cast("double")))
 
 
 def newest_marks(sources: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
@@ -230,15 +236,15 @@ def mark_lag(state_current: DataFrame, newest: DataFrame, stale_after: dt.timede
         .when(kind == "date", _wall_micros(F.col("watermark_value_date").cast("timestamp_ntz")))
     )
     stored_number = (
-        F.when(kind == "bigint", F.col("watermark_value_bigint").cast("double"))
-        .when(kind == "int", F.col("watermark_value_int").cast("double"))
-        .when(kind == "decimal", F.col("watermark_value_decimal").cast("double"))
+        F.when(kind == "bigint", F.col("watermark_value_bigint").cast("string"))
+        .when(kind == "int", F.col("watermark_value_int").cast("string"))
+        .when(kind == "decimal", F.col("watermark_value_decimal"))
     )
     state = state_current.select("pipeline_id", "watermark_type", stored_micros.alias("m_micros"),
                                  stored_number.alias("m_number"))
     joined = newest.join(state, on="pipeline_id", how="left")
     lag_seconds = (F.col("newest_micros") - F.col("m_micros")) / F.lit(1_000_000.0)
-    lag_units = F.col("newest_number") - F.col("m_number")
+    lag_units = _difference(F.col("newest_number"), F.col("m_number"))
     has_rows = F.col("newest_micros").isNotNull() | F.col("newest_number").isNotNull()
     units_limit = F.lit(stale_after_units if stale_after_units is not None else float("inf"))
     stale = (
