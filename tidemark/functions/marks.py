@@ -24,7 +24,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from dataclasses import dataclass
-from decimal import Decimal, InvalidOperation
+from decimal import Context, Decimal, InvalidOperation
 from functools import reduce
 from typing import Any, Iterable, Sequence
 from zoneinfo import ZoneInfo
@@ -51,6 +51,9 @@ KINDS = ("timestamp", "timestamp_ntz", "date", "bigint", "int", "decimal", "stri
 DATE_TEXT = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 DATETIME_TEXT = re.compile(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?$")
 
+# Decimal columns have up to 38 digits.
+EXACT = Context(prec=100)
+
 _EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
@@ -74,6 +77,18 @@ class Mark:
         return str(self.value)
 
 
+    def exact_text(self) -> str:
+        """Text that :func:`from_text` reads back to an equal mark."""
+        return str(self.value) if self.kind != "timestamp_ntz" and self.kind != "date" else self.value.isoformat()
+
+
+def from_text(kind: str, text: str) -> Mark:
+    """The mark that ``exact_text`` wrote."""
+    read = {"timestamp": int, "bigint": int, "int": int, "decimal": Decimal, "date": dt.date.fromisoformat,
+            "timestamp_ntz": dt.datetime.fromisoformat, "string": str}
+    return Mark(kind, read[kind](text))
+
+
 def kind_of(dtype: DataType) -> str:
     """Mark kind for a Spark column type; raises for types that cannot carry a mark."""
     if isinstance(dtype, TimestampNTZType):
@@ -199,7 +214,9 @@ def literal(mark: Mark, dtype: DataType) -> Column:
     if mark.kind in ("bigint", "int"):
         return F.lit(mark.value).cast(dtype)
     if mark.kind == "decimal":
-        return F.lit(format(mark.value, "f")).cast(dtype)
+        # Of exactly the mark's scale: rounded to the column's scale it could pass or skip a row.
+        scale = max(dtype.scale, -mark.value.as_tuple().exponent, 0)
+        return F.lit(format(mark.value, "f")).cast(DecimalType(min(38, dtype.precision - dtype.scale + scale), min(scale, 38)))
     return F.lit(mark.value)
 
 
@@ -262,10 +279,15 @@ def shift_back(mark: Mark, lookback: Any) -> Mark:
     if mark.kind in ("timestamp_ntz", "date"):
         if not isinstance(lookback, dt.timedelta):
             raise TypeError(f"lookback for a {mark.kind} mark must be a timedelta")
+        if mark.kind == "date" and lookback % dt.timedelta(days=1):
+            raise ValueError(f"lookback {lookback} for a date mark is not a whole number of days")
         return Mark(mark.kind, mark.value - lookback)
     if mark.kind in ("bigint", "int", "decimal"):
         if isinstance(lookback, dt.timedelta):
             raise TypeError(f"lookback for a {mark.kind} mark must be a number")
-        value = mark.value - (Decimal(lookback) if mark.kind == "decimal" else int(lookback))
-        return Mark(mark.kind, value)
+        if mark.kind == "decimal":
+            return Mark(mark.kind, EXACT.subtract(mark.value, Decimal(str(lookback))))
+        if int(lookback) != lookback:
+            raise ValueError(f"lookback {lookback!r} for a {mark.kind} mark is not a whole number")
+        return Mark(mark.kind, mark.value - int(lookback))
     raise TypeError("a string mark has no lookback")

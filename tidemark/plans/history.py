@@ -6,10 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampType
 
 from ..workspace import shared_root
-from .state import SIMPLE_ID, compact_partition, path_exists
+from .state import compact_partition, partition_folder, path_exists
 
 HISTORY_SCHEMA = StructType([
     StructField("run_id", StringType()),
@@ -24,36 +24,27 @@ HISTORY_SCHEMA = StructType([
     StructField("started_at", TimestampType()),
     StructField("finished_at", TimestampType()),
     StructField("duration_seconds", DoubleType()),
-    StructField("source_scans", IntegerType()),
     StructField("message", StringType()),
     StructField("pipeline_id", StringType()),
 ])
 
 
-# Statuses that end a run (compaction is checked after these).
-FINAL_STATUSES = ("SUCCESS", "FAILED", "RECOVERED")
-
-
 class RunHistory:
-    def __init__(self, spark: SparkSession, path: str | None = None, compact_after_files: int | None = 256):
-        """``compact_after_files``: once a pipeline's folder holds more files than this, the
-        end of a run rewrites it as one file (``None``: never)."""
+    def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = (path or f"{shared_root(spark)}/state/runs").rstrip("/")
-        self.compact_after_files = compact_after_files
 
     def runs(self, pipeline_id: str | None = None) -> DataFrame:
         """One row per recorded run stage. Rows are unique by construction, so exact repeats can
         only be a compaction in progress and are dropped."""
-        if not path_exists(self.spark, self.path):
+        path = self.path if pipeline_id is None else partition_folder(self.spark, self.path, pipeline_id)
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], HISTORY_SCHEMA)
-        df = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.path)
-        df = df if pipeline_id is None else df.where(F.col("pipeline_id") == pipeline_id)
-        return df.distinct()
+        return self.spark.read.option("basePath", self.path).schema(HISTORY_SCHEMA).parquet(path).distinct()
 
-    def compact(self, pipeline_id: str, min_files: int = 0) -> int:
-        """Rewrite one pipeline's run history as one file; returns the number of files replaced."""
-        return compact_partition(self.spark, self.path, pipeline_id, HISTORY_SCHEMA, min_files, lambda df: df.distinct())
+    def compact(self, pipeline_id: str, min_files: int = 1) -> int:
+        """Maintenance: one pipeline's run history in one file, every row kept."""
+        return compact_partition(self.spark, self.path, pipeline_id, HISTORY_SCHEMA, min_files)
 
     def record(self, **fields) -> None:
         """Append one row; timestamps are Python datetimes of the driver clock (UTC)."""
@@ -66,25 +57,6 @@ class RunHistory:
                 values.append(F.lit(v).cast(f.dataType).alias(f.name))
         self.spark.range(1).select(*values).coalesce(1).write.mode("append") \
             .partitionBy("pipeline_id").parquet(self.path)
-        if self.compact_after_files is not None and fields.get("status") in FINAL_STATUSES and fields.get("pipeline_id"):
-            self.compact(fields["pipeline_id"], self.compact_after_files)
-
-    def find(self, pipeline_id: str, batch_id: str) -> list[dict]:
-        part = f"{self.path}/pipeline_id={pipeline_id}"
-        if not SIMPLE_ID.match(pipeline_id) or not path_exists(self.spark, part):
-            if not SIMPLE_ID.match(pipeline_id):
-                return self._find_all(pipeline_id, batch_id)
-            return []
-        df = self.spark.read.option("basePath", self.path).schema(HISTORY_SCHEMA).parquet(part)
-        # Repeats (a compaction in progress) cannot change the answer: no distinct needed.
-        rows = df.where(F.col("batch_id") == batch_id) \
-            .select("status", "records_synced", "mark_after", "version", "started_at").collect()
-        return [r.asDict() for r in rows]
-
-    def _find_all(self, pipeline_id: str, batch_id: str) -> list[dict]:
-        rows = self.runs(pipeline_id).where(F.col("batch_id") == batch_id) \
-            .select("status", "records_synced", "mark_after", "version", "started_at").collect()
-        return [r.asDict() for r in rows]
 
 
 def _micros(v: dt.datetime) -> int:

@@ -1,24 +1,22 @@
 """High-water-mark state: one current row per (pipeline, connection, schema, table).
 
 Stored as an append-only Parquet log partitioned by ``pipeline_id``: an update appends one
-row with a higher ``revision``; the current state is the newest revision per key. Appends
+row whose ``revision`` is one more than the key's last; the current state is the newest per key. Appends
 from concurrently running pipelines never conflict, a failed run leaves nothing half-written,
 and a lookup reads one partition. Column names follow the original ``_watermarks`` layout
-(so old state can be migrated), with typed value columns added for ``timestamp_ntz``,
-``date`` and ``decimal`` marks.
+(so old state can be migrated), with value columns added for ``timestamp_ntz`` and ``date`` marks and for
+``decimal`` marks, which are kept as text with every digit of the column's own scale.
 """
 
 from __future__ import annotations
 
-import re
-import time
+from decimal import Decimal
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
-    DecimalType,
     IntegerType,
     LongType,
     StringType,
@@ -47,7 +45,7 @@ STATE_SCHEMA = StructType([
     StructField("last_record_count", LongType()),
     StructField("watermark_value_timestamp_ntz", TimestampNTZType()),
     StructField("watermark_value_date", DateType()),
-    StructField("watermark_value_decimal", DecimalType(38, 10)),
+    StructField("watermark_value_decimal", StringType()),
     StructField("revision", LongType()),
     StructField("batch_id", StringType()),
     StructField("pipeline_id", StringType()),
@@ -64,9 +62,7 @@ VALUE_COLUMN = {
     "string": "watermark_value_string",
 }
 
-# Pipeline ids whose partition folder name needs no escaping.
-SIMPLE_ID = re.compile(r"^[A-Za-z0-9_.\-]+$")
-
+# Column names of the layout that state may be taken over from.
 LEGACY_COLUMNS = ("databaseName", "tableName", "wmType", "timestampWm", "bigIntWm", "intWm", "stringWm")
 
 
@@ -76,6 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def partition_folder(spark: SparkSession, root: str, pipeline_id: str) -> str:
+    """A pipeline's folder in a log, its id escaped as Spark writes it."""
+    escaped = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(pipeline_id)
+    return f"{root}/pipeline_id={escaped}"
+
+
 def data_files(spark: SparkSession, folder: str) -> list[str]:
     """The Parquet data files directly in ``folder`` (no markers, no hidden files)."""
     jvm = spark.sparkContext._jvm
@@ -95,22 +97,18 @@ def delete_files(spark: SparkSession, files: Sequence[str]) -> None:
         path.getFileSystem(conf).delete(path, False)
 
 
-def compact_partition(spark: SparkSession, root: str, pipeline_id: str, schema: StructType, min_files: int,
-                      reduce_rows) -> int:
-    """Rewrite one pipeline's folder of a log as one file once it holds more than ``min_files``.
+def compact_partition(spark: SparkSession, root: str, pipeline_id: str, schema: StructType, min_files: int = 1) -> int:
+    """Maintenance: rewrite one pipeline's folder of a log as one file, keeping every row. Returns the number
+    of files replaced.
 
-    The listed files are read, reduced (``reduce_rows``), written as one new file, and only
-    then deleted. A reader in between sees the new file next to the old ones: the rows it adds
-    repeat rows that are still there, which the readers' newest-revision (state) or
-    exact-duplicate (history) rule absorbs. A crash in between leaves the same harmless
-    repetition, removed by the next compaction. Returns the number of files removed.
+    The listed files are read, written as one new file, and only then deleted. A reader in between, or after a
+    crash there, sees rows twice; rows of the logs are unique, so readers drop exact repeats. Call it while the
+    pipeline is not running.
     """
-    if not SIMPLE_ID.match(pipeline_id):
-        return 0
-    files = data_files(spark, f"{root}/pipeline_id={pipeline_id}")
+    files = data_files(spark, partition_folder(spark, root, pipeline_id))
     if len(files) <= min_files:
         return 0
-    rows = reduce_rows(spark.read.option("basePath", root).schema(schema).parquet(*files))
+    rows = spark.read.option("basePath", root).schema(schema).parquet(*files).distinct()
     rows.coalesce(1).write.mode("append").partitionBy("pipeline_id").parquet(root)
     delete_files(spark, files)
     return len(files)
@@ -128,7 +126,7 @@ def _mark_literal(mark: Mark | None, kind_column: str) -> Column:
     if mark.kind == "date":
         return F.lit(mark.value.isoformat()).cast(dtype)
     if mark.kind == "decimal":
-        return F.lit(format(mark.value, "f")).cast(dtype)
+        return F.lit(format(mark.value, "f"))
     return F.lit(mark.value).cast(dtype)
 
 
@@ -142,30 +140,25 @@ def latest(log: DataFrame, keys: Sequence[str] = KEY_COLUMNS) -> DataFrame:
 class StateStore:
     """Mark state under ``<shared root>/state/<name>`` (or an explicit ``path``)."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, name: str = "watermarks",
-                 compact_after_files: int | None = 64):
-        """``compact_after_files``: once a pipeline's folder holds more files than this, ``put``
-        rewrites it to the current rows in one file (``None``: never; see :meth:`compact`)."""
+    def __init__(self, spark: SparkSession, path: str | None = None, name: str = "watermarks"):
         self.spark = spark
         self.path = (path or f"{shared_root(spark)}/state/{name}").rstrip("/")
-        self.compact_after_files = compact_after_files
 
     def _stored(self, pipeline_id: str | None) -> DataFrame | None:
         """The stored log (one pipeline: only its partition folder is listed); ``None`` if nothing is stored."""
-        if pipeline_id is not None and SIMPLE_ID.match(pipeline_id):
-            part = f"{self.path}/pipeline_id={pipeline_id}"
+        if pipeline_id is not None:
+            part = partition_folder(self.spark, self.path, pipeline_id)
             if not path_exists(self.spark, part):
                 return None
             return self.spark.read.option("basePath", self.path).schema(STATE_SCHEMA).parquet(part)
         if not path_exists(self.spark, self.path):
             return None
-        df = self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
-        return df if pipeline_id is None else df.where(F.col("pipeline_id") == pipeline_id)
+        return self.spark.read.schema(STATE_SCHEMA).parquet(self.path)
 
     def log(self, pipeline_id: str | None = None) -> DataFrame:
         """The raw log, one row per state update."""
         df = self._stored(pipeline_id)
-        return self.spark.createDataFrame([], STATE_SCHEMA) if df is None else df
+        return self.spark.createDataFrame([], STATE_SCHEMA) if df is None else df.distinct()
 
     def current(self, pipeline_id: str | None = None) -> DataFrame:
         """Current state, one row per key (``pipeline_id`` prunes to one partition)."""
@@ -187,22 +180,30 @@ class StateStore:
         rows = newest.select(*exprs).collect()
         return rows[0].asDict() if rows else None
 
-    def get(self, pipeline_id: str, identity) -> Mark | None:
-        """The stored mark, typed by its tag; ``None`` when the key has no mark yet."""
+    def lookup(self, pipeline_id: str, identity) -> tuple[Mark | None, int]:
+        """The stored mark, typed by its tag (``None`` when the key has no mark yet), and the key's revision
+        (0 when it has no row), to be handed to :meth:`put`."""
         row = self._row(pipeline_id, identity)
-        if row is None or row["watermark_type"] is None:
-            return None
-        kind = row["watermark_type"]
-        value = row[VALUE_COLUMN[kind]]
-        return None if value is None else Mark(kind, value)
+        if row is None:
+            return None, 0
+        kind, revision = row["watermark_type"], row["revision"] or 0
+        value = row[VALUE_COLUMN[kind]] if kind is not None else None
+        if value is None:
+            return None, revision
+        return Mark(kind, Decimal(value) if kind == "decimal" else value), revision
+
+    def get(self, pipeline_id: str, identity) -> Mark | None:
+        """The stored mark; ``None`` when the key has no mark yet."""
+        return self.lookup(pipeline_id, identity)[0]
 
     def put(self, pipeline_id: str, identity, column: str, mark: Mark | None, record_count: int,
-            batch_id: str = "") -> None:
+            batch_id: str = "", revision: int | None = None) -> None:
         """Append the new state row (typed columns, explicit schema).
 
-        ``revision`` is the update time in microseconds: one pipeline updates its own keys
-        one run at a time, so later updates of a key carry larger revisions."""
-        revision = time.time_ns() // 1000
+        Its revision is one more than ``revision``, the key's revision as the run read it (looked up here when
+        not given): the order of updates does not depend on any clock."""
+        if revision is None:
+            revision = self.lookup(pipeline_id, identity)[1]
         conn, schema, table = identity
         values = {
             "source_connection": F.lit(conn),
@@ -212,7 +213,7 @@ class StateStore:
             "watermark_type": F.lit(mark.kind if mark else None).cast("string"),
             "last_updated": F.current_timestamp(),
             "last_record_count": F.lit(int(record_count)).cast("bigint"),
-            "revision": F.lit(revision).cast("bigint"),
+            "revision": F.lit(revision + 1).cast("bigint"),
             "batch_id": F.lit(batch_id),
             "pipeline_id": F.lit(pipeline_id),
         }
@@ -220,14 +221,10 @@ class StateStore:
             values[col] = _mark_literal(mark, col)
         row = self.spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in STATE_SCHEMA.fields])
         row.coalesce(1).write.mode("append").partitionBy("pipeline_id").parquet(self.path)
-        if self.compact_after_files is not None:
-            self.compact(pipeline_id, self.compact_after_files)
-
-    def compact(self, pipeline_id: str, min_files: int = 0) -> int:
-        """Keep only the current row per key of one pipeline, in one file (a log of one file per
-        run would otherwise make every lookup list and open all of them). Run by the pipeline
-        itself after its update, so no other writer touches the folder meanwhile."""
-        return compact_partition(self.spark, self.path, pipeline_id, STATE_SCHEMA, min_files, latest)
+
+    def compact(self, pipeline_id: str, min_files: int = 1) -> int:
+        """Maintenance: one pipeline's log in one file, every row kept (see :func:`compact_partition`)."""
+        return compact_partition(self.spark, self.path, pipeline_id, STATE_SCHEMA, min_files)
 
     def report(self, pipeline_id: str | None = None) -> DataFrame:
         """State report, newest first."""
