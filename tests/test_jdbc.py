@@ -132,3 +132,33 @@ def test_upsert_through_a_staging_table_rolls_back_as_a_whole(spark, derby_url):
 def test_upsert_mode_is_validated(derby_url):
     with pytest.raises(ValueError):
         JdbcTable(derby_url, table="APP.T", upsert="merge_into")
+
+
+def test_a_missing_database_is_an_error_not_a_missing_table(spark):
+    with pytest.raises(Exception):
+        JdbcTable("jdbc:derby:memory:never_made", table="APP.T").exists(spark)
+
+
+def test_upsert_with_a_text_key_and_a_missing_column(spark, derby_url):
+    jt = JdbcTable(derby_url, table="APP.TEXTKEYS", column_types="k VARCHAR(20)")
+    jt.publish_overwrite(spark, spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "k string, v int, w int"), "", "v0")
+    with pytest.raises(ValueError):
+        jt.publish_merge(spark, spark.createDataFrame([("a", 9)], "k string, v int"), "", ["k"], "v1", duplicate_keys="error", order_columns=[])
+    jt.publish_merge(spark, spark.createDataFrame([("a", 9, 90), ("c", 3, 30)], "k string, v int, w int"), "", ["k"], "v1",
+                     duplicate_keys="error", order_columns=[])
+    assert _rows(spark, derby_url, "APP.TEXTKEYS") == [("a", 9, 90), ("b", 2, 20), ("c", 3, 30)]
+
+
+def test_append_into_jdbc_is_replayed_once(spark, run, derby_url):
+    from tidemark import StateStore, sync
+
+    class Dying(StateStore):
+        def put(self, *args, **kw):
+            raise RuntimeError("crash")
+
+    jt = JdbcTable(derby_url, table="APP.REPLAY", options=NTZ, column_types=TYPES)
+    spec = SyncSpec("r", mode="incremental", write_mode="append", watermark_columns=["o_orderdate"])
+    with pytest.raises(RuntimeError):
+        sync(spark, spec, run.parquet("orders"), jt, Dying(spark, path=run.state.path), run.history)
+    assert run.sync(spec, run.parquet("orders"), jt).status == "RECOVERED"
+    assert jt.read(spark).count() == run.parquet("orders").read(spark).count()
