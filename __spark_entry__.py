@@ -8,7 +8,7 @@ tables: what the sync must produce, written independently of how it is produced.
 
 from __future__ import annotations
 
-import importlib.util
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -30,12 +30,14 @@ from tidemark import (
     sync,
     sync_chain,
 )
-from tidemark.workspace import ensure_checkpoint_dir, shared_root
+from tidemark.workspace import checkpoint_dir, shared_root
 
 # The training-data operators are a subpackage of their own, which may be absent.
-if importlib.util.find_spec("tidemark.llm"):
+try:
     from tidemark.llm import queries as llm_queries
-else:
+except ImportError as missing:
+    if not (missing.name or "").startswith("tidemark.llm"):
+        raise
     llm_queries = None
 
 ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -45,7 +47,9 @@ class Run:
     """A fresh namespace, state and history for one query call."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        ensure_checkpoint_dir(spark)
+        if checkpoint_dir(spark) is None and spark.sparkContext.master.startswith("local"):
+            # One machine only, and no folder named: on a cluster the shared root is required.
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-local-"))
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         tag = uuid.uuid4().hex[:10]

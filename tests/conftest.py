@@ -25,9 +25,10 @@ def spark():
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    from tidemark.workspace import ensure_checkpoint_dir
+    from tidemark.workspace import checkpoint_dir
 
-    ensure_checkpoint_dir(session)  # sets one only where the session names none
+    if checkpoint_dir(session) is None:  # set one only where the session names none
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     yield session
 
 

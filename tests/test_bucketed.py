@@ -38,14 +38,15 @@ def test_large_merge_into_a_bucketed_target_does_not_shuffle_it(run01, spark, mo
     real = M.merge_plan
 
     def spy(*a, **kw):
-        plans.append(real(*a, **kw))
-        return plans[-1]
+        found = real(*a, **kw)
+        plans.append(executed(found))  # now: the staged batch goes when the sync ends
+        return found
 
     monkeypatch.setattr(M, "merge_plan", spy)
     r.sync(SyncSpec("m", mode="incremental", write_mode="merge", merge_keys=["o_orderkey"],
                     watermark_columns=["o_orderdate"], initial_mark="1998-01-01"),
            r.query(E.CHANGED_ORDERS, "orders"), t)
-    plan = executed(plans[-1])
+    plan = plans[-1]
     assert "SortMergeJoin" in plan and "LeftAnti" in plan
     target_scan = [line for line in plan.splitlines() if "FileScan" in line and "/tables/orders/" in line]
     assert target_scan and all("Bucketed: true" in line for line in target_scan)
@@ -92,17 +93,18 @@ def test_partitioned_and_bucketed_target_rewrites_only_touched_partitions(run, s
     real = M.merge_plan
 
     def spy(*a, **kw):
-        plans.append(real(*a, **kw))
-        return plans[-1]
+        from tidemark.sources.catalog import _session_conf
+
+        found = real(*a, **kw)
+        with _session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # as the write runs
+            plans.append(executed(found))
+        return found
 
     monkeypatch.setattr(M, "merge_plan", spy)
     run.sync(SyncSpec("m", write_mode="merge", merge_keys=["event_type", "event_id"]),
              run.query("SELECT event_id, ts, user_id, event_type, value + 1 AS value, props FROM {events} "
                        "WHERE event_type = 'click'", "x"), t)
-    from tidemark.sources.catalog import _session_conf
-
-    with _session_conf(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):  # as the write ran
-        plan = executed(plans[-1])
+    plan = plans[-1]
     lines = plan.splitlines()
     join_at = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
     scan_at = next(i for i, line in enumerate(lines) if "FileScan" in line and "/tables/ev/" in line)

@@ -11,11 +11,11 @@ from .operators.transform import filter_rows, from_config, rename_columns, selec
 from .plans import RunHistory, StateStore, SyncResult, sync, sync_chain
 from .sources import CatalogTable, JdbcTable, ParquetPath, QuerySource
 from .spec import SyncSpec, spec_from_config
-from .workspace import ensure_checkpoint_dir, shared_root
+from .workspace import shared_root
 
 __all__ = [
     "Mark", "checks", "filter_rows", "from_config", "rename_columns", "select_columns",
     "RunHistory", "StateStore", "SyncResult", "sync", "sync_chain",
     "CatalogTable", "JdbcTable", "ParquetPath", "QuerySource", "SyncSpec", "spec_from_config",
-    "ensure_checkpoint_dir", "shared_root",
+    "shared_root",
 ]

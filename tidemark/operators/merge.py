@@ -24,14 +24,12 @@ class DuplicateKeyError(ValueError):
     """Several batch rows would replace the same target row."""
 
 
-def latest_per_key(batch: DataFrame, keys: Sequence[str], order_columns: Sequence[str],
-                   count_as: str | None = None) -> DataFrame:
+def latest_per_key(batch: DataFrame, keys: Sequence[str], order_columns: Sequence[str]) -> DataFrame:
     """One row per key: the one with the largest ``order_columns``; ties broken by the other columns.
 
     A grouped ``max`` over a struct is a partial aggregate, so a key holding a third of all
     rows is reduced map-side before the shuffle (no single task sorts the hot key).
     NULL keys form one group here; :func:`reduce_duplicates` keeps NULL-key rows apart.
-    ``count_as``: also return each group's row count under this name.
     """
     rest = [c for c in batch.columns if c not in keys and c not in order_columns]
     ordered = list(order_columns) + rest
@@ -48,11 +46,8 @@ def latest_per_key(batch: DataFrame, keys: Sequence[str], order_columns: Sequenc
         aggs = [F.max_by(F.struct(*[F.col(c) for c in ordered]), by).alias("_best")]
     else:
         aggs = [F.max(F.struct(*fields)).alias("_best")]
-    if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
     reduced = batch.groupBy(*keys).agg(*aggs)
-    out = reduced.select(*keys, *[F.col("_best")[c].alias(c) for c in ordered], *([count_as] if count_as else []))
-    return out.select(*batch.columns, *([count_as] if count_as else []))
+    return reduced.select(*keys, *[F.col("_best")[c].alias(c) for c in ordered]).select(*batch.columns)
 
 
 def _orderable(dtype) -> bool:
@@ -62,23 +57,10 @@ def _orderable(dtype) -> bool:
 def reduce_duplicates(batch: DataFrame, keys: Sequence[str], order_columns: Sequence[str]) -> DataFrame:
     """``latest`` policy: reduce non-NULL keys to their latest row; NULL-key rows pass unchanged.
 
-    One pass over the batch (which may still be the live source), through one partially
-    aggregated group-by. A NULL-key row is grouped by its whole content and counted, then
-    emitted as often as it occurred: exact, decided by value alone (a task re-run after an
-    executor loss sends every row to the same group again), and a NULL key repeated in a
-    third of the rows collapses map-side. Map-typed columns cannot be grouped on; there the
-    NULL-key rows are told apart by a row id instead.
+    NULL-key rows go around the aggregation, so ``batch`` is read twice: it should be a staged copy.
     """
     any_null = reduce(or_, [F.col(k).isNull() for k in keys])
-    rest = [c for c in batch.columns if c not in keys]
-    own, n = "_tm_null_row", "_tm_rows"
-    if not all(_orderable(batch.schema[c].dataType) for c in rest):
-        tagged = batch.withColumn(own, F.when(any_null, F.monotonically_increasing_id()))
-        return latest_per_key(tagged, [*keys, own], order_columns).drop(own)
-    tagged = batch.withColumn(own, F.when(any_null, F.struct(*[F.col(c) for c in rest])))
-    reduced = latest_per_key(tagged, [*keys, own], order_columns, count_as=n)
-    copies = F.when(F.col(own).isNotNull(), F.col(n)).otherwise(F.lit(1)).cast("int")
-    return reduced.withColumn(n, F.explode(F.array_repeat(F.lit(1), copies))).select(*batch.columns)
+    return latest_per_key(batch.where(~any_null), keys, order_columns).unionByName(batch.where(any_null))
 
 
 def repeated_keys(batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType, DecimalType, StringType, StructType
 
 from ..functions import marks as M
+from ..workspace import Files
+from .transform import RESERVED
 from .merge import reduce_duplicates
 
 
@@ -76,9 +78,9 @@ def stage(
     skewed partition). Used for incremental batches, not for full copies, whose input splits
     already have the right size.
 
-    ``reduce_to_latest=(keys, order_columns)``: the ``latest`` duplicate policy, applied here
-    so the batch is reduced once and materialised (its aggregation shuffle replaces the
-    rebalance); the count is then the number of rows that will be merged.
+    ``reduce_to_latest=(keys, order_columns)``: the ``latest`` duplicate policy. The order columns are
+    carried through the transformations under reserved names; the batch is written as it comes, and
+    reduced from that copy; the count is then the number of rows that will be merged.
 
     ``measure_keys``: also observe the exact payload of these key columns (string bytes plus
     fixed widths), so a merge can decide to broadcast the batch's keys on a measured size.
@@ -88,12 +90,24 @@ def stage(
     if mark_columns:
         mark_obs = Observation(f"mark_{tag}")
         batch = batch.observe(mark_obs, M.batch_max(mark_columns, mark_dtype).alias("m"))
-    out = reduce(lambda df, t: t(df), transforms, batch)
+    raw = None
     if reduce_to_latest is not None:
         keys, order_columns = reduce_to_latest
-        out = reduce_duplicates(out, keys, [c for c in order_columns if c in out.columns])
-    elif rebalance:
-        out = out.hint("rebalance")
+        carried = [f"{RESERVED}order_{i}" for i in range(len(order_columns))]
+        batch = batch.withColumns({n: F.col(c) for n, c in zip(carried, order_columns)})
+        out = reduce(lambda df, t: t(df), transforms, batch)
+        if not set(carried) <= set(out.columns):
+            raise ValueError("a transformation dropped the columns that order the rows of a key "
+                             f"(reserved names {carried}); the 'latest' policy needs them")
+        raw = f"{path}_raw"
+        out.write.mode("overwrite").parquet(raw)
+        out = reduce_duplicates(spark.read.schema(out.schema).parquet(raw), keys, carried).drop(*carried)
+    else:
+        out = reduce(lambda df, t: t(df), transforms, batch)
+        if partition_by:
+            out = out.hint("rebalance", *partition_by)
+        elif rebalance:
+            out = out.hint("rebalance")
     count_obs = Observation(f"rows_{tag}")
     schema = out.schema
     metrics = [F.count(F.lit(1)).alias("n")]
@@ -107,6 +121,8 @@ def stage(
         metrics.append(F.sum(sum(widths[1:], widths[0])).alias("key_bytes"))
     out = out.observe(count_obs, *metrics)
     out.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    if raw is not None:
+        Files(spark).delete(raw)
     observed = count_obs.get
     rows = int(observed["n"])
     key_bytes = int(observed.get("key_bytes") or 0) if measure_keys else None

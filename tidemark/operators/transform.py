@@ -7,6 +7,9 @@ from typing import Any, Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Columns with this prefix belong to the sync and stay through every transformation.
+RESERVED = "_tm_"
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -18,7 +21,7 @@ def filter_rows(condition: str | Column) -> Transform:
 def select_columns(columns: Sequence[str]) -> Transform:
     """Keep the listed columns, in that order."""
     cols = list(columns)
-    return lambda df: df.select(*cols)
+    return lambda df: df.select(*cols, *[c for c in df.columns if c.startswith(RESERVED)])
 
 
 def rename_columns(mapping: Mapping[str, str]) -> Transform:

@@ -3,16 +3,17 @@
     state → typed predicate → scan (pushed down) → stage once + observe (count, mark)
           → publish (append | overwrite | merge | ignore | error) → state → run history
 
-Commit order is staged → published → state. The batch id is derived from the pipeline, the
-source and the mark the run started from, so a run repeated after a crash has the same id;
-an append replay finds its earlier ``STAGED`` record, checks whether those rows already
-reached the target, and then only advances the state instead of appending them twice.
+Commit order is staged → published → state. The batch id is derived from the pipeline, the source, the
+target and the mark the run started from, so a run repeated after a crash has the same id. An append
+is published under that id together with a note of its row count and mark: a replay asks the
+target for the note and, if it is there, only advances the state. An empty run publishes nothing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -25,7 +26,7 @@ from ..functions import marks as M
 from ..operators.staging import StagedBatch, stage
 from ..sources.base import Store
 from ..spec import SyncSpec
-from ..workspace import scratch
+from ..workspace import Files, scratch
 from .history import RunHistory
 from .state import StateStore
 
@@ -44,10 +45,10 @@ class SyncResult:
     extra: dict = field(default_factory=dict, compare=False)
 
 
-def batch_id_for(spec: SyncSpec, identity, mark: M.Mark | None) -> str:
-    text = "|".join([spec.pipeline_id, *identity, spec.mode, spec.write_mode,
-                     ",".join(spec.watermark_columns), mark.kind if mark else "-", mark.text() if mark else "-"])
-    return hashlib.sha1(text.encode()).hexdigest()[:16]
+def batch_id_for(spec: SyncSpec, identity, mark: M.Mark | None, target=()) -> str:
+    parts = [spec.pipeline_id, *identity, *target, spec.mode, spec.write_mode, *spec.watermark_columns,
+             mark.kind if mark else None, mark.text() if mark else None]
+    return hashlib.sha256(json.dumps(parts).encode()).hexdigest()
 
 
 def _now() -> dt.datetime:
@@ -71,27 +72,25 @@ def sync(
     target: Store,
     state: StateStore | None = None,
     history: RunHistory | None = None,
-    fail_after_publish: bool = False,
 ) -> SyncResult:
-    """Run one pipeline; a failure is recorded in the run history (``FAILED``) and re-raised.
-    ``fail_after_publish`` injects a crash between publish and state update (tests)."""
+    """Run one pipeline; a failure is recorded in the run history (``FAILED``) and re-raised."""
     state = state or StateStore(spark)
     history = history or RunHistory(spark)
     started = _now()
     clock = time.monotonic()
     run_id = uuid.uuid4().hex[:16]
     try:
-        return _run(spark, spec, source, target, state, history, fail_after_publish, started, clock, run_id)
+        return _run(spark, spec, source, target, state, history, started, clock, run_id)
     except Exception as exc:
         try:
             _finish(history, spec, run_id, "", "", "FAILED", 0, None, None, started, clock,
-                    f"{type(exc).__name__}: {exc}"[:2000])
+                    f"{type(exc).__name__}: {exc}")
         except Exception:  # the original error matters more than its record
             pass
         raise
 
 
-def _run(spark, spec, source, target, state, history, fail_after_publish, started, clock, run_id) -> SyncResult:
+def _run(spark, spec, source, target, state, history, started, clock, run_id) -> SyncResult:
     identity = source.identity()
 
     if spec.write_mode in ("ignore", "error") and target.exists(spark):
@@ -104,40 +103,47 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     if spec.watermark_columns:
         dtype = M.mark_type(source.schema(spark), spec.watermark_columns)
 
-    old = None
+    old, revision = None, None
     if spec.mode == "incremental":
-        old = state.get(spec.pipeline_id, identity)
+        old, revision = state.lookup(spec.pipeline_id, identity)
         if old is None and spec.initial_mark is not None:
             old = M.coerce(spec.initial_mark, dtype, spark.conf.get("spark.sql.session.timeZone"))
-    batch_id = batch_id_for(spec, identity, old)
+    batch_id = batch_id_for(spec, identity, old, target.identity())
     predicate = incremental_predicate(spec, old, dtype)
 
-    if spec.mode == "incremental" and spec.write_mode == "append":
-        recovered = _recover_append(spark, spec, target, state, history, identity, batch_id, old, dtype,
-                                    run_id, started, clock)
-        if recovered is not None:
-            return recovered
+    appends = spec.mode == "incremental" and spec.write_mode == "append"
+    if appends and (note := target.committed(spark, batch_id)) is not None:
+        # An earlier attempt of this batch was published: only its state update is missing.
+        known = json.loads(note)
+        new_mark = M.later(old, M.from_text(known["kind"], known["mark"]))
+        state.put(spec.pipeline_id, identity, ",".join(spec.watermark_columns), new_mark, known["rows"], batch_id, revision)
+        target.forget(spark, batch_id)
+        return _finish(history, spec, run_id, batch_id, known["version"], "RECOVERED", 0, old.text() if old else None,
+                       new_mark.text(), started, clock, "batch already appended by an earlier attempt; state advanced")
 
     version = f"{started.strftime('%Y%m%d%H%M%S')}-{uuid.uuid4().hex[:8]}"
     staged_path = target.staging_path(spark, version, spec.write_mode)
     # Staged straight into the target's version folder: lay it out as the table is partitioned.
     layout = tuple(target.layout(spark)) if staged_path and hasattr(target, "layout") else ()
-    staged_path = staged_path or scratch(spark, "staging")
+    own_path = None if staged_path else scratch(spark, "staging")
+    try:
+        return _publish(spark, spec, source, target, state, history, identity, old, revision, batch_id, predicate, dtype,
+                        version, staged_path or own_path, layout, appends, started, clock, run_id)
+    finally:
+        if own_path:
+            Files(spark).delete(own_path)
+
+
+def _publish(spark, spec, source, target, state, history, identity, old, revision, batch_id, predicate, dtype, version,
+             staged_path, layout, appends, started, clock, run_id) -> SyncResult:
     batch = source.read(spark, predicate)
     latest = (spec.merge_keys, spec.watermark_columns) \
         if spec.write_mode == "merge" and spec.duplicate_keys == "latest" else None
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
-                                dtype, spec.transforms, partition_by=layout, rebalance=spec.mode == "incremental",
+                                dtype, spec.transforms, partition_by=layout, rebalance=old is not None,
                                 reduce_to_latest=latest,
                                 measure_keys=spec.merge_keys if spec.write_mode == "merge" else ())
     mark_before = old.text() if old else None
-    mark_after = staged.mark.text() if staged.mark else None
-    if spec.mode == "incremental" and spec.write_mode == "append" and staged.rows > 0:
-        # Only a replayed append needs to know what an interrupted attempt staged.
-        history.record(run_id=run_id, pipeline_id=spec.pipeline_id, batch_id=batch_id, version=version,
-                       status="STAGED", mode=spec.mode, write_mode=spec.write_mode, records_synced=staged.rows,
-                       mark_before=mark_before, mark_after=mark_after, started_at=started, source_scans=1)
-
     if staged.rows == 0 and not (spec.mode == "full" and spec.on_empty == "truncate"):
         # Empty batch: no write, no state change; a full overwrite keeps the old target.
         return _finish(history, spec, run_id, batch_id, version, "SUCCESS", 0, mark_before, mark_before,
@@ -147,73 +153,30 @@ def _run(spark, spec, source, target, state, history, fail_after_publish, starte
     if spec.write_mode in ("overwrite", "ignore", "error"):
         target.publish_overwrite(spark, frame, staged_path, version)
     elif spec.write_mode == "append":
-        target.publish_append(spark, frame, staged_path, version)
+        note = json.dumps({"rows": staged.rows, "kind": staged.mark.kind, "mark": staged.mark.exact_text(), "version": version}) if appends else ""
+        target.publish_append(spark, frame, staged_path, version, batch_id if appends else None, note)
     else:
         # A 'latest' batch was already reduced to one row per key while staging.
         target.publish_merge(spark, frame, staged_path, spec.merge_keys, version,
                              duplicate_keys="unique" if latest else spec.duplicate_keys,
-                             order_columns=_order_columns(spec, frame), measured=(staged.rows, staged.key_bytes))
-    if fail_after_publish:
-        raise RuntimeError("injected failure between publish and state update")
+                             order_columns=(), measured=(staged.rows, staged.key_bytes))
 
     new_mark = old
     if spec.mode == "incremental":
         new_mark = M.later(old, staged.mark)
-        state.put(spec.pipeline_id, identity, ",".join(spec.watermark_columns), new_mark, staged.rows, batch_id)
+        state.put(spec.pipeline_id, identity, ",".join(spec.watermark_columns), new_mark, staged.rows, batch_id, revision)
+        if appends:
+            target.forget(spark, batch_id)
     return _finish(history, spec, run_id, batch_id, version, "SUCCESS", staged.rows, mark_before,
                    new_mark.text() if new_mark else None, started, clock, "")
 
 
-def _order_columns(spec: SyncSpec, frame: DataFrame) -> list[str]:
-    """Columns that order rows of one key for the ``latest`` policy: the marks still present."""
-    return [c for c in spec.watermark_columns if c in frame.columns]
-
-
-def _recover_append(spark, spec, target, state, history, identity, batch_id, old, dtype, run_id, started, clock):
-    """A previous attempt of this batch stopped after staging: did its append reach the target?"""
-    prior = history.find(spec.pipeline_id, batch_id)
-    if not prior or any(p["status"] == "SUCCESS" for p in prior):
-        return None
-    staged_rows = [p for p in prior if p["status"] == "STAGED" and p["mark_after"] is not None]
-    if not staged_rows or not target.exists(spark):
-        return None
-    if not set(spec.watermark_columns) <= set(target.schema(spark).fieldNames()):
-        return None  # transformations removed the marks: the window cannot be checked (at-least-once)
-    last = max(staged_rows, key=lambda p: p["started_at"])
-    mark_after = M.coerce(last["mark_after"], dtype, "UTC") if dtype is not None and M.kind_of(dtype) != "timestamp" \
-        else M.Mark("timestamp", _utc_text_to_micros(last["mark_after"]))
-    cols = spec.watermark_columns
-    window = M.after(cols, old, dtype) if old is not None else M.any_not_null(cols)
-    upper = M.literal(mark_after, dtype)
-    top = F.greatest(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
-    within = window & (top <= upper)
-    present = target.read(spark, within).count()
-    if present == 0:
-        return None
-    if present != last["records_synced"]:
-        raise RuntimeError(f"{spec.pipeline_id}: an earlier append of batch {batch_id} is partly in the target "
-                           f"({present} of {last['records_synced']} rows); repair before re-running")
-    new_mark = M.later(old, mark_after)
-    state.put(spec.pipeline_id, identity, ",".join(cols), new_mark, present, batch_id)
-    return _finish(history, spec, run_id, batch_id, last["version"], "RECOVERED", 0,
-                   old.text() if old else None, new_mark.text(), started, clock,
-                   "batch already appended by an earlier attempt; state advanced")
-
-
-def _utc_text_to_micros(text: str) -> int:
-    value = dt.datetime.fromisoformat(text)
-    if value.tzinfo is None:
-        value = value.replace(tzinfo=dt.timezone.utc)
-    d = value - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-    return (d.days * 86_400 + d.seconds) * 1_000_000 + d.microseconds
-
-
 def _finish(history, spec, run_id, batch_id, version, status, rows, before, after, started, clock, message):
     duration = time.monotonic() - clock
     history.record(run_id=run_id, pipeline_id=spec.pipeline_id, batch_id=batch_id, version=version, status=status,
                    mode=spec.mode, write_mode=spec.write_mode, records_synced=rows, mark_before=before,
                    mark_after=after, started_at=started, finished_at=_now(), duration_seconds=duration,
-                   source_scans=1 if status != "RECOVERED" else 0, message=message)
+                   message=message)
     return SyncResult(spec.pipeline_id, status, rows, duration, batch_id, before, after, message, version)
 
 

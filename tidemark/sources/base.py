@@ -32,9 +32,19 @@ class Store(ABC):
         """Where the batch should be staged so publishing needs no second copy; ``None``: anywhere."""
         return None
 
-    def publish_append(self, spark: SparkSession, staged: DataFrame, staged_path: str, version: str) -> None:
+    def publish_append(self, spark: SparkSession, staged: DataFrame, staged_path: str, version: str,
+                       batch_id: str | None = None, note: str = "") -> None:
+        """Append; with ``batch_id`` so that :meth:`committed` tells afterwards whether it happened."""
         raise NotImplementedError(f"{type(self).__name__} cannot be a target")
 
+    def committed(self, spark: SparkSession, batch_id: str) -> str | None:
+        """The note of an append that was published under ``batch_id`` (one that was interrupted on
+        the way is finished first); ``None`` when it never was."""
+        return None
+
+    def forget(self, spark: SparkSession, batch_id: str) -> None:
+        """The state is past this batch: drop what :meth:`committed` remembers of it."""
+
     def publish_overwrite(self, spark: SparkSession, staged: DataFrame, staged_path: str, version: str) -> None:
         raise NotImplementedError(f"{type(self).__name__} cannot be a target")
 

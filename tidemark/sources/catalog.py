@@ -3,9 +3,15 @@
 Tables written by tidemark are Parquet tables whose data lives in *version folders*
 ``<root>/v_<version>``. Overwrite and merge write a complete new version and then move the
 table to it with ``ALTER TABLE … SET LOCATION``: one catalog update publishes the version, readers
-never see a half-written table, and a table is never overwritten while it is being read.
-Append adds files to the current version (a job commit). Catalogs with row-level operations
-(Delta, Iceberg) can instead use ``DataFrame.mergeInto``; the plan here needs none.
+never see a half-written table, and a table is never overwritten while it is being read. (A
+partitioned table's partitions are moved one after the other, and a changed schema drops and
+re-creates the definition: those two are not atomic.) Append moves files into the current
+version, exactly once for each batch id (see :mod:`.commits`).
+
+A merge notes the table's location, file count and bytes when it reads it and compares them, under the
+table's lock, when it publishes: if another writer was faster it is planned again on the new content.
+Every merge outside touched partitions writes the whole target anew. A catalog with row-level
+operations would take ``DataFrame.mergeInto`` for that; none can be run here.
 """
 
 from __future__ import annotations
@@ -23,12 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import merge as merge_ops
-from ..workspace import shared_root, scratch
+from ..workspace import Files, scratch, shared_root
+from . import commits
 from .base import Store, split_name
 
-
-# Fixed value: most touched partitions turned into a literal partition filter.
-MAX_PRUNING_VALUES = 10_000
+# Fixed value: how often a merge is planned anew when other writers change the table meanwhile.
+MERGE_ATTEMPTS = 5
 
 
 def _quote(name: str) -> str:
@@ -86,8 +92,8 @@ class CatalogTable(Store):
     """A table in the session catalog, named ``[catalog.]schema.table`` in full (no ``USE``).
 
     ``retain_versions``: after publishing, delete all but this many newest version folders
-    (the current one always stays). ``None`` keeps every version; readers that started on an
-    older version keep working only while it exists.
+    (the current one always stays). The default keeps the version before the current one, for
+    readers that started on it; ``None`` keeps every version.
 
     ``bucket_by`` + ``buckets``: store the table hash-bucketed on these columns (normally the
     merge keys). A merge then reads the target bucket by bucket and shuffles only the batch:
@@ -100,7 +106,7 @@ class CatalogTable(Store):
     connection: str = "catalog"
     root: str | None = None
     partition_by: tuple[str, ...] = ()
-    retain_versions: int | None = None
+    retain_versions: int | None = 2
     bucket_by: tuple[str, ...] = ()
     buckets: int = 0
 
@@ -176,11 +182,13 @@ class CatalogTable(Store):
         where it matters (see :meth:`publish_merge`); otherwise each task writes one file per
         bucket it holds.
         """
-        writer = df.write.mode("overwrite").partitionBy(*self.layout(spark))
-        bucketing = self.bucketing(spark)
+        layout, bucketing = self.layout(spark), self.bucketing(spark)
         if bucketing is None:
-            writer.parquet(path)
+            # Rows clustered by partition (a large one split): not a file per task and partition.
+            df = df.hint("rebalance", *layout) if layout else df
+            df.write.mode("overwrite").partitionBy(*layout).parquet(path)
             return
+        writer = df.write.mode("overwrite").partitionBy(*layout)
         cols, n = bucketing
         namespace, table = split_name(self.name)
         throwaway = f"{namespace + '.' if namespace else ''}{table}__tm_{uuid.uuid4().hex[:10]}"
@@ -198,7 +206,7 @@ class CatalogTable(Store):
         # A full replacement is staged straight into its version folder: publishing is then a
         # catalog update, not a second copy. So is the first load of a missing table.
         # (Bucketed files need a table writer: a bucketed table is staged elsewhere.)
-        if write_mode in ("overwrite", "ignore", "error") or not self.exists(spark):
+        if write_mode in ("overwrite", "ignore", "error") or write_mode == "merge" and not self.exists(spark):
             return self.version_path(spark, version) if self.bucketing(spark) is None else None
         return None
 
@@ -275,9 +283,8 @@ class CatalogTable(Store):
                 self._forget()
                 return
             spark.sql(f"DROP TABLE {_quote(self.name)}")
-        columns, parts = "", ""
-        if layout or bucketing:
-            columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
+        parts = ""
+        columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered) + ")"
         if layout:
             parts = " PARTITIONED BY (" + ", ".join(f"`{c}`" for c in layout) + ")"
         if bucketing:
@@ -292,25 +299,72 @@ class CatalogTable(Store):
 
     # --- publish -------------------------------------------------------------------------
     @_memo_scope
-    def publish_append(self, spark, staged, staged_path, version):
-        if not self.exists(spark):
-            if staged_path != self.version_path(spark, version):
-                self._write_version(spark, self._by_bucket(spark, staged), self.version_path(spark, version))
-            self.publish_version(spark, self.version_path(spark, version), staged.schema)
-            return
+    def publish_append(self, spark, staged, staged_path, version, batch_id=None, note=""):
+        batch_id = batch_id or uuid.uuid4().hex
+        root = self._commit_root(spark)
+        with commits.lock(spark, root):
+            if not self.exists(spark):  # an empty table first: the append is then like any other
+                path = self.version_path(spark, version)
+                Files(spark).make_folder(path)
+                self._point_to(spark, path, staged.schema, self.layout(spark))
         # By name, no schema evolution: a batch with other columns fails, as it should.
-        writer = self._by_bucket(spark, staged).write.format("parquet").mode("append")
-        bucketing = self.bucketing(spark)
-        if bucketing is not None:
-            writer = writer.bucketBy(bucketing[1], *bucketing[0])
-        writer.saveAsTable(self.name)
+        table = spark.read.table(self.name).schema
+        other = set(table.names) ^ set(staged.columns)
+        if other:
+            raise ValueError(f"append to {self.name} needs its columns; differing: {sorted(other)}")
+        rows = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields])
+        self._write_version(spark, self._by_bucket(spark, rows), commits.pending_path(root, batch_id))
+        commits.seal(spark, root, batch_id, note)
+        self.committed(spark, batch_id)
+
+    def _commit_root(self, spark: SparkSession) -> str:
+        """Where appends wait: beside the versions, or inside the folder of a table kept elsewhere."""
+        root = self.table_root(spark)
+        if self.exists(spark):
+            location = self.location(spark).rstrip("/")
+            if not location.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
+                return f"{location}/_tidemark"
+        return root
+
+    @_memo_scope
+    def committed(self, spark, batch_id):
+        root = self._commit_root(spark)
+        if not self.exists(spark):
+            commits.forget(spark, root, batch_id)  # of a table that was dropped since
+            return None
+        if commits.sealed(spark, root, batch_id):
+            with commits.lock(spark, root):
+                self._forget()
+                if commits.sealed(spark, root, batch_id):
+                    commits.move_in(spark, root, batch_id, self.location(spark).rstrip("/"))
+        note = commits.published(spark, root, batch_id)
+        if note is not None:
+            if self.partition_columns(spark):
+                spark.sql(f"ALTER TABLE {_quote(self.name)} RECOVER PARTITIONS")
+            spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+        return note
+
+    def forget(self, spark, batch_id):
+        commits.forget(spark, self._commit_root(spark), batch_id)
 
     @_memo_scope
     def publish_overwrite(self, spark, staged, staged_path, version):
         path = self.version_path(spark, version)
         if staged_path != path:
             self._write_version(spark, self._by_bucket(spark, staged), path)
-        self.publish_version(spark, path, staged.schema)
+        with commits.lock(spark, self._commit_root(spark)):
+            self.publish_version(spark, path, staged.schema)
+
+    def _snapshot(self, spark: SparkSession) -> tuple:
+        """What the table is now: its location, and how many files and bytes lie there."""
+        self._forget()
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.location(spark))
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return path.toString(), 0, 0
+        summary = fs.getContentSummary(path)
+        return path.toString(), summary.getFileCount(), summary.getLength()
 
     @_memo_scope
     def publish_merge(self, spark, staged, staged_path, keys, version, *, duplicate_keys, order_columns,
@@ -325,13 +379,21 @@ class CatalogTable(Store):
             return
         if duplicate_keys == "latest":
             staged = merge_ops.reduce_duplicates(staged, keys, order_columns)
+        for attempt in range(MERGE_ATTEMPTS):
+            if self._merge_once(spark, staged, keys, version if not attempt else f"{version}-{attempt}", duplicate_keys, measured):
+                return
+        raise RuntimeError(f"{self.name} changed during each of {MERGE_ATTEMPTS} merges; run again")
+
+    def _merge_once(self, spark, staged, keys, version, duplicate_keys, measured) -> bool:
+        """Merge into the table as it is now; ``False``, and nothing done, if it changed meanwhile."""
+        spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+        seen = self._snapshot(spark)
         target = spark.read.table(self.name)
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
         parts = self.partition_columns(spark)
         if parts and set(parts) <= set(keys):
-            self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys, measured)
-            return
+            return self._merge_touched_partitions(spark, staged, target, keys, parts, duplicate_keys, measured, seen)
         # Bucketed target: the batch is hash-partitioned like the buckets, so the sort-merge
         # anti join reads the target bucket by bucket (no target shuffle) and every task of
         # the union writes a single bucket file.
@@ -339,8 +401,18 @@ class CatalogTable(Store):
                                       unique_keys=duplicate_keys in ("latest", "unique"),
                                       strategy=merge_ops.join_strategy(spark, measured))
         path = self.version_path(spark, version)
-        self._write_version(spark, merged, path)
-        self.publish_version(spark, path, merged.schema)
+        try:
+            self._write_version(spark, merged, path)
+            with commits.lock(spark, self._commit_root(spark)):
+                fresh = self._snapshot(spark) == seen
+                if fresh:
+                    self.publish_version(spark, path, merged.schema)
+        except Exception:
+            Files(spark).delete(path)
+            raise
+        if not fresh:
+            Files(spark).delete(path)
+        return fresh
 
     def _by_bucket(self, spark: SparkSession, df: DataFrame) -> DataFrame:
         """Rows hash-partitioned exactly as the table's buckets (unchanged when not bucketed)."""
@@ -348,7 +420,7 @@ class CatalogTable(Store):
         return df if bucketing is None else df.repartition(bucketing[1], *bucketing[0])
 
     def _merge_touched_partitions(self, spark, staged, target, keys: Sequence[str], parts: Sequence[str],
-                                  duplicate_keys: str, measured=None):
+                                  duplicate_keys: str, measured, seen) -> bool:
         """Partitioned target, partition columns among the keys: rewrite only touched partitions.
 
         A key cannot move between partitions, so untouched partitions are left as they are and
@@ -357,26 +429,20 @@ class CatalogTable(Store):
         an insert with dynamic partition overwrite.
         """
         touched = staged.select(*parts).distinct()
+        widths = [F.coalesce(F.octet_length(F.col(p).cast("string")), F.lit(0)) for p in parts]
+        measures = [f(p).alias(f"{n}_{p}") for p in parts for n, f in (("least", F.min), ("most", F.max))]
+        known = touched.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(widths[1:], widths[0])).alias("bytes"), *measures).first()
         affected = target
-        # The touched partition values are catalog-scale (at most one per partition). Up to a
-        # bound they become a literal filter, which prunes the target scan statically; beyond
-        # it the semi join alone keeps the result exact.
-        values = touched.limit(MAX_PRUNING_VALUES + 1).collect()
-        if len(values) <= MAX_PRUNING_VALUES:
-            for p in parts:
-                distinct = sorted({row[p] for row in values if row[p] is not None})
-                test = F.col(p).isin(distinct) if distinct else F.lit(False)
-                if any(row[p] is None for row in values):
-                    test = test | F.col(p).isNull()
-                affected = affected.where(test)
-            if len(parts) > 1:
-                # Per-column lists admit other combinations: the semi join on the exact
-                # combinations keeps it exact. Their number is known (bounded above), so they are
-                # broadcast and the target keeps its own partitioning (and buckets).
-                affected = affected.join(F.broadcast(touched), on=list(parts), how="left_semi")
-            # One partition column: the literal filter is already exact.
-        else:
-            affected = affected.join(touched, on=list(parts), how="left_semi")
+        for p in parts:  # the range of touched values prunes the scan, the join below is exact
+            value = lambda x, p=p: F.lit(x).cast(target.schema[p].dataType)
+            inside = F.lit(False) if known[f"least_{p}"] is None else F.col(p).between(value(known[f"least_{p}"]), value(known[f"most_{p}"]))
+            affected = affected.where(inside | F.col(p).isNull())
+        renamed = touched.select(*[F.col(p).alias(f"_tm_{p}") for p in parts])
+        if merge_ops.fits_broadcast(spark, known["n"], known["bytes"] or 0):
+            renamed = F.broadcast(renamed)  # measured
+        # NULL is a partition like any other: its rows are rewritten with it, so they must be read.
+        same = functools.reduce(lambda x, y: x & y, [F.col(p).eqNullSafe(F.col(f"_tm_{p}")) for p in parts])
+        affected = affected.join(renamed, same, "left_semi")
         merged = merge_ops.merge_plan(affected, self._by_bucket(spark, staged), keys,
                                       unique_keys=duplicate_keys in ("latest", "unique"),
                                       strategy=merge_ops.join_strategy(spark, measured))
@@ -395,11 +461,18 @@ class CatalogTable(Store):
         # rewritten there), and writes bucket files for a bucketed table. The
         # insert takes the session's overwrite mode, so it is dynamic for this one statement.
         order = spark.read.table(self.name).columns
-        with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            self._by_bucket(spark, fresh).select(*order).write.mode("overwrite").insertInto(self.name)
-        # The insert registered new partitions itself. (Recovering partitions here could
-        # re-point a partition kept elsewhere back at a stale default folder.)
-        spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+        try:
+            with commits.lock(spark, self._commit_root(spark)):
+                if self._snapshot(spark) != seen:
+                    return False
+                with _session_conf(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+                    self._by_bucket(spark, fresh).select(*order).write.mode("overwrite").insertInto(self.name)
+                # The insert registered new partitions itself. (Recovering partitions here could
+                # re-point a partition kept elsewhere back at a stale default folder.)
+                spark.sql(f"REFRESH TABLE {_quote(self.name)}")
+        finally:
+            Files(spark).delete(tmp)
+        return True
 
 
 @dataclass(frozen=True)

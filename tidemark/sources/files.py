@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators import merge as merge_ops
-from ..workspace import scratch
+from ..workspace import Files, scratch
+from . import commits
 from .base import Store
 
 
@@ -32,16 +33,24 @@ class ParquetPath(Store):
         return df if predicate is None else df.where(predicate)
 
     def exists(self, spark: SparkSession) -> bool:
-        try:
-            spark.read.parquet(self.path).schema
-            return True
-        except Exception as exc:  # only "path does not exist" means absent
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return False
-            raise
+        return bool(Files(spark).data_files(self.path))
 
-    def publish_append(self, spark, staged, staged_path, version):
-        staged.write.mode("append").parquet(self.path)
+    def publish_append(self, spark, staged, staged_path, version, batch_id=None, note=""):
+        if batch_id is None:
+            staged.write.mode("append").parquet(self.path)
+            return
+        staged.write.mode("overwrite").parquet(commits.pending_path(self.path, batch_id))
+        commits.seal(spark, self.path, batch_id, note)
+        self.committed(spark, batch_id)
+
+    def committed(self, spark, batch_id):
+        if commits.sealed(spark, self.path, batch_id):
+            with commits.lock(spark, self.path):
+                commits.move_in(spark, self.path, batch_id, self.path)
+        return commits.published(spark, self.path, batch_id)
+
+    def forget(self, spark, batch_id):
+        commits.forget(spark, self.path, batch_id)
 
     def publish_overwrite(self, spark, staged, staged_path, version):
         staged.write.mode("overwrite").parquet(self.path)
@@ -61,3 +70,4 @@ class ParquetPath(Store):
         merge_ops.merge_plan(target, staged, keys, unique_keys=duplicate_keys in ("latest", "unique"),
                                       strategy=merge_ops.join_strategy(spark, measured)).write.parquet(tmp)
         spark.read.parquet(tmp).write.mode("overwrite").parquet(self.path)
+        Files(spark).delete(tmp)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from dataclasses import dataclass, field
 from typing import Any, Callable
 
@@ -65,6 +66,8 @@ class SyncSpec:
             raise ValueError("incremental mode needs watermark_columns (otherwise every run re-reads all rows)")
         if self.write_mode == "merge" and not self.merge_keys:
             raise ValueError("write_mode 'merge' needs merge_keys")
+        if self.write_mode == "merge" and self.duplicate_keys == "latest" and not self.watermark_columns:
+            raise ValueError("duplicate_keys='latest' needs watermark_columns: they say which row is the latest")
         if self.merge_keys and self.write_mode != "merge":
             raise ValueError("merge_keys are only used by write_mode 'merge'")
         rereads = self.boundary == "closed" or self.lookback is not None
@@ -72,20 +75,20 @@ class SyncSpec:
             raise ValueError("boundary='closed' and lookback re-read rows: allowed with write_mode 'merge' only")
         if rereads and self.mode != "incremental":
             raise ValueError("boundary and lookback apply to incremental mode only")
-        if self.lookback is not None and not isinstance(self.lookback, (dt.timedelta, int, float)):
+        if self.lookback is not None and not isinstance(self.lookback, (dt.timedelta, int, float, Decimal)):
             raise TypeError("lookback is a timedelta (time marks) or a number (numeric marks)")
         if self.on_empty == "truncate" and self.write_mode != "overwrite":
             raise ValueError("on_empty='truncate' applies to write_mode 'overwrite' only")
 
 
 def spec_from_config(pipeline: dict[str, Any]) -> SyncSpec:
-    """``SyncSpec`` from an already-parsed pipeline dict in the reference's shape::
+    """``SyncSpec`` from an already-parsed pipeline dict of this shape::
 
         {pipeline_id, description, sync_config: {mode, write_mode, watermark_columns, merge_keys},
          transformations: [{type: filter|select|rename, …}]}
 
     ``partitions``/``fetch_size`` belong to the JDBC store (``num_partitions``/``fetch_size``).
-    Unlike the reference, ``write_mode`` is required and nothing defaults silently.
+    ``write_mode`` is required and nothing defaults silently.
     """
     from .operators.transform import from_config
 
