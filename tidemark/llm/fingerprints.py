@@ -9,9 +9,9 @@ for others with negligible probability. ``LIKE`` lanes are +1 or -1 for each pie
 most 200 code points each): by the tug-of-war estimate the squared length of a difference of two such sums is the size
 of the multisets' difference. ``likeness`` is 1 - |a - b|**2 / (|a|**2 + |b|**2) over them, between 0 and 1; equal vectors give 1.
 
-``fingerprinted`` pairs each document with the next in descending doc_id. Rows are range-partitioned and sorted once; pairs inside a
-partition are made as it streams by, and each partition hands over its first and last row only, which are joined by
-partition number. No text goes through the driver, which sees the numbers of partitions.
+``fingerprinted`` pairs each document with the next in descending doc_id. Rows are dealt out by ranges of doc_id and sorted once, each range with a
+copy of the row that follows it, so that pairs are made as a range streams by. Bounds come from a sample of ``SAMPLE`` ids; no text goes
+through the driver, which sees them and the first key of each range.
 
 Defined cases: null text is empty; rows with null doc_id come last; rows of equal doc_id are ordered by a hash of
 the text and the text; a single row is its own next; an empty table gives no rows; columns other than doc_id and text are not read.
@@ -26,13 +26,13 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, staged
+from .common import slices
 
-EQUAL, LIKE = 128, 256
+EQUAL, LIKE, SAMPLE = 128, 256, 20_000
 PIECES = re.compile(r"[^.!?\n]{1,200}[.!?]*|[.!?]+")
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
@@ -116,41 +116,49 @@ def _pairs(rows: list[tuple[int, str]]) -> list[tuple]:
             for (i, t), e, a, b, c in zip(rows, edited, own, new, own[1:])]
 
 
+def _ranges(docs: DataFrame, n: int) -> DataFrame:
+    """``docs`` with ``range``, a number from 0 on that grows as doc_id falls, null ids last; its bounds come from a bounded sample of the ids."""
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL")
+    sample = sorted(r[0] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect())
+    bounds = sorted({float(sample[k * len(sample) // n]) for k in range(1, n)}) if sample else []
+    cut = Bucketizer(splits=[-np.inf, *(bounds or [0.0]), np.inf], inputCol="as_double", outputCol="range", handleInvalid="keep")
+    found = cut.transform(docs.withColumn("as_double", F.coalesce(F.col("doc_id").cast("double"), F.lit(np.inf)))).drop("as_double")
+    last = len(bounds) + 2
+    return found.withColumn("range", F.when(F.col("doc_id").isNull(), last).otherwise(last - F.col("range")).cast("int"))
+
+
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """``RESULT`` for each row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("h"), F.col("text")]
-    rows = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
-    names = [x.split()[0] for x in RESULT.split(", ")]
+    rows = _ranges(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # the first row of each range follows the last of the range before: a row for each range, found by its key and fetched
+    key = [F.col("doc_id").desc_nulls_last(), F.col("h")]
+    heads = rows.groupBy("range").agg(F.min_by(F.struct("doc_id", "h"), F.struct(F.bitwise_not("doc_id"), F.col("h"))).alias("head")).select("range", "head.doc_id", "head.h")
+    order = sorted((r.range, r.doc_id, r.h) for r in heads.collect())
+    before = [order[k - 1][0] for k in range(len(order))]
+    heads = spark.createDataFrame([(b, *x) for b, x in zip(before, order)], "before int, range int, head bigint, h bigint")
+    same = (rows["range"] == heads["range"]) & rows["doc_id"].eqNullSafe(heads["head"]) & (rows["h"] == heads["h"])
+    following = rows.join(F.broadcast(heads), same).groupBy("before").agg(F.min(F.struct(rows["doc_id"], rows["text"])).alias("head"))
+    following = following.select(F.col("before").alias("range"), "head.doc_id", "head.text", F.lit(0).cast("bigint").alias("h"), F.lit(True).alias("next"))
+    dealt = rows.withColumn("next", F.lit(False)).unionByName(following).repartition("range").sortWithinPartitions("range", "next", *key, "text")
     kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
-    schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in RESULT.split(", ")] + [("part", pa.int64()), ("edge", pa.string()), ("text", pa.string())])
-
-    def batch(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], f.type) for k, f in enumerate(schema)], schema=schema)
+    schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in RESULT.split(", ")])
 
     def run(batches):
-        part, before = TaskContext.get().partitionId(), []
+        before = []
         for s in slices(batches, "text"):
-            got = list(zip(s.column(0).to_pylist(), s.column(1).to_pylist()))
-            if not before:
-                yield batch([(got[0][0], *[None] * 6, part, "first", got[0][1])])
-            got = before + got
-            if len(got) > 1:
-                yield batch([(*r, part, None, None) for r in _pairs(got)])
-            before = got[-1:]
-        if before:
-            yield batch([(before[0][0], *[None] * 6, part, "last", before[0][1])])
-
-    found = staged(rows.mapInArrow(run, RESULT + ", part bigint, edge string, text string"), "fingerprints")
-    parts = sorted(r[0] for r in found.where("edge = 'first'").select("part").collect())  # one number for each partition
-    follows = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1])), "part bigint, follows bigint")
-    first = found.where("edge = 'first'").select(F.col("part").alias("follows"), F.col("text").alias("next_text"))
-    last = found.where("edge = 'last'").select("part", "doc_id", "text")
-    edges = last.join(follows, "part").join(first, "follows").select("doc_id", "text", "next_text")
-
-    def close(batches):
-        for s in slices(batches, "text"):
-            yield batch([(*_pairs([(i, t), (None, u)])[0], None, None, None) for i, t, u in zip(*(c.to_pylist() for c in s.columns))]).select(names)
+            for a, b in _parts(s.column(2).to_pylist()):
+                before += list(zip(s.column(0).to_pylist()[a:b], s.column(1).to_pylist()[a:b]))
+                found = _pairs(before)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found), schema)], schema=schema)
+                before = [] if s.column(2)[b - 1].as_py() else before[-1:]  # a range ends with the row that follows it
+
+    return dealt.select("doc_id", "text", "next").mapInArrow(run, RESULT)
+
 
-    return found.where("edge IS NULL").select(*names).unionByName(edges.mapInArrow(close, RESULT))
+def _parts(ends: list[bool]) -> list[tuple[int, int]]:
+    """Bounds of the parts of a slice, each up to a row that ends a range, or to the end."""
+    cuts = [0, *(k + 1 for k, e in enumerate(ends) if e)]
+    return [(a, b) for a, b in zip(cuts, [*cuts[1:], len(ends)]) if a < b]
