@@ -14,11 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The vocabulary that the queries use, an installed public file."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary that the queries use, an installed public file."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op2_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order.materialised(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return order.materialised(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
