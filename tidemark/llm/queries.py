@@ -86,7 +86,59 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+OP6_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 99, 0))) AS p FROM d)),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM w),
+g AS (SELECT doc_id, p, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 100, true)::INT AS new FROM f WHERE k > 1),
+i AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM g),
+r AS (SELECT doc_id, run, min(p) AS lo, max(p) + 100 AS hi FROM i GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS upto FROM r),
+k AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last,
+             string_agg(substr(h, 2 * upto + 1, 2 * (lo - upto)), '' ORDER BY lo) AS kept FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP9_SQL = """
+WITH u AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM conversations WHERE role = 'user'),
+c AS (SELECT conv_id, turn, text, 'call_' || conv_id || '_' || turn AS call_id,
+             row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS layer,
+             CASE WHEN conv_id % 7 = 0 THEN 'draw' WHEN turn % 4 = 0 THEN 'search' ELSE 'lookup' END AS name,
+             (conv_id + turn) % 3 <> 0 AS has_strict, turn % 2 = 0 AS strict FROM u),
+r AS (SELECT conv_id, turn - 1 AS turn, text AS content FROM conversations WHERE role = 'assistant'),
+p AS (SELECT c.*, r.content, CASE WHEN name = 'draw' THEN 'unknown_tool' WHEN name = 'search' AND NOT has_strict THEN 'missing:strict'
+             WHEN name = 'lookup' AND has_strict THEN 'unexpected' END AS problem FROM c LEFT JOIN r USING (conv_id, turn))
+SELECT conv_id, call_id, layer, turn AS position, CASE WHEN content IS NULL THEN 0 ELSE 1 END AS n_results, problem IS NULL AS valid, problem,
+       '{"arguments":{"limit":' || turn || ',"query":' || CAST(to_json(text) AS VARCHAR) || CASE WHEN has_strict THEN ',"strict":' || CAST(strict AS VARCHAR) ELSE '' END
+       || '},"id":"' || call_id || '","name":"' || name || '","result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS json
+FROM p
+"""
+
+OP10_SQL = """
+WITH b AS (SELECT page_id, html, sha256(html) AS digest, regexp_replace(trim(url), '#.*$', '') AS url FROM pages),
+s AS (SELECT *, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
+             lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)) AS host,
+             regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', '') AS rest FROM b),
+q AS (SELECT *, regexp_extract(rest, '^([^?]*)', 1) AS path,
+             list_sort(list_filter(string_split(regexp_extract(rest, '\\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_'))) AS parts FROM s),
+c AS (SELECT page_id, html, digest, CASE WHEN scheme = '' THEN url ELSE scheme || '://' ||
+             CASE scheme WHEN 'http' THEN regexp_replace(host, ':80$', '') WHEN 'https' THEN regexp_replace(host, ':443$', '') ELSE host END ||
+             CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(parts) > 0 THEN '?' || array_to_string(parts, '&') ELSE '' END END AS url FROM q),
+m AS (SELECT v.page_id, v.url, v.digest, max(f.page_id) AS best FROM c v JOIN c f ON f.url = v.url AND 60 * f.page_id < 60 * v.page_id + 7000 GROUP BY ALL),
+j AS (SELECT m.*, f.digest AS theirs, f.html, CASE WHEN m.page_id % 5 = 0 THEN m.page_id = best ELSE substr(m.digest, 1, 16) = substr(f.digest, 1, 16) END AS same
+      FROM m JOIN c f ON f.page_id = best)
+SELECT 2 * page_id + 1 AS record_id, url, CASE WHEN same THEN 'resolved' ELSE 'validator_mismatch' END AS status,
+       CASE WHEN same THEN 2 * best END AS response_id, CASE WHEN same THEN theirs END AS payload_digest,
+       CASE WHEN same THEN '{"cache-control":"max-age=60","content-length":"' || strlen(html) || '","content-type":"text/html","date":"t' || (60 * page_id + 7000)
+            || '","etag":"' || CASE WHEN page_id % 5 = 0 THEN '' ELSE 'W/' END || '\\"' || substr(theirs, 1, 16) || '\\"","last-modified":"t' || (60 * best) || '"}' END AS headers
+FROM j
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    own = {"op6_suffix_array_dedup": OP6_SQL, "op9_tool_call_linking": OP9_SQL, "op10_warc_revisits": OP10_SQL}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
