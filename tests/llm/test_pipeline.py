@@ -1,0 +1,90 @@
+"""Each stage against the brute-force form of its operator, on the rows the stage before kept, and the odd tables."""
+
+import numpy as np
+
+import corpus_pipeline as C
+from tests.conftest import SF
+from tidemark.llm import lines as L
+from tidemark.llm import quality as Q
+from tidemark.llm import simhash as S
+
+from .helpers import ODD, documents
+from .test_lines import plain as plain_lines
+from .test_packing import check as check_packing
+from .test_quality import plain_counts, plain_verdicts
+from .test_simhash import plain_components, plain_fingerprint
+from .test_suffixes import plain as plain_repeats
+
+
+def rows_of(df):
+    return sorted((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in df.collect())
+
+
+def whole_characters(data, gone):
+    starts = [k for k, b in enumerate(data) if b & 0xC0 != 0x80]
+    out = b""
+    for a, b in zip(starts, [*starts[1:], len(data)]):
+        if not gone[a:b].all():
+            out += data[a:b]
+    return out.decode()
+
+
+def test_stages_are_those_of_brute_force(spark, local_dir):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    before = rows_of(docs)
+    got = []
+    for k, (_, stage) in enumerate(C.STAGES):
+        stage(spark, docs, SF).write.parquet(f"{local_dir}/{k}")
+        docs = spark.read.parquet(f"{local_dir}/{k}")
+        got.append(docs)
+    # quality rules
+    good = {i for i, r in labels.items() if r.quality == 1}
+    scores, least = plain_verdicts([r[:2] for r in before], {i for i in good if not labels[i].toxic}, good, labels.keys() - good)
+    want = [r for r, s in zip(before, scores) if s >= least and not Q.base_failed(plain_counts(r[1])[0], plain_counts(r[1])[4])]
+    assert rows_of(got[0]) == want and len(want) > 0.8 * len(before)
+    # line dedup
+    gone = plain_lines([r[1] for r in want])
+    cut = [(r, L.kept(r[1], g)) for r, g in zip(want, gone)]
+    want = [(r[0], t, *r[2:4], len(t)) for r, t in cut if t]
+    assert rows_of(got[1]) == want and sum(map(len, gone)) > 50
+    # SimHash near-dedup
+    prints = [plain_fingerprint(r[1]) for r in want]
+    want = [r for k, (r, c) in enumerate(zip(want, plain_components(prints))) if k == c]
+    assert rows_of(got[2]) == want
+    # suffix-array dedup
+    texts = [whole_characters(*x) for x in plain_repeats([r[1] for r in want])]
+    want = [(r[0], t, *r[2:4], len(t)) for r, t in zip(want, texts) if t]
+    assert rows_of(got[3]) == want
+    # best-fit packing
+    packed = got[4].collect()
+    check_packing(packed)
+    sizes = {}
+    for r in packed:
+        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.n_tokens
+    assert sizes == {r[0]: len(r[1].encode().split()) for r in want}
+
+
+def test_run_gives_the_last_stage(spark):
+    rows = C.run(spark, SF).collect()
+    check_packing(rows)
+    assert len(rows) > 100
+    assert [name for name, _ in C.STAGES] == ["quality rules", "line dedup", "SimHash near-dedup", "suffix-array dedup", "best-fit packing"]
+
+
+def test_stages_take_odd_tables(spark, local_dir):
+    docs = documents(spark, ODD, extra=True)
+    for rows in (docs, docs.limit(0), docs.drop("h", "d")):
+        for k, (_, stage) in enumerate(C.STAGES):
+            found = stage(spark, rows, SF)
+            if k < 4:
+                assert found.columns == rows.columns
+            found.collect()
+
+
+def test_one_document_of_each_group_stays(spark):
+    same = "one two three four five six seven"
+    docs = documents(spark, [(3, same), (1, same), (1, same), (2, same.upper()), (4, "quite another text"), (None, same), (None, None)])
+    stay = S.one_of_each(docs).collect()
+    assert sorted(((str(r.doc_id), r.text) for r in stay), key=str) == [("1", same), ("4", "quite another text"), ("None", None), ("None", same)]
+    assert np.all([r.text != same.upper() for r in stay])

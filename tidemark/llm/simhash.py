@@ -216,7 +216,7 @@ def hexadecimal(fp: str = "fp") -> F.Column:
 def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 2) -> DataFrame:
     """The rows of ``docs`` that stay: in each component the one of smallest doc_id (of equal ones, one).
 
-    Rows whose component has no doc_id at all stay. The rows to drop are found on ids alone; the documents are read once more and
+    Rows without a doc_id stay, as nothing names them. The rows to drop are found on ids alone; the documents are read once more and
     lose them in an anti join on doc_id, which the adaptive join splits. Of rows with one doc_id, the smallest text stays.
     """
     found = components(docs, shingle, most)
