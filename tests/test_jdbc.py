@@ -57,6 +57,20 @@ def test_bounds_follow_the_predicate(spark, orders_jdbc, derby_url):
     assert (lo, hi) == tuple(expect)
 
 
+@pytest.mark.parametrize("column, cast, value", [
+    ("o_orderdate", None, "2000-01-01"), ("d", "DATE", "2000-01-01"), ("n", "DECIMAL(20,4)", "100000.5"), ("s", "STRING", "O")])
+def test_bounds_under_a_mark_are_one_row_from_the_database(spark, run, derby_url, monkeypatch, column, cast, value):
+    """Marks of every kind are written in the dialect; nothing but MIN and MAX is fetched, on the first run too."""
+    source = {"d": "CAST(o_orderdate AS DATE)", "n": "CAST(o_totalprice AS DECIMAL(20,4))", "s": "o_orderstatus"}.get(column, column)
+    jt = JdbcTable(derby_url, table="APP.B", options=NTZ, column_types="s VARCHAR(8)" if column == "s" else None, partition_column="o_orderkey", num_partitions=4)
+    run.sync(SyncSpec("b", write_mode="overwrite"), run.query(f"SELECT o_orderkey, {source} AS {column} FROM {{orders}}", "b"), jt)
+    dtype = jt.schema(spark)[column].dataType
+    whole = jt.read(spark)
+    monkeypatch.setattr(JdbcTable, "_single", lambda *a: pytest.fail("rows fetched for bounds"))
+    for pred in (M.after([column], M.coerce(value, dtype), dtype), M.after([column], M.coerce(value, dtype), dtype, inclusive=True), M.any_not_null([column])):
+        assert jt.bounds(spark, pred) == tuple(whole.where(pred).agg(F.min("o_orderkey"), F.max("o_orderkey")).first())
+
+
 def test_upsert_into_jdbc(spark, run, orders_jdbc):
     """K8 / D10: merge into JDBC upserts instead of silently overwriting with the delta."""
     run.sync(SyncSpec("m", write_mode="merge", merge_keys=["o_orderkey"]),

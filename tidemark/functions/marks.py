@@ -220,6 +220,25 @@ def literal(mark: Mark, dtype: DataType) -> Column:
     return F.lit(mark.value)
 
 
+@dataclass(frozen=True)
+class Window:
+    """What a mark predicate says, for stores that ask their database in its own words. Without a mark: any column is not NULL."""
+
+    columns: tuple[str, ...]
+    mark: Mark | None
+    inclusive: bool = False
+
+
+def _known(predicate: Column, window: Window) -> Column:
+    predicate.mark_window = window
+    return predicate
+
+
+def window_of(predicate: Column | None) -> Window | None:
+    """The window of a predicate made by :func:`after` or :func:`any_not_null`, and of no other."""
+    return getattr(predicate, "mark_window", None) if predicate is not None else None
+
+
 def after(columns: Sequence[str], mark: Mark, dtype: DataType, inclusive: bool = False) -> Column:
     """Rows beyond the mark: ``c1 > m OR c2 > m ...`` (``>=`` when inclusive).
 
@@ -228,12 +247,13 @@ def after(columns: Sequence[str], mark: Mark, dtype: DataType, inclusive: bool =
     """
     bound = literal(mark, dtype)
     tests = [(F.col(c) >= bound) if inclusive else (F.col(c) > bound) for c in columns]
-    return reduce(lambda a, b: a | b, tests)
+    return _known(reduce(lambda a, b: a | b, tests), Window(tuple(columns), mark, inclusive))
 
 
 def any_not_null(columns: Iterable[str]) -> Column:
     """First run, no mark yet: every row with at least one non-NULL watermark column."""
-    return reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns])
+    columns = tuple(columns)
+    return _known(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns]), Window(columns, None))
 
 
 def batch_max(columns: Sequence[str], dtype: DataType) -> Column:
