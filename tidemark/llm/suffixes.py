@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import folded, numbered, slices, staged, unfolded, with_lists
+from .common import folded, numbered, slices, staged, unfolded
 
-LENGTH, GRAM, STEP, CHUNK = 100, 32, 8, 2 << 20
+LENGTH, GRAM, STEP, CHUNK = 100, 32, 8, 1 << 20
 WIDTH = LENGTH - GRAM + 1  # grams in a window
 SAMPLED, SHARE, LEAST_HOT = 64, 50_000, 32
 CONTEXT = "h bigint, c bigint, d bigint, lo int, n int, done boolean"
@@ -123,7 +123,7 @@ def _joined(d: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, .
 
 def _context_rows(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for part in slices(batches, "text", 8 * CHUNK):
+        for part in slices(batches, "text", 16 * CHUNK):
             d = part.column(0).to_numpy(zero_copy_only=False)
             found = [np.concatenate(x) for x in zip(*_rows(d, [t.encode() for t in part.column(1).to_pylist()]))]
             if not found or not len(found[0]):
@@ -197,7 +197,7 @@ def _pieces(docs: DataFrame, opened: DataFrame) -> DataFrame:
                         x.extend(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=names)
 
-    return with_lists(docs, lists, "inner").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
+    return docs.join(lists, "d").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
 
 
 def _piece(data: bytes, h: int, d: int, lo: int, n: int) -> list[tuple]:
@@ -298,7 +298,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     hot = counts.where(F.col("count") >= max(LEAST_HOT, total / SHARE)).select("h", F.lit(True).alias("hot"))  # SHARE rows at most
     rows = _context_rows(distinct).join(F.broadcast(hot), "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     route = F.when(F.col("done"), F.xxhash64("d", "lo")).when(F.col("hot"), F.xxhash64("h", "c")).otherwise(F.col("h"))
-    dealt = rows.withColumn("route", route).repartition("route").sortWithinPartitions("h", "c", "d", "lo")
+    dealt = rows.repartition(route).sortWithinPartitions("h", "c", "d", "lo")
     settled = staged(_settled(dealt), "settled")
     compared = _compared(_pieces(distinct, settled.where("open")))
     return settled.where("NOT open").select("d", "lo", "n").unionByName(compared)
@@ -318,7 +318,7 @@ def _with_runs(docs: DataFrame) -> DataFrame:
     # a document's runs number no more than its bytes; repeated rows share a ``d`` and are one document
     own = numbered(docs)
     lists = staged(repeats(own).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
-    return with_lists(own, lists, "left")
+    return own.join(lists, "d", "left")
 
 
 def digests(docs: DataFrame) -> DataFrame:
