@@ -99,7 +99,7 @@ def _run(spark, spec, source, target, state, history, started, clock, run_id) ->
         return _finish(history, spec, run_id, "", "", "SUCCESS", 0, None, None, started, clock,
                        "target exists; write_mode 'ignore' leaves it unchanged")
 
-    dtype = None
+    dtype = None  # of the marks; a source without marks is not asked for its schema
     if spec.watermark_columns:
         dtype = M.mark_type(source.schema(spark), spec.watermark_columns)
 

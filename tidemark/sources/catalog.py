@@ -137,13 +137,16 @@ class CatalogTable(Store):
         return f"{self.table_root(spark)}/v_{version}"
 
     def _described(self, spark: SparkSession) -> dict[str, str]:
-        """Location and bucketing from the catalog (memoised within one publish step)."""
+        """Location, bucketing and partition columns from the catalog (memoised within one publish step)."""
         memo = getattr(_LOCAL, "described", None) if getattr(_LOCAL, "depth", 0) else None
         if memo is not None and self.name in memo:
             return memo[self.name]
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}") \
-            .where("col_name IN ('Location', 'Num Buckets', 'Bucket Columns')").collect()
-        info = {r["col_name"]: r["data_type"] for r in rows}
+        # A command's result is local: collected as it is, it starts no job.
+        rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_quote(self.name)}").collect()]
+        sections = [k for k, (name, _) in enumerate(rows) if name.startswith("# ") and name != "# col_name"] + [len(rows)]
+        info = {k: v for k, v in rows[sections[0]:] if k in ("Location", "Num Buckets", "Bucket Columns")}
+        parts = next((rows[a + 1:b] for a, b in zip(sections, sections[1:]) if rows[a][0] == "# Partition Information"), [])
+        info["Partition Columns"] = "\n".join(name for name, _ in parts if name and name != "# col_name")
         if memo is not None:
             memo[self.name] = info
         return info
@@ -158,7 +161,7 @@ class CatalogTable(Store):
         return self._described(spark).get("Location", "")
 
     def partition_columns(self, spark: SparkSession) -> list[str]:
-        return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
+        return [c for c in self._described(spark).get("Partition Columns", "").split("\n") if c]
 
     def bucketing(self, spark: SparkSession) -> tuple[tuple[str, ...], int] | None:
         """``(columns, buckets)``: the declared bucketing, else the existing table's, else ``None``."""
@@ -312,8 +315,12 @@ class CatalogTable(Store):
         other = set(table.names) ^ set(staged.columns)
         if other:
             raise ValueError(f"append to {self.name} needs its columns; differing: {sorted(other)}")
-        rows = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields])
-        self._write_version(spark, self._by_bucket(spark, rows), commits.pending_path(root, batch_id))
+        pending = commits.pending_path(root, batch_id)
+        same = {f.name: f.dataType for f in table.fields} == {f.name: f.dataType for f in staged.schema.fields}
+        if not (staged_path and same and not self.layout(spark) and self.bucketing(spark) is None
+                and Files(spark).move_folder(staged_path, pending)):  # else the staged files themselves
+            rows = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields])
+            self._write_version(spark, self._by_bucket(spark, rows), pending)
         commits.seal(spark, root, batch_id, note)
         self.committed(spark, batch_id)
 

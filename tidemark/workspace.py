@@ -72,6 +72,16 @@ class Files:
         if not fs.rename(p, to) and not fs.exists(to):
             raise OSError(f"could not move {source} to {target}")
 
+    def move_folder(self, source: str, target: str) -> bool:
+        """A whole folder, in place of what an earlier attempt may have left there; ``False`` if the file system can't."""
+        fs, p = self._at(source)
+        to_fs, to = self._at(target)
+        if not fs.exists(p) or fs.getUri().toString() != to_fs.getUri().toString():
+            return False
+        fs.delete(to, True)
+        fs.mkdirs(to.getParent())
+        return fs.rename(p, to)
+
     def write(self, path: str, text: str, overwrite: bool = True) -> None:
         """A small text file; without ``overwrite`` it fails if the file exists (an atomic claim on
         file systems whose create is atomic)."""
