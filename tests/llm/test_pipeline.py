@@ -86,5 +86,5 @@ def test_one_document_of_each_group_stays(spark):
     same = "one two three four five six seven"
     docs = documents(spark, [(3, same), (1, same), (1, same), (2, same.upper()), (4, "quite another text"), (None, same), (None, None)])
     stay = S.one_of_each(docs).collect()
-    assert sorted(((str(r.doc_id), r.text) for r in stay), key=str) == [("1", same), ("4", "quite another text"), ("None", None), ("None", same)]
+    assert sorted(((str(r.doc_id), r.text) for r in stay), key=str) == sorted([("1", same), ("4", "quite another text"), ("None", None), ("None", same)], key=str)
     assert np.all([r.text != same.upper() for r in stay])
