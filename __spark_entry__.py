@@ -418,21 +418,21 @@ def q_late_lookback(spark, sf_dir):
 def _chain(spark, sf_dir):
     """header → detail → header facts → detail facts, after one-time historical loads."""
     r = Run(spark, sf_dir)
-    ih, idt = r.table("intraday_header"), r.table("intraday_detail")
-    fh, fd = r.table("fact_header"), r.table("fact_detail")
-    r.sync(SyncSpec("fact_header_initial", write_mode="overwrite", transforms=(upto("o_orderdate", "2000-06-01"),)),
+    ih, idt = r.table("recent_orders"), r.table("recent_lines")
+    fh, fd = r.table("all_orders"), r.table("all_lines")
+    r.sync(SyncSpec("all_orders_initial", write_mode="overwrite", transforms=(upto("o_orderdate", "2000-06-01"),)),
            r.parquet("orders"), fh)
-    r.sync(SyncSpec("fact_detail_initial", write_mode="merge", merge_keys=LI_KEYS, duplicate_keys="latest",
+    r.sync(SyncSpec("all_lines_initial", write_mode="merge", merge_keys=LI_KEYS, duplicate_keys="latest",
                     watermark_columns=["l_shipdate"], transforms=(upto("l_shipdate", "2000-06-01"),)),
            r.parquet("lineitem"), fd)
     sync_chain(spark, [
-        (SyncSpec("intraday_header", mode="incremental", write_mode="merge", merge_keys=["o_orderkey"],
+        (SyncSpec("recent_orders", mode="incremental", write_mode="merge", merge_keys=["o_orderkey"],
                   watermark_columns=["o_orderdate"], initial_mark="2000-01-01"), r.query(CHANGED_ORDERS, "orders"), ih),
-        (SyncSpec("intraday_detail", mode="incremental", write_mode="merge", merge_keys=LI_KEYS,
+        (SyncSpec("recent_lines", mode="incremental", write_mode="merge", merge_keys=LI_KEYS,
                   duplicate_keys="latest", watermark_columns=["l_shipdate"], initial_mark="2000-01-01"),
          r.query(LINEITEM_PLUS, "lineitem"), idt),
-        (SyncSpec("merge_intraday_to_fact_header", write_mode="merge", merge_keys=["o_orderkey"]), ih, fh),
-        (SyncSpec("merge_intraday_to_fact_detail", write_mode="merge", merge_keys=LI_KEYS), idt, fd),
+        (SyncSpec("orders_delta_to_history", write_mode="merge", merge_keys=["o_orderkey"]), ih, fh),
+        (SyncSpec("lineitem_delta_to_history", write_mode="merge", merge_keys=LI_KEYS), idt, fd),
     ], r.state, r.history)
     return fh, fd
 

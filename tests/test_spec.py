@@ -46,15 +46,15 @@ def test_jdbc_needs_exactly_one_of_table_or_query():
     JdbcTable("jdbc:derby:memory:x", query="SELECT 1", name="q")
 
 
-def test_spec_from_reference_shaped_config():
+def test_spec_from_a_parsed_config():
     from tidemark import spec_from_config
 
     spec = spec_from_config({
         "pipeline_id": "hdr", "description": "header",
-        "sync_config": {"mode": "incremental", "watermark_columns": ["DATE_CREATED"], "write_mode": "merge",
-                        "merge_keys": ["WL_KEY"], "partitions": 4, "fetch_size": 10000},
+        "sync_config": {"mode": "incremental", "watermark_columns": ["made_on"], "write_mode": "merge",
+                        "merge_keys": ["row_key"], "partitions": 4, "fetch_size": 10000},
         "transformations": [{"type": "filter", "condition": "x > 0"}, {"type": "rename", "mapping": {"a": "b"}}],
     })
-    assert spec.mode == "incremental" and spec.merge_keys == ("WL_KEY",) and len(spec.transforms) == 2
+    assert spec.mode == "incremental" and spec.merge_keys == ("row_key",) and len(spec.transforms) == 2
     with pytest.raises(ValueError):
         spec_from_config({"pipeline_id": "x", "sync_config": {"mode": "full"}})
