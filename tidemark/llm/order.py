@@ -113,7 +113,7 @@ def materialised(docs: DataFrame, path: str, key: int = 7, folder: str | None =
             nonlocal first
             found = _documents_in(np.array(cuts), ids, n, LENGTH)
             yield pa.RecordBatch.from_arrays([
-                pa.array([part]), pa.array([first]), pa.array([n]), pa.array([zstandard.compress(tokens[:n * LENGTH].tobytes(), 3)], pa.binary()),
+                pa.array([part]), pa.array([first]), pa.array([n]), pa.array([zstandard.compress(tokens[:n * LENGTH].tobytes(), 6)], pa.binary()),
                 pa.array([[len(x) for x in found]], pa.list_(pa.int64())), pa.array([[i for x in found for i in x]], pa.list_(pa.int64())), pa.array([filled])],
                 names=["part", "first", "count", "tokens", "sizes", "ids", "filled"])
             first += n
@@ -149,7 +149,7 @@ def materialised(docs: DataFrame, path: str, key: int = 7, folder: str | None =
                 ends = np.cumsum(size)
                 for at in np.split(order, np.flatnonzero(np.diff(slot[order] // SHARD)) + 1):
                     found = [ids[ends[k] - size[k]:ends[k]] for k in at]
-                    for x, v in zip(out, (int(slot[at[0]] // SHARD), slot[at].tolist(), zstandard.compress(records[at].tobytes(), 3),
+                    for x, v in zip(out, (int(slot[at[0]] // SHARD), slot[at].tolist(), zstandard.compress(records[at].tobytes(), 6),
                                           [len(f) for f in found], [i for f in found for i in f], [filled if k == count - 1 else LENGTH for k in at.tolist()])):
                         x.append(v)
             kinds = (pa.int64(), pa.list_(pa.int64()), pa.binary(), *[pa.list_(pa.int64())] * 3)
