@@ -108,6 +108,8 @@ def smallest_reachable(links: DataFrame, most_rounds: int = 200) -> DataFrame:
     changes, after about log(n) of them.
     """
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    if edges.isEmpty():
+        return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     for _ in range(most_rounds):
         # large star: each larger neighbour of u is linked to the smallest id about u
         both = staged(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
