@@ -131,7 +131,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     """``RESULT`` for each row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
-    rows = _ranges(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = _ranges(rows, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))  # several for each task, so that tasks come out even
     # the first row of each range follows the last of the range before: a row for each range, found by its key and fetched
     key = [F.col("doc_id").desc_nulls_last(), F.col("h")]
     heads = rows.groupBy("range").agg(F.min_by(F.struct("doc_id", "h"), F.struct(F.bitwise_not("doc_id"), F.col("h"))).alias("head")).select("range", "head.doc_id", "head.h")
