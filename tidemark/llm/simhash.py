@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import by_slices, smallest_reachable, staged
 
-SAMPLE, LEAF, BLOCK = 65_536, 1_500, 256
+SAMPLE, LEAF, BLOCK = 16_384, 1_500, 256
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
