@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,6 +50,10 @@ class Vocabulary:
     pieces: dict[int, bytes]
     special: dict[str, int]
     known: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    digits: list[str] = field(default_factory=list)  #: each id in decimal
+
+    def __post_init__(self):
+        self.digits = [str(i) for i in range(max(self.pieces) + 1)]
 
     @staticmethod
     def read(path: str) -> Vocabulary:
@@ -76,29 +81,46 @@ class Vocabulary:
     def merge_rounds(self, words: list[bytes]) -> list[list[int]]:
         """The ids of each word (none of them empty)."""
         done: list[list[int]] = [[] for _ in words]
+        size = np.fromiter(map(len, words), np.int64, len(words))
         symbols = self.first[np.frombuffer(b"".join(words), np.uint8)]
-        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        word = np.arange(len(words))  # of each run of symbols; the runs follow each other in the array
+        rank, merged = np.full(len(symbols), NONE), np.zeros(len(symbols), np.int64)
+        rank[:-1], merged[:-1] = self.look_up(symbols[:-1], symbols[1:])
+        rank[np.cumsum(size) - 1] = NONE  # the last symbol of a word has no right neighbour in it
         while len(symbols):
-            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            rank = np.full(len(symbols), NONE)
-            rank[:-1], merged = self.look_up(symbols[:-1], symbols[1:])
-            rank[start[1:] - 1] = NONE  # the last symbol of a word has no right neighbour in it
+            start = np.cumsum(size) - size
             lowest = np.minimum.reduceat(rank, start)
-            size = np.diff(np.append(start, len(symbols)))
-            for k in np.flatnonzero(lowest == NONE):
-                done[word[start[k]]] = symbols[start[k]:start[k] + size[k]].tolist()
-            chosen = (rank == np.repeat(lowest, size)) & (rank != NONE)
-            at = np.flatnonzero(chosen)
-            if not len(at):
-                break
-            # of places one beside the other (as in aaa) every second one, from the left
-            run = np.cumsum(np.concatenate([[True], (np.diff(at) != 1) | (rank[at[1:]] != rank[at[:-1]])])) - 1
+            finished = lowest == NONE
+            if finished.any():
+                for k in np.flatnonzero(finished).tolist():
+                    done[word[k]] = symbols[start[k]:start[k] + size[k]].tolist()
+                stay = np.repeat(~finished, size)
+                symbols, rank, merged = symbols[stay], rank[stay], merged[stay]
+                word, size, lowest = word[~finished], size[~finished], lowest[~finished]
+                if not len(symbols):
+                    break
+            at = np.flatnonzero(rank == np.repeat(lowest, size))
+            # of places one beside the other (as in aaa) every second one, from the left; a word's last place is never chosen
+            run = np.cumsum(np.concatenate([[True], np.diff(at) != 1])) - 1
             begin = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             at = at[(np.arange(len(at)) - begin[run]) % 2 == 0]
+            ends = np.zeros(len(symbols), bool)
+            ends[np.cumsum(size) - 1] = True
+            last = ends[at + 1]
             symbols[at] = merged[at]
-            stay = np.repeat(lowest != NONE, size)
+            stay = np.ones(len(symbols), bool)
             stay[at + 1] = False
-            symbols, word = symbols[stay], word[stay]
+            size = size - np.add.reduceat((~stay).astype(np.int64), np.cumsum(size) - size)
+            symbols, rank, merged = symbols[stay], rank[stay], merged[stay]
+            place = at - np.arange(len(at))  # each merge before it took one symbol away
+            # the pairs that changed: of a merged symbol with the next, and of the one before with it
+            rank[place[last]] = NONE
+            right = place[~last]
+            left = place[place > 0] - 1
+            ends = np.zeros(len(symbols), bool)
+            ends[np.cumsum(size) - 1] = True
+            changed = np.concatenate([right, left[~ends[left]]])
+            rank[changed], merged[changed] = self.look_up(symbols[changed], symbols[changed + 1])
         return done
 
     def merge_heap(self, word: bytes) -> list[int]:
@@ -153,10 +175,10 @@ class Vocabulary:
     def split(self, text: str) -> list[str]:
         """The words of a text; special tokens are words of their own."""
         if not any(t in text for t in self.special):
-            return _WORDS.findall(text)
+            return words_of(text)
         longest = sorted(self.special, key=len, reverse=True)
         parts = regex.split("(" + "|".join(map(regex.escape, longest)) + ")", text)
-        return [w for k, p in enumerate(parts) for w in ([p] if k % 2 else _WORDS.findall(p))]
+        return [w for k, p in enumerate(parts) for w in ([p] if k % 2 else words_of(p))]
 
     def encode_batch(self, texts: list[str]) -> list[list[int]]:
         cut = [self.split(t) for t in texts]
@@ -185,6 +207,20 @@ class Vocabulary:
 
 
 _WORDS = regex.compile(PATTERN)
+#: The same pattern for the standard library, which is faster, with its own classes of letters, digits and spaces.
+_PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_CLASSES = [(regex.compile(a), re.compile(b)) for a, b in ((r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d"), (r"\s", r"\s"))]
+_SAME: set[str] = set()  # characters that both libraries put in the same class
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a text without special tokens."""
+    new = set(text) - _SAME
+    if new:
+        _SAME.update(c for c in new if all(bool(a.match(c)) == bool(b.match(c)) for a, b in _CLASSES))
+        if not new <= _SAME:
+            return _WORDS.findall(text)
+    return _PLAIN.findall(text)
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
@@ -208,12 +244,24 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
 
 def round_trips(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256: a text is encoded and its ids decoded in the same task."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: a text is encoded and its ids decoded in the same task.
+
+    Ids are written out and decoded once for each word of a slice; a text's are those of its words, one after the other.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
 
     def make(part: pa.RecordBatch) -> list:
-        found = sent.value.encode_batch([t or "" for t in part.column(1).to_pylist()])
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        return [part.column(0), [len(x) for x in found], [sha(",".join(map(str, x))) for x in found], [sha(sent.value.decode(x)) for x in found]]
+        vocabulary = sent.value
+        cut = [vocabulary.split(t or "") for t in part.column(1).to_pylist()]
+        words = {w for ws in cut for w in ws}
+        vocabulary.learn(words - vocabulary.special.keys())
+        ids = {w: (vocabulary.special[w],) if w in vocabulary.special else vocabulary.known[w] for w in words}
+        digits = vocabulary.digits.__getitem__
+        written = {w: ",".join(map(digits, x)) for w, x in ids.items()}
+        back = {w: b"".join(map(vocabulary.pieces.__getitem__, x)) for w, x in ids.items()}
+        n = {w: len(x) for w, x in ids.items()}
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        return [part.column(0), [sum(map(n.__getitem__, ws)) for ws in cut], [sha(",".join(map(written.__getitem__, ws)).encode()) for ws in cut],
+                [sha(b"".join(map(back.__getitem__, ws)).decode("utf-8", "replace").encode()) for ws in cut]]
 
     return by_slices(docs.select("doc_id", "text"), "text", make, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
