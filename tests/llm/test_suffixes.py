@@ -6,6 +6,7 @@ import pytest
 
 from tests.conftest import SF
 from tidemark.llm import suffixes as S
+from tidemark.llm.common import numbered
 
 from .helpers import ODD, documents, prose
 
@@ -90,3 +91,18 @@ def test_odd_rows(spark):
     assert [r[1] - r[2] for r in rows if r[0] == 7] == [0]
     assert S.without_repeats(docs).columns == docs.columns
     assert S.digests(docs.limit(0)).count() == 0 and S.without_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("settings", [{}, {"SAMPLED": 1, "SHARE": 10**9, "LEAST_HOT": 1}])
+def test_repeated_rows_are_one_document(spark, monkeypatch, settings):
+    for k, v in settings.items():
+        monkeypatch.setattr(S, k, v)
+    texts = mixture(12)
+    rows = [(k if k % 4 else None, t) for k, t in enumerate(texts)]  # rows without an id come last, by a hash of the text
+    docs = documents(spark, rows + rows + rows[:5])
+    order = {(r.doc_id, r.text): r.d for r in numbered(docs).collect()}
+    places = sorted(set(rows), key=order.get)
+    want = {x: digest(*y) for x, y in zip(places, plain([t for _, t in places]))}
+    got = sorted(((r.doc_id, *tuple(r)[1:]) for r in S.digests(docs).collect()), key=str)
+    assert got == sorted(((x[0], *want[x]) for x in rows + rows + rows[:5]), key=str)
+    assert any(w[0] > 200 and w[1] == 0 for w in want.values()) and sum(w[1] for w in want.values()) > 1000

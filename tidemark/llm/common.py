@@ -68,11 +68,17 @@ _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boole
           "binary": pa.binary(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64())}
 
 
-def numbered(docs: DataFrame) -> DataFrame:
+def has_key(docs: DataFrame) -> bool:
+    """Whether doc_id is unique and never null."""
+    return docs.where("doc_id IS NULL").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def numbered(docs: DataFrame, keyed: bool | None = None) -> DataFrame:
     """``docs`` with ``d``, a bigint that orders the documents, and null texts made empty. It is doc_id where that is unique and never null; else
-    documents are the distinct pairs of doc_id (null last) and a hash of the text, in this order, so equal rows are one document."""
+    documents are the distinct pairs of doc_id (null last) and a hash of the text, in this order, so equal rows are one document. ``keyed``
+    is ``has_key(docs)`` where the caller knows it."""
     own = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    if docs.where("doc_id IS NULL").isEmpty() and docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if has_key(docs) if keyed is None else keyed:
         return own.withColumn("d", F.col("doc_id").cast("bigint"))
     own = own.withColumn("_h", F.xxhash64("text")).withColumn("_o", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
     numbers = staged(own.select("_o", "_h").distinct().orderBy("_o", "_h").withColumn("d", F.monotonically_increasing_id()), "numbers")

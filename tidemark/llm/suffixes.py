@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import folded, numbered, slices, staged, unfolded
+from .common import folded, has_key, numbered, slices, staged, unfolded
 
 LENGTH, GRAM, STEP, CHUNK = 100, 32, 8, 1 << 20
 WIDTH = LENGTH - GRAM + 1  # grams in a window
@@ -289,9 +289,8 @@ def _compared(pieces: DataFrame) -> DataFrame:
     return pieces.repartition("route").sortWithinPartitions("route").mapInArrow(run, "d bigint, lo int, n int")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(d, lo, n): runs of windows, in the bytes of document ``d``, that also start earlier. ``docs`` has d and text."""
-    distinct = docs.select("d", "text")
+def repeats(distinct: DataFrame) -> DataFrame:
+    """(d, lo, n): runs of windows, in the bytes of document ``d``, that also start earlier. ``distinct`` has d and text, a row for each d."""
     sample = _context_rows(distinct.where(F.pmod(F.xxhash64("d"), F.lit(SAMPLED)) == 0)).where("NOT done")
     counts = staged(sample.groupBy("h").count(), "sampled-grams")
     total = counts.agg(F.sum("count")).first()[0] or 0
@@ -315,9 +314,13 @@ def covered(size: int, runs: list) -> np.ndarray:
 
 
 def _with_runs(docs: DataFrame) -> DataFrame:
-    # a document's runs number no more than its bytes; repeated rows share a ``d`` and are one document
-    own = numbered(docs)
-    lists = staged(repeats(own).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
+    # a document's runs number no more than its bytes; repeated rows share a ``d`` and are one document, which is looked at once
+    keyed = has_key(docs)
+    own = numbered(docs, keyed)
+    distinct = own.select("d", "text")
+    if not keyed:
+        distinct = staged(distinct.groupBy("d").agg(F.first("text").alias("text")), "distinct-documents")
+    lists = staged(repeats(distinct).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
     return own.join(lists, "d", "left")
 
 
