@@ -106,3 +106,21 @@ def test_repeated_rows_are_one_document(spark, monkeypatch, settings):
     got = sorted(((r.doc_id, *tuple(r)[1:]) for r in S.digests(docs).collect()), key=str)
     assert got == sorted(((x[0], *want[x]) for x in rows + rows + rows[:5]), key=str)
     assert any(w[0] > 200 and w[1] == 0 for w in want.values()) and sum(w[1] for w in want.values()) > 1000
+
+
+def test_no_route_grows_with_the_documents_of_a_passage(spark, monkeypatch):
+    for k, v in {"SAMPLED": 1, "SHARE": 10**9, "LEAST_HOT": 8}.items():
+        monkeypatch.setattr(S, k, v)
+    largest, compared = [], S._compared
+
+    def watched(pieces):
+        largest.append(pieces.groupBy("route").count().agg({"count": "max"}).first()[0])
+        return compared(pieces)
+
+    monkeypatch.setattr(S, "_compared", watched)
+    r = random.Random(11)
+    passage, other = prose(21, 40), lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(120))
+    texts = [other() + passage + other() for _ in range(400)]
+    got = {r.doc_id: tuple(r)[1:] for r in S.digests(documents(spark, list(enumerate(texts)))).collect()}
+    assert got == {k: digest(*x) for k, x in enumerate(plain(texts))}
+    assert len(largest) == 1 and largest[0] < 40  # a few for each slice, not one for each document

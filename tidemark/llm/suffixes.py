@@ -16,7 +16,8 @@ judged on the input. The removed bytes are those whose longest-previous-factor v
 
 Hot grams: contexts that are equal within a slice of documents are settled there, and the first is handed on, so an exact copy adds few rows. Grams
 that hold more than a 50,000th of a 64th of the documents (a sample of documents decides speed only; the list is bounded by that share) are dealt out by gram
-*and* context, and in step 3 are cut into contexts of ``STEP`` windows, dealt out by the bytes these have in common.
+*and* context, and in step 3 are cut into single windows: of those equal (by a 128-bit hash) within a slice of documents the first is handed on, dealt
+out by that hash, so a task meets a window at most once for each slice, however many documents share the bytes around it.
 
 Defined cases: null text is empty; null doc_id orders last; rows equal in doc_id and text are one document, and each gets its
 result; rows of one doc_id with other texts are documents ordered by a hash of the text; a text under ``LENGTH`` bytes stays whole; an
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 
 from .common import folded, has_key, numbered, slices, staged, unfolded
 
-LENGTH, GRAM, STEP, CHUNK = 100, 32, 8, 1 << 20
+LENGTH, GRAM, HASH, CHUNK = 100, 32, 16, 1 << 20
 WIDTH = LENGTH - GRAM + 1  # grams in a window
 SAMPLED, SHARE, LEAST_HOT = 64, 50_000, 32
 CONTEXT = "h bigint, c bigint, d bigint, lo int, n int, done boolean"
@@ -182,42 +183,46 @@ def _settled(rows: DataFrame) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, opened: DataFrame) -> DataFrame:
-    """(route, d, lo, n, bytes) of the contexts to compare; those of hot grams are cut into contexts of ``STEP`` windows."""
+    """(route, d, lo, n, bytes) of what is to be compared: contexts with their bytes. Those of hot grams are cut into single windows, each
+    with its hash (``HASH`` bytes); of windows equal within a slice the first is routed, and runs of the others, which are later copies, have no bytes."""
     lists = staged(opened.groupBy("d").agg(F.collect_list(F.struct("lo", "n", "h", "hot")).alias("open")), "open")  # one document's contexts
-    names = ["route", "d", "lo", "n", "bytes"]
+    names, types = ["route", "d", "lo", "n", "bytes"], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
 
     def run(batches):
         for part in slices(batches, "text"):
-            out = [[] for _ in names]
+            out, hot, hashes = [[] for _ in names], [], bytearray()
             for d, text, rows in zip(*(x.to_pylist() for x in part.columns)):
                 data = text.encode()
                 for r in rows:
-                    cut = _hot_pieces if r["hot"] else _piece
-                    for x, v in zip(out, zip(*cut(data, r["h"], d, r["lo"], r["n"]))):
-                        x.extend(v)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=names)
+                    lo, n = r["lo"], r["n"]
+                    if r["hot"]:
+                        hot.append((d, lo, n))
+                        hashes += b"".join([xxhash.xxh3_128_digest(data[k:k + LENGTH]) for k in range(lo, lo + n)])
+                        if len(hashes) > HASH * CHUNK:
+                            yield windows(hot, hashes)
+                            hot, hashes = [], bytearray()
+                    else:
+                        for x, v in zip(out, (r["h"], d, lo, n, data[lo:lo + n - 1 + LENGTH])):
+                            x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, types)], names=names)
+            if hot:
+                yield windows(hot, hashes)
+
+    def windows(hot, hashes):
+        d, lo, n = (np.array(x, np.int64) for x in zip(*hot))
+        d, lo = np.repeat(d, n), np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+        high, low = np.frombuffer(hashes, np.int64).reshape(-1, 2).T
+        order, first = _firsts(high, low, d, lo)
+        keep, later = order[first], order[~first]
+        e, elo, en = _joined(d[later], lo[later], np.ones(len(later), np.int64))
+        found = [bytes(hashes[HASH * k:HASH * (k + 1)]) for k in keep.tolist()] + [b""] * len(e)
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+            (np.concatenate([low[keep], e]), np.concatenate([d[keep], e]), np.concatenate([lo[keep], elo]),
+             np.concatenate([np.ones(len(keep), np.int64), en]), found), types)], names=names)
 
     return docs.join(lists, "d").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
 
 
-def _piece(data: bytes, h: int, d: int, lo: int, n: int) -> list[tuple]:
-    return [(h, d, lo, n, data[lo:lo + n - 1 + LENGTH])]
-
-
-def _hot_pieces(data: bytes, h: int, d: int, lo: int, n: int) -> list[tuple]:
-    """A context cut at every ``STEP`` windows, counted back from its anchor, so that equal windows fall into cuts that share a core."""
-    with np.errstate(over="ignore"):
-        grams = _grams(np.frombuffer(data[lo:lo + n - 1 + LENGTH], np.uint8))
-    anchor = lo + int((grams.view(np.int64) == h).argmax())
-    out = []
-    for j in range((anchor - lo - n + 1) // STEP, (anchor - lo) // STEP + 1):
-        first, last = max(lo, anchor - STEP * j - STEP + 1), min(lo + n - 1, anchor - STEP * j)
-        core = data[anchor - STEP * j:anchor - STEP * j - STEP + 1 + LENGTH]
-        route = xxhash.xxh3_64_intdigest(core, seed=j) - (1 << 63)
-        out.append((route, d, first, last - first + 1, data[first:last + LENGTH]))
-    return out
-
-
 def prefix_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """For each place the rank of its ``length``-byte prefix (beyond the end: zero bytes), by prefix doubling from 8 bytes on."""
     n = len(data)
@@ -264,14 +269,32 @@ def later_windows(pieces: list[bytes], d: np.ndarray, lo: np.ndarray, n: np.ndar
 
 
 def _compared(pieces: DataFrame) -> DataFrame:
-    """Runs of windows (d, lo, n) that are later copies, by suffix order within each route."""
+    """Runs of windows (d, lo, n) that are later copies: by suffix order within each route, and single windows by their hash."""
     def runs(rows):
         route, d, lo, n, data = rows
+        size = np.fromiter(map(len, data), np.int64, len(data))
+        if len(short := np.flatnonzero(size <= HASH)):
+            yield singles(d[short], lo[short], n[short], [data[k] for k in short.tolist()])
+        if len(short) < len(data):
+            long = np.flatnonzero(size > HASH)
+            yield suffixes(d[long], lo[long], n[long], [data[k] for k in long.tolist()])
+
+    def batch_of(d, lo, n):
+        return pa.RecordBatch.from_arrays([pa.array(d), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32))], names=["d", "lo", "n"])
+
+    def singles(d, lo, n, data):
+        whole = np.array([not x for x in data])
+        at = np.flatnonzero(~whole)
+        high, low = np.frombuffer(b"".join(data), np.int64).reshape(-1, 2).T
+        order, first = _firsts(high, low, d[at], lo[at])
+        later = np.concatenate([np.flatnonzero(whole), at[order[~first]]])
+        return batch_of(*_joined(d[later], lo[later], n[later]))
+
+    def suffixes(d, lo, n, data):
         found = later_windows(data, d, lo, n)
         which = np.repeat(np.arange(len(data)), n)[found]
         at = (lo[which] + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))[found]).astype(np.int64)
-        e, elo, en = _joined(d[which], at, np.ones(len(at), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(e), pa.array(elo.astype(np.int32)), pa.array(en.astype(np.int32))], names=["d", "lo", "n"])
+        return batch_of(*_joined(d[which], at, np.ones(len(at), np.int64)))
 
     def run(batches):
         kept = None
@@ -282,9 +305,9 @@ def _compared(pieces: DataFrame) -> DataFrame:
             last = int(np.searchsorted(got[0], got[0][-1]))
             kept = [x[last:] for x in got]
             if last:
-                yield runs([x[:last] for x in got])
+                yield from runs([x[:last] for x in got])
         if kept is not None and len(kept[0]):
-            yield runs(kept)
+            yield from runs(kept)
 
     return pieces.repartition("route").sortWithinPartitions("route").mapInArrow(run, "d bigint, lo int, n int")
 
