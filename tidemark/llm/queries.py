@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lines, order, packing, quality, simhash, suffixes, tools, warc
+from . import bpe, fingerprints, interaction, language, lines, middle, order, packing, quality, simhash, suffixes, tools, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,21 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("headers", F.to_json("headers"))
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    model = language.fit(docs.where(~held_out & F.col("lang").isNotNull()).select("text", "lang"))
+    return language.identified(docs.select("doc_id", "text", held_out.alias("held_out")), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.digests(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_tool_call_linking": op9_tool_call_linking,
         "op10_warc_revisits": op10_warc_revisits,
+        "op11_filter_interaction": op11_filter_interaction,
+        "op12_language_id": op12_language_id,
+        "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }
 
@@ -137,8 +155,23 @@ FROM j
 """
 
 
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, CASE WHEN t = '' THEN [] ELSE regexp_extract_all(t, '[^\n]*\n|[^\n]+') END AS u,
+             CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+n AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m, coalesce(array_to_string(u[b + 1:], ''), '') AS s FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(p || m || s) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    own = {"op6_suffix_array_dedup": OP6_SQL, "op9_tool_call_linking": OP9_SQL, "op10_warc_revisits": OP10_SQL}
+    own = {"op6_suffix_array_dedup": OP6_SQL, "op9_tool_call_linking": OP9_SQL, "op10_warc_revisits": OP10_SQL,
+           "op11_filter_interaction": interaction.SQL, "op13_fill_in_middle": OP13_SQL}
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
