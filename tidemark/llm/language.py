@@ -112,7 +112,8 @@ def _bounded(texts: list[str | None]) -> Iterator[tuple[list[str], np.ndarray]]:
 
 @dataclass
 class Model:
-    """The languages, the table (a row of 64-bit words for each place) and the share of set bits of each language's filter."""
+    """The languages, the table (a row of words for each place: one as narrow as the languages need, or several of 64 bits) and the share of
+    set bits of each language's filter."""
 
     languages: list[str]
     table: np.ndarray
@@ -120,10 +121,11 @@ class Model:
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
         """For each n-gram the languages that hold it (or seem to), as words of 64 bits."""
-        rows = self.table[places(hashes, 0, len(self.table))]
+        table = self.table[:, 0] if self.table.shape[1] == 1 else self.table
+        rows = table[places(hashes, 0, len(table))]
         for k in range(1, HASHES):
-            rows &= self.table[places(hashes, k, len(self.table))]
-        return rows
+            rows &= table[places(hashes, k, len(table))]
+        return rows.reshape(len(hashes), -1)
 
     def votes(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text: n-grams found by language, all n-grams, and whether it has a letter."""
@@ -135,9 +137,12 @@ class Model:
             letters[owners[has]] = True
             total += np.bincount(own, minlength=len(texts))
             masks = self.masks(hashes)
+            if masks.dtype == np.uint8:  # few masks: count each, then add up its languages
+                alike = np.bincount(own << 8 | masks[:, 0], minlength=len(texts) << 8).reshape(-1, 256)
+                found += alike @ (np.arange(256)[:, None] >> np.arange(len(self.languages)) & 1)
+                continue
             for k in range(len(self.languages)):
-                bit = masks[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)
-                found[:, k] += np.bincount(own, weights=bit, minlength=len(texts))
+                found[:, k] += np.bincount(own, weights=_bit(masks, k), minlength=len(texts))
         return found, total, letters
 
     def decide(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -151,10 +156,16 @@ class Model:
         return [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), letters.tolist())], np.where(letters, share, 0.0).tolist()
 
 
+def _bit(rows: np.ndarray, k: int) -> np.ndarray:
+    """Whether language k is in each mask."""
+    return rows[:, k // 64] >> rows.dtype.type(k % 64) & rows.dtype.type(1)
+
+
 def places(hashes: np.ndarray, k: int, rows: int) -> np.ndarray:
     """The k-th place of each n-gram in a table of a power of two of rows."""
     with np.errstate(over="ignore"):
-        return ((hashes + np.uint64(k) * (hashes >> np.uint64(32) | np.uint64(1))) & np.uint64(rows - 1)).astype(np.int64)
+        at = hashes if k == 0 else hashes + np.uint64(k) * (hashes >> np.uint64(32) | np.uint64(1))
+        return (at & np.uint64(rows - 1)).view(np.int64)
 
 
 def counts(training: DataFrame, languages: list[str]) -> DataFrame:
@@ -205,7 +216,9 @@ def fit(training: DataFrame) -> Model:
     got = grams_of.mapInArrow(run, "place bigint, word int, bits bigint").groupBy("place", "word").agg(F.bit_or("bits").alias("bits")).toPandas()
     table = np.zeros((rows, words), np.uint64)
     table[got["place"].to_numpy(np.int64), got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
-    filled = np.array([np.mean(table[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)) for k in range(len(languages))])
+    filled = np.array([np.mean(_bit(table, k)) for k in range(len(languages))])
+    if words == 1:
+        table = table.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if len(languages) <= 8 * np.dtype(t).itemsize))
     return Model(languages, table, filled)
 
 
