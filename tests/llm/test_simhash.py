@@ -4,11 +4,13 @@ import re
 import numpy as np
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tests.conftest import SF
 from tidemark.llm import simhash as S
 from tidemark.llm.queries import op1_simhash_near_dedup
 
-from .helpers import ODD, documents
+from .helpers import ODD, documents, prose
 
 
 def plain_fingerprint(text):
@@ -91,5 +93,16 @@ def test_odd_rows(spark):
     stay = S.one_of_each(docs)
     assert stay.columns == docs.columns
     ids = sorted(r.doc_id if r.doc_id is not None else -1 for r in stay.collect())
-    assert ids == [-1, 1, 4, 5, 6]
+    assert ids == [-1, 1, 4, 5, 5, 6]  # both texts of 5 that are alike to no other
     assert S.components(docs.limit(0)).count() == 0 and S.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_decides_by_row(spark):
+    a, c, e = prose(1, 200), prose(2, 200), prose(3, 200)
+    docs = documents(spark, [(5, a), (2, a), (5, c), (5, c), (7, e), (None, e), (None, prose(4, 50)), (None, prose(4, 50)), (9, None), (8, "")], extra=True)
+    docs = docs.withColumn("a.b", F.lit("own a.b")).withColumn("i", F.lit(1)).withColumn("_i", F.lit(1)).withColumn("stays", F.lit(False))
+    stay = S.one_of_each(docs)
+    assert stay.columns == docs.columns
+    rows = stay.collect()
+    assert sorted(((r.doc_id or -1), r.text or "") for r in rows) == sorted([(2, a), (5, c), (7, e), (-1, e), (-1, prose(4, 50)), (-1, prose(4, 50)), (8, "")])
+    assert {r["a.b"] for r in rows} == {"own a.b"}

@@ -13,7 +13,7 @@ continued over its own points and the last parts are compared whole, in blocks.
 representative, never all pairs; components follow from these by ``smallest_reachable``.
 
 Defined cases: null text is empty; rows with null doc_id take part and their component is the smallest doc_id of the rest, or null;
-repeated rows each give a row; an empty table gives no rows; columns other than doc_id and text are not read.
+repeated rows each give a row; a very long text is a slice of its own; an empty table gives no rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -45,12 +45,17 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and ``fp``, the fingerprint as a signed bigint."""
+    """doc_id, ``h`` (a hash of the text, which tells rows of one doc_id apart) and ``fp``, the fingerprint as a signed bigint."""
     def make(part: pa.RecordBatch) -> list:
         found = np.array([fingerprint(t or "", shingle) for t in part.column(1).to_pylist()], np.uint64)
-        return [part.column(0), found.view(np.int64)]
+        return [part.column(0), part.column(2), found.view(np.int64)]
 
-    return by_slices(docs.select("doc_id", "text"), "text", make, "doc_id bigint, fp bigint")
+    own = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", _text_hash().alias("h"))
+    return by_slices(own, "text", make, "doc_id bigint, h bigint, fp bigint")
+
+
+def _text_hash() -> F.Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,14 +202,19 @@ def links(distinct: DataFrame, most: int) -> DataFrame:
     return distinct.select("fp").mapInArrow(route, "shard bigint, fp bigint, home boolean").groupBy("shard").applyInPandas(compare, "a bigint, b bigint")
 
 
-def components(docs: DataFrame, shingle: int = 3, most: int = 2) -> DataFrame:
-    """doc_id, ``fp`` and ``component_id`` (the smallest doc_id reachable) for each row of ``docs``."""
-    prints = staged(fingerprints(docs, shingle), "fingerprints")
-    distinct = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+def _grouped(prints: DataFrame, least: F.Column, most: int) -> DataFrame:
+    """(fp, least) for each fingerprint: the minimum of ``least`` over the rows of its component."""
+    distinct = staged(prints.groupBy("fp").agg(F.min(least).alias("least")), "distinct-fingerprints")
     reach = smallest_reachable(links(distinct.select("fp"), most)).withColumnRenamed("id", "fp")
     joined = staged(distinct.join(reach, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "fingerprint-components")
-    least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = staged(joined.join(least, "component").select("fp", "component_id"), "component-ids")
+    lowest = joined.groupBy("component").agg(F.min("least").alias("least"))
+    return staged(joined.select("fp", "component").join(lowest, "component").select("fp", "least"), "component-ids")
+
+
+def components(docs: DataFrame, shingle: int = 3, most: int = 2) -> DataFrame:
+    """doc_id, ``fp`` and ``component_id`` (the smallest doc_id reachable) for each row of ``docs``."""
+    prints = staged(fingerprints(docs, shingle).select("doc_id", "fp"), "fingerprints")
+    found = _grouped(prints, F.col("doc_id"), most).withColumnRenamed("least", "component_id")
     return prints.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -214,17 +224,23 @@ def hexadecimal(fp: str = "fp") -> F.Column:
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, most: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stay: in each component the one of smallest doc_id (of equal ones, one).
+    """The rows of ``docs`` that stay, with all their columns: of each component the one of smallest doc_id, then hash of the text.
 
-    Rows without a doc_id stay, as nothing names them. The rows to drop are found on ids alone; the documents are read once more and
-    lose them in an anti join on doc_id, which the adaptive join splits. Of rows with one doc_id, the smallest text stays.
+    Rows without a doc_id stay, as nothing names them. The others are named by doc_id and a hash of the text, so each text of a repeated doc_id is decided by
+    its own fingerprint, and of rows equal in both one stays. The rows to drop are found on narrow rows alone; the documents are read once more and lose them in an anti join, which the adaptive join splits.
     """
-    found = components(docs, shingle, most)
-    drop = staged(found.where("doc_id <> component_id").select("doc_id").distinct(), "dropped")
-    repeated = staged(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    rest = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    if repeated.isEmpty():
-        return rest
-    return rest.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
-        rest.join(repeated, "doc_id", "left_semi").select(*docs.columns).groupBy("doc_id").agg(
-            F.min_by(F.struct(*docs.columns), F.struct("text")).alias("row")).select("row.*"))
+    prints = staged(fingerprints(docs, shingle), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("h"))
+    found = prints.join(_grouped(prints, place, most), "fp").select("doc_id", "h", (place == F.col("least")).alias("stays"))
+    found = staged(found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_i"), F.col("h").alias("_h")).agg(F.max("stays").alias("stays"), F.count("*").alias("n")), "decided")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("i"), _text_hash().alias("h"))
+
+    def meets(df: DataFrame, named: DataFrame, how: str) -> DataFrame:
+        return df.join(named.select("_i", "_h"), (F.col("i") == F.col("_i")) & (F.col("h") == F.col("_h")), how)
+
+    rest = meets(rows, found.where("NOT stays"), "left_anti")
+    repeated = staged(found.where("stays AND n > 1"), "repeated")
+    if not repeated.isEmpty():
+        one = meets(rest, repeated, "left_semi").groupBy("i", "h").agg(F.first("row").alias("row"))
+        rest = meets(rest, repeated, "left_anti").select("row").unionByName(one.select("row"))
+    return rest.select("row.*")
