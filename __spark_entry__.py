@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,19 +26,19 @@ from tidemark import (
     RunHistory,
     StateStore,
     SyncSpec,
+    ViewTable,
     checks,
     from_config,
     sync,
     sync_chain,
 )
+from tidemark.functions import marks
 from tidemark.workspace import checkpoint_dir, shared_root
 
-# The training-data operators are a subpackage of their own, which may be absent.
+# The training-data operators are a subpackage of their own: it, or a library that only it needs, may be absent.
 try:
     from tidemark.llm import queries as llm_queries
-except ImportError as missing:
-    if not (missing.name or "").startswith("tidemark.llm"):
-        raise
+except ImportError:
     llm_queries = None
 
 ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -74,6 +75,9 @@ class Run:
     def table(self, name: str, **kw) -> CatalogTable:
         return CatalogTable(f"{self.db}.{name}", root=f"{self.root}/tables/{name}", **kw)
 
+    def view(self, name: str, **kw) -> ViewTable:
+        return ViewTable(f"{self.db}.{name}", root=f"{self.root}/tables/{name}", **kw)
+
     def sync(self, spec: SyncSpec, source, target, **kw):
         return sync(self.spark, spec, source, target, self.state, self.history, **kw)
 
@@ -519,6 +523,111 @@ def q_save_modes_ignore_error(spark, sf_dir):
     return target.read(spark)
 
 
+# --- tables behind a view ----------------------------------------------------------------
+
+def q_merge_touched_files(spark, sf_dir):
+    """Composite-key merge into a view clustered by key: the second delta holds a hundredth of the key range, and
+    only the files of that range are rewritten."""
+    r = Run(spark, sf_dir)
+    target = r.view("lineitem", cluster_by=("l_orderkey",))
+    r.sync(SyncSpec("li_seed", write_mode="merge", merge_keys=LI_KEYS, duplicate_keys="latest",
+                    watermark_columns=["l_shipdate"], transforms=(upto("l_shipdate", "1999-01-01"),)),
+           r.parquet("lineitem"), target)
+    r.sync(SyncSpec("li_merge", mode="incremental", write_mode="merge", merge_keys=LI_KEYS, duplicate_keys="latest",
+                    watermark_columns=["l_shipdate"], initial_mark="1998-01-01"),
+           r.query(LINEITEM_PLUS, "lineitem"), target)
+    few = r.query(LINEITEM_PLUS + " WHERE l_orderkey <= (SELECT max(l_orderkey) FROM {lineitem}) / 100", "lineitem_few")
+    r.sync(SyncSpec("li_few", write_mode="merge", merge_keys=LI_KEYS, duplicate_keys="latest", watermark_columns=["l_shipdate"]), few, target)
+    return target.read(spark)
+
+
+def q_publish_view_partitions(spark, sf_dir):
+    """A partitioned table of a partition for each day: refreshed whole, and again with other columns; each publish is one catalog call."""
+    r = Run(spark, sf_dir)
+    target = r.view("events_by_day", partition_by=("day",))
+    by_day = "SELECT event_id, user_id, value, CAST(CAST(ts AS DATE) AS STRING) AS day FROM {events}"
+    r.sync(SyncSpec("days", write_mode="overwrite"), r.query(by_day + " WHERE ts < TIMESTAMP '2024-01-16'", "days"), target)
+    r.sync(SyncSpec("days_more", write_mode="overwrite"), r.query(by_day.replace("value,", "value, event_type,"), "days_more"), target)
+    return target.read(spark)
+
+
+# --- runs that meet ----------------------------------------------------------------------
+
+class _Interrupted(QuerySource):
+    """A source during whose read something else happens, once."""
+
+    def meanwhile(self, action) -> "_Interrupted":
+        object.__setattr__(self, "_action", action)
+        return self
+
+    def read(self, spark, predicate=None):
+        if predicate is not None and (action := getattr(self, "_action", None)):
+            object.__setattr__(self, "_action", None)
+            action()
+        return super().read(spark, predicate)
+
+
+def q_state_two_writers(spark, sf_dir):
+    """Two runs of one pipeline at once: the one that read less comes second. It fails and publishes nothing, and the mark stays."""
+    r = Run(spark, sf_dir)
+    target, text = r.table("events"), "SELECT * FROM {events}"
+    spec = SyncSpec("events_twice", mode="incremental", write_mode="merge", merge_keys=["event_id"], watermark_columns=["ts"])
+    early = r.query(text + " WHERE ts < TIMESTAMP '2024-01-16'", "events")
+    slow = _Interrupted(early.sql.replace("SELECT *", "SELECT event_id, ts, user_id, event_type, -1D AS value, props"), early.name, early.connection)
+    try:
+        r.sync(spec, slow.meanwhile(lambda: r.sync(spec, r.query(text, "events"), target)), target)
+    except RuntimeError:
+        pass
+    state, rows = r.state.current("events_twice"), target.read(spark)
+    return _figures(rows=rows.agg(F.count("*")), of_the_late_run=rows.where("value = -1").agg(F.count("*")),
+                    failed_runs=r.history.runs("events_twice").where("status = 'FAILED'").agg(F.count("*")),
+                    revision=state.select("revision"), records=state.select("last_record_count"),
+                    mark=state.select(F.unix_micros(F.col("watermark_value_timestamp_ntz").cast("timestamp"))))
+
+
+def _figures(**one: DataFrame) -> DataFrame:
+    """(what, n) of tables of one row and column each."""
+    return reduce(DataFrame.unionByName, [df.select(F.lit(what).alias("what"), F.col(f"`{df.columns[0]}`").cast("bigint").alias("n")) for what, df in one.items()])
+
+
+def q_chain_one_cut(spark, sf_dir):
+    """Orders, then their lines, while new orders and lines arrive between the two steps: with one cut no line is copied before its order.
+    The second run of the chain copies the rest."""
+    r = Run(spark, sf_dir)
+    orders, lines = r.table("orders"), r.table("lines")
+    mark = "(SELECT percentile(unix_micros(CAST(o_orderdate AS TIMESTAMP)), 0.5) FROM {orders})"
+    header = "SELECT o_orderkey, o_custkey, o_orderdate AS created FROM {orders}"
+    detail = "SELECT l_orderkey, l_linenumber, l_quantity, o_orderdate AS created FROM {lineitem} JOIN {orders} ON o_orderkey = l_orderkey"
+    early = f" WHERE unix_micros(CAST(o_orderdate AS TIMESTAMP)) <= {mark}"
+    specs = [SyncSpec("chain_orders", mode="incremental", write_mode="append", watermark_columns=["created"]),
+             SyncSpec("chain_lines", mode="incremental", write_mode="append", watermark_columns=["created"])]
+    first = r.query(detail + early, "lines")
+    # by the time the lines are read, all of them are there
+    cut_short = [(specs[0], r.query(header + early, "orders"), orders), (specs[1], _Late(r.query(detail, "lines").sql, "lines", "testdata").at_first(first), lines)]
+    sync_chain(spark, cut_short, r.state, r.history, cut="latest")
+    found = lines.read(spark)
+    orphans = found.join(orders.read(spark), F.col("l_orderkey") == F.col("o_orderkey"), "left_anti").count()
+    first_run = found.count()
+    sync_chain(spark, [(specs[0], r.query(header, "orders"), orders), (specs[1], r.query(detail, "lines"), lines)], r.state, r.history, cut="latest")
+    found = lines.read(spark)
+    return _figures(orphans=found.agg(F.lit(orphans)), first_run=found.agg(F.lit(first_run)), lines=found.agg(F.count("*")),
+                    quantity=found.agg(F.sum("l_quantity")), orders=orders.read(spark).agg(F.count("*")))
+
+
+class _Late(QuerySource):
+    """A source that holds less when it is first asked (for the chain's cut) than when it is read."""
+
+    def at_first(self, less: QuerySource) -> "_Late":
+        object.__setattr__(self, "_less", less)
+        return self
+
+    def read(self, spark, predicate=None):
+        less, window = getattr(self, "_less", None), marks.window_of(predicate)
+        if less is not None and window is not None and window.upto is None:
+            return less.read(spark, predicate)
+        return super().read(spark, predicate)
+
+
 # --- JDBC (Derby, in-process) ------------------------------------------------------------
 
 DERBY_TYPES = "o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32)"
@@ -567,6 +676,32 @@ def q_jdbc_partitioned_read(spark, sf_dir):
     return target.read(spark)
 
 
+def q_jdbc_equal_depth_read(spark, sf_dir):
+    """A JDBC read split by a key with nine tenths of its rows in a small part of its range: each of 8 partitions holds twice the mean at most."""
+    r = Run(spark, sf_dir)
+    jt = derby(r, "APP.SKEWED", column_types=None)
+    skewed = r.query("SELECT CASE WHEN l_orderkey % 10 < 9 THEN l_orderkey ELSE l_orderkey * 1000 END AS k, l_quantity FROM {lineitem}", "skewed")
+    r.sync(SyncSpec("export_skewed", write_mode="overwrite"), skewed, jt)
+    rows = derby(r, "APP.SKEWED", column_types=None, partition_column="k", num_partitions=8, split="depth").read(spark)
+    parts = rows.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"), F.sum("k").alias("k"), F.sum("l_quantity").alias("q"))
+    return parts.agg(F.sum("n").alias("n_rows"), F.sum("k").alias("sum_key"), F.sum("q").alias("sum_quantity"), F.count("*").alias("n_partitions"),
+                     (F.max("n") <= 2 * F.avg("n")).alias("balanced"))
+
+
+def q_jdbc_other_schema(spark, sf_dir):
+    """A table of the same name in another schema is no target: 'ignore' writes the missing table, and leaves the other one alone."""
+    r = Run(spark, sf_dir)
+    other, own = derby(r, "OTHER.ORDERS"), derby(r, "ORDERS")
+    conn = own._connect(spark)
+    conn.createStatement().executeUpdate("CREATE SCHEMA OTHER")
+    conn.close()
+    r.sync(SyncSpec("other", write_mode="overwrite", transforms=(upto("o_orderdate", "1997-01-01"),)), r.parquet("orders"), other)
+    for _ in range(2):  # the second time it is there
+        r.sync(SyncSpec("own", write_mode="ignore"), r.query(CHANGED_ORDERS, "orders"), own)
+    total = lambda t, name: t.read(spark).agg(F.lit(name).alias("table"), F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return total(own, "own").unionByName(total(other, "other"))
+
+
 def q_jdbc_query_scan(spark, sf_dir):
     """A JDBC query source, partitioned as an aliased subquery and filtered by the mark."""
     r = Run(spark, sf_dir)
@@ -911,6 +1046,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preflight_checks": q_preflight_checks,
         "schema_diff": q_schema_diff,
         "stale_marks": q_stale_marks,
+        "merge_touched_files": q_merge_touched_files,
+        "publish_view_partitions": q_publish_view_partitions,
+        "state_two_writers": q_state_two_writers,
+        "chain_one_cut": q_chain_one_cut,
+        "jdbc_equal_depth_read": q_jdbc_equal_depth_read,
+        "jdbc_other_schema": q_jdbc_other_schema,
     }
 
 
@@ -934,6 +1075,7 @@ def merge_sql(t: str, s: str, on: str) -> str:
             f"UNION ALL SELECT * FROM s")
 
 
+DAY_1998, DAY_1999 = "TIMESTAMP '1998-01-01'", "TIMESTAMP '1999-01-01'"
 EVENTS_COLS = "event_id, ts, user_id, event_type, value, props"
 
 
@@ -1086,4 +1228,24 @@ def _own_oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'o_status', 'string', NULL, 'only_in_source', 0 "
             "UNION ALL SELECT 'o_orderstatus', NULL, 'string', 'only_in_target', 0"),
         "stale_marks": STALE_MARKS_SQL,
+        "merge_touched_files": (
+            f"WITH two AS ({merge_sql(li_latest(f'SELECT {LI_COLS} FROM lineitem WHERE l_shipdate <= ' + DAY_1999), li_latest(f'{LI_PLUS_SQL} WHERE l_shipdate > ' + DAY_1998), li_on)}), "
+            f"few AS ({li_latest(f'{LI_PLUS_SQL} WHERE l_orderkey <= (SELECT max(l_orderkey) FROM lineitem) / 100')}) "
+            "SELECT * FROM two t WHERE NOT EXISTS (SELECT 1 FROM few s WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber) "
+            "UNION ALL SELECT * FROM few"),
+        "publish_view_partitions": "SELECT event_id, user_id, value, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events",
+        "state_two_writers": (
+            "SELECT 'rows' AS what, count(*) AS n FROM events UNION ALL SELECT 'of_the_late_run', 0 UNION ALL SELECT 'failed_runs', 1 "
+            "UNION ALL SELECT 'revision', 1 UNION ALL SELECT 'records', count(*) FROM events UNION ALL SELECT 'mark', epoch_us(max(ts)) FROM events"),
+        "chain_one_cut": (
+            "WITH m AS (SELECT quantile_cont(epoch_us(o_orderdate), 0.5) AS m FROM orders), "
+            "d AS (SELECT l_quantity, epoch_us(o_orderdate) <= (SELECT m FROM m) AS early FROM lineitem JOIN orders ON o_orderkey = l_orderkey) "
+            "SELECT 'orphans' AS what, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'first_run', count(*) FILTER (early) FROM d UNION ALL SELECT 'lines', count(*) FROM d "
+            "UNION ALL SELECT 'quantity', CAST(sum(l_quantity) AS BIGINT) FROM d UNION ALL SELECT 'orders', count(*) FROM orders"),
+        "jdbc_equal_depth_read": (
+            "SELECT count(*) AS n_rows, CAST(sum(CASE WHEN l_orderkey % 10 < 9 THEN l_orderkey ELSE l_orderkey * 1000 END) AS BIGINT) AS sum_key, "
+            "sum(l_quantity) AS sum_quantity, 8 AS n_partitions, true AS balanced FROM lineitem"),
+        "jdbc_other_schema": (
+            "SELECT 'own' AS \"table\", count(*) AS n, round(sum(o_totalprice + 1), 2) AS total FROM orders "
+            "UNION ALL SELECT 'other', count(*), round(sum(o_totalprice), 2) FROM orders WHERE o_orderdate <= TIMESTAMP '1997-01-01'"),
     }

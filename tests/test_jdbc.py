@@ -1,6 +1,8 @@
 """JDBC on Derby, in-process (no server, no port). Oracle and SQL Server cannot be contacted
 here: their specifics are covered at the option level."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType
@@ -176,3 +178,90 @@ def test_append_into_jdbc_is_replayed_once(spark, run, derby_url):
         sync(spark, spec, run.parquet("orders"), jt, Dying(spark, path=run.state.path), run.history)
     assert run.sync(spec, run.parquet("orders"), jt).status == "RECOVERED"
     assert jt.read(spark).count() == run.parquet("orders").read(spark).count()
+
+
+# --- existence ---------------------------------------------------------------------------
+
+def test_a_table_of_another_schema_is_not_the_target(spark, run, derby_url):
+    own = JdbcTable(derby_url, table="T1", options=NTZ)
+    conn = own._connect(spark)
+    for statement in ("CREATE SCHEMA OTHER", "CREATE TABLE OTHER.T1 (K INT)", "CREATE TABLE OTHER.T_1 (K INT)", "CREATE TABLE OTHER.\"Tx1\" (K INT)"):
+        conn.createStatement().executeUpdate(statement)
+    assert not own.exists(spark) and not JdbcTable(derby_url, table="APP.T1").exists(spark)
+    assert JdbcTable(derby_url, table="OTHER.T1").exists(spark) and JdbcTable(derby_url, table="other.t1").exists(spark)
+    assert JdbcTable(derby_url, table='OTHER."Tx1"').exists(spark) and not JdbcTable(derby_url, table="OTHER.Tx1").exists(spark)
+    assert JdbcTable(derby_url, table="OTHER.T_1").exists(spark) and not JdbcTable(derby_url, table="O_HER.T1").exists(spark)
+    run.sync(SyncSpec("own", write_mode="ignore"), run.query("SELECT o_orderkey AS k FROM {orders}", "t1"), own)
+    assert own.exists(spark) and own.read(spark).count() == 1500 and JdbcTable(derby_url, table="OTHER.T1").read(spark).count() == 0
+    conn.createStatement().executeUpdate("CREATE VIEW V1 AS SELECT * FROM OTHER.T1")
+    conn.close()
+    assert JdbcTable(derby_url, table="V1").exists(spark)
+
+
+def test_a_note_of_any_length(spark, run, derby_url):
+    """A text mark longer than any fixed width of the commit note."""
+    jt = JdbcTable(derby_url, table="APP.LONGMARK", column_types="name VARCHAR(9000)")
+    batch = spark.createDataFrame([("x" * 5000,)], "name string")
+    jt.publish_append(spark, batch, None, "v", "b1", "n" * 9000 + "'")
+    assert jt.committed(spark, "b1") == "n" * 9000 + "'" and jt.read(spark).count() == 1
+
+
+# --- partitions of equal depth -----------------------------------------------------------
+
+@pytest.fixture()
+def skewed(spark, derby_url):
+    """Nine tenths of the keys in a thousandth of the range, some missing, one very frequent value at the end."""
+    k = F.when(F.col("id") % 10 < 9, F.col("id")).otherwise(F.col("id") * 1000)
+    rows = spark.range(6000).select(k.alias("k"), (k / 4).cast("decimal(12,2)").alias("c"), F.expr("date'2020-01-01' + CAST(id % 3000 AS INT)").alias("d"),
+                                    F.expr("timestamp_ntz'2020-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id)").alias("t"))
+    rows = rows.unionByName(spark.range(7).select(F.lit(None).cast("bigint").alias("k"), F.lit(None).cast("decimal(12,2)").alias("c"),
+                                                  F.lit(None).cast("date").alias("d"), F.lit(None).cast("timestamp_ntz").alias("t")))
+    JdbcTable(derby_url, table="APP.SKEWED", options=NTZ)._writer(rows, "overwrite").save()
+    return rows
+
+
+def sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("column", ["k", "c", "d", "t"])
+def test_partitions_of_equal_depth(spark, skewed, derby_url, column):
+    t = JdbcTable(derby_url, table="APP.SKEWED", options=NTZ, partition_column=column, num_partitions=8, split="depth")
+    df = t.read(spark)
+    assert df.rdd.getNumPartitions() == 8 and df.exceptAll(skewed).isEmpty() and df.count() == skewed.count()
+    assert max(sizes(df)) <= 2 * skewed.count() / 8
+    if column == "k":
+        wide = JdbcTable(derby_url, table="APP.SKEWED", options=NTZ, partition_column="k", num_partitions=8)
+        assert max(sizes(wide.read(spark))) > 0.8 * skewed.count()
+
+
+def test_depth_under_a_mark_and_on_odd_tables(spark, skewed, derby_url):
+    t = JdbcTable(derby_url, table="APP.SKEWED", options=NTZ, partition_column="k", num_partitions=4, split="depth")
+    dtype = t.schema(spark)["t"].dataType
+    pred = M.after(["t"], M.coerce("2020-01-01 01:00:00", dtype), dtype)
+    got = t.read(spark, pred)
+    want = skewed.where(pred)
+    assert got.count() == want.count() and max(sizes(got)) <= 2 * want.count() / 4
+    upto = M.not_beyond(pred, M.coerce("2020-01-01 01:20:00", dtype), dtype)
+    assert t.read(spark, upto).count() == skewed.where(upto).count() < want.count() and t.depth_predicates(spark, upto) != t.depth_predicates(spark, pred)
+    assert t.read(spark, M.after(["t"], M.coerce("2030-01-01", dtype), dtype)).count() == 0
+    JdbcTable(derby_url, table="APP.ONE", options=NTZ)._writer(spark.range(500).select(F.lit(7).cast("bigint").alias("k")), "overwrite").save()
+    one = JdbcTable(derby_url, table="APP.ONE", options=NTZ, partition_column="k", num_partitions=4, split="depth")
+    assert one.read(spark).count() == 500  # one value can't be parted
+    with pytest.raises(ValueError):
+        JdbcTable(derby_url, table="APP.ONE", split="other")
+
+
+# --- what the dialects write -------------------------------------------------------------
+
+@pytest.mark.parametrize("url, want", [("jdbc:sqlserver://h;databaseName=d", "'2024-01-02 03:04:05.678901'"), ("jdbc:oracle:thin:@//h/s", "{ts '2024-01-02 03:04:05.678901'}")])
+def test_literals_of_other_databases(spark, url, want):
+    """A timestamp mark as SQL Server and Oracle read it: rendered by Spark's dialects, without a connection."""
+    mark = M.Mark("timestamp_ntz", dt.datetime(2024, 1, 2, 3, 4, 5, 678901))
+    got = JdbcTable(url, table="T")._literal(spark, mark)
+    assert got == want
+    assert JdbcTable(url, table="T")._literal(spark, M.Mark("date", dt.date(2024, 1, 2))).count("2024-01-02") == 1
+    assert JdbcTable(url, table="T")._literal(spark, M.Mark("bigint", -5)) == "-5"
+    assert JdbcTable(url, table="T")._literal(spark, M.Mark("string", "it's")) == "'it''s'"
+    assert JdbcTable("jdbc:oracle:thin:@//h/s", table="T")._base_options()["oracle.jdbc.timezoneAsRegion"] == "false"
+    assert "oracle.jdbc.timezoneAsRegion" not in JdbcTable("jdbc:sqlserver://h", table="T")._base_options()

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import Mark, StateStore
-from tidemark.plans.state import STATE_SCHEMA
+from tidemark.functions import marks as M
+from tidemark.plans.state import STATE_SCHEMA, StateConflict
 
 
 @pytest.fixture()
@@ -122,3 +123,75 @@ def test_run_history_is_compacted_without_losing_runs(spark, local_dir):
     assert len(data_files(spark, f"{history.path}/pipeline_id=p")) == 1
     assert history.runs("p").count() == 5
     assert history.runs("p").agg(F.sum("records_synced")).first()[0] == 10
+
+
+# --- two runs of one pipeline ------------------------------------------------------------
+
+KEY = ("c", "s", "t")
+
+
+def marked(n):
+    return M.Mark("bigint", n)
+
+
+def test_a_revision_is_taken_once(spark, run):
+    """Both read revision 0; the mark of the first one stays, the second one fails."""
+    one, two = StateStore(spark, path=f"{run.root}/cas"), StateStore(spark, path=f"{run.root}/cas")
+    (_, a), (_, b) = one.lookup("p", KEY), two.lookup("p", KEY)
+    one.put("p", KEY, "x", marked(20), 1, revision=a)
+    with pytest.raises(StateConflict):
+        two.check("p", KEY, b)
+    with pytest.raises(StateConflict):
+        two.put("p", KEY, "x", marked(10), 1, revision=b)
+    assert one.lookup("p", KEY) == (marked(20), 1)
+    one.put("p", KEY, "x", marked(30), 1, revision=1)
+    assert two.get("p", KEY) == marked(30) and two.log("p").count() == 2
+    one.check("q", KEY, 0)  # another pipeline
+
+
+def test_a_claim_without_its_row_is_finished(spark, run, monkeypatch):
+    """The run dies between its claim and its row: the next lookup writes it."""
+    store = StateStore(spark, path=f"{run.root}/torn")
+    for mark in (marked(5), M.Mark("timestamp", 1_700_000_000_000_001), M.Mark("decimal", Decimal("7.50"))):
+        revision = store.lookup("p", KEY)[1]
+        with monkeypatch.context() as m:
+            m.setattr(StateStore, "_append", lambda *a: (_ for _ in ()).throw(InterruptedError()))
+            with pytest.raises(InterruptedError):
+                store.put("p", KEY, "x", mark, 3, "batch", revision)
+        assert store.lookup("p", KEY) == (mark, revision + 1)
+        assert store.lookup("p", KEY) == (mark, revision + 1) and store.get("p", KEY) == mark
+    assert [r["last_record_count"] for r in store.current("p").collect()] == [3] and store.log("p").count() == 3
+
+
+def test_a_half_written_claim(spark, run, monkeypatch):
+    import tidemark.plans.state as S
+    from tidemark.workspace import Files
+
+    store = StateStore(spark, path=f"{run.root}/half")
+    store.put("p", KEY, "x", marked(1), 1)
+    Files(spark).write(store._claim("p", KEY, 2), '{"kind": "big')
+    with pytest.raises(StateConflict):
+        store.lookup("p", KEY)  # it may be being written
+    monkeypatch.setattr(S, "BROKEN_CLAIM_SECONDS", -1)
+    assert store.lookup("p", KEY) == (marked(1), 1)
+    store.put("p", KEY, "x", marked(2), 1)
+    assert store.get("p", KEY) == marked(2)
+
+
+def test_many_runs_at_once(spark, run):
+    """Threads that read one revision: one of them moves the mark."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{run.root}/threads"
+    revision = StateStore(spark, path=path).lookup("p", KEY)[1]
+
+    def one(n):
+        try:
+            StateStore(spark, path=path).put("p", KEY, "x", marked(n), 1, revision=revision)
+            return n
+        except StateConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [n for n in pool.map(one, range(1, 9)) if n]
+    assert len(won) == 1 and StateStore(spark, path=path).lookup("p", KEY) == (marked(won[0]), 1)

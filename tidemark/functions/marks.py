@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Context, Decimal, InvalidOperation
 from functools import reduce
 from typing import Any, Iterable, Sequence
@@ -222,11 +222,13 @@ def literal(mark: Mark, dtype: DataType) -> Column:
 
 @dataclass(frozen=True)
 class Window:
-    """What a mark predicate says, for stores that ask their database in its own words. Without a mark: any column is not NULL."""
+    """What a mark predicate says, for stores that ask their database in its own words. Without a mark: any column is not NULL.
+    With ``upto``, no column is beyond it."""
 
     columns: tuple[str, ...]
     mark: Mark | None
     inclusive: bool = False
+    upto: Mark | None = None
 
 
 def _known(predicate: Column, window: Window) -> Column:
@@ -256,6 +258,13 @@ def any_not_null(columns: Iterable[str]) -> Column:
     return _known(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in columns]), Window(columns, None))
 
 
+def not_beyond(predicate: Column, cut: Mark, dtype: DataType) -> Column:
+    """A predicate made by :func:`after` or :func:`any_not_null` with an upper end: rows whose ``greatest`` mark is at most ``cut``."""
+    window, bound = window_of(predicate), literal(cut, dtype)
+    tests = [(F.col(c) <= bound) | F.col(c).isNull() if len(window.columns) > 1 else F.col(c) <= bound for c in window.columns]
+    return _known(reduce(lambda a, b: a & b, tests, predicate), replace(window, upto=cut))
+
+
 def batch_max(columns: Sequence[str], dtype: DataType) -> Column:
     """Aggregate for the new mark, ``max(greatest(...))``, in a form Python reads exactly.
 

@@ -3,13 +3,21 @@
 Stored as an append-only Parquet log partitioned by ``pipeline_id``: an update appends one
 row whose ``revision`` is one more than the key's last; the current state is the newest per key. Appends
 from concurrently running pipelines never conflict, a failed run leaves nothing half-written,
-and a lookup reads one partition. Column names follow the original ``_watermarks`` layout
+and a lookup reads one partition.
+
+Of two runs of one pipeline at once only one moves the mark: a revision is claimed by a file named by it, made only if absent, which holds
+the row. The other run gets a :class:`StateConflict`. A run that dies between its claim and its row loses nothing: the next lookup finds the claim
+and writes the row. (The claim is atomic on stores whose create is: HDFS, ABFS, GCS, S3 with conditional writes.)
+ Column names follow the original ``_watermarks`` layout
 (so old state can be migrated), with value columns added for ``timestamp_ntz`` and ``date`` marks and for
 ``decimal`` marks, which are kept as text with every digit of the column's own scale.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
 from decimal import Decimal
 from typing import Sequence
 
@@ -26,8 +34,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from ..functions.marks import Mark
-from ..workspace import shared_root
+from ..functions.marks import Mark, from_text
+from ..workspace import Files, shared_root
 
 KEY_COLUMNS = ("pipeline_id", "source_connection", "source_schema", "source_table")
 
@@ -66,6 +74,14 @@ VALUE_COLUMN = {
 LEGACY_COLUMNS = ("databaseName", "tableName", "wmType", "timestampWm", "bigIntWm", "intWm", "stringWm")
 
 
+# Fixed value: a claim that can't be read and is older than this many seconds belongs to a run that died while it wrote it.
+BROKEN_CLAIM_SECONDS = 60
+
+
+class StateConflict(RuntimeError):
+    """Another run of the pipeline has moved the mark since this one read it."""
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -182,39 +198,84 @@ class StateStore:
 
     def lookup(self, pipeline_id: str, identity) -> tuple[Mark | None, int]:
         """The stored mark, typed by its tag (``None`` when the key has no mark yet), and the key's revision
-        (0 when it has no row), to be handed to :meth:`put`."""
+        (0 when it has no row), to be handed to :meth:`put`. Finishes an update that was claimed and never written."""
         row = self._row(pipeline_id, identity)
+        revision = (row["revision"] or 0) if row else 0
+        while (claimed := self._claimed(pipeline_id, identity, revision + 1)) is not None:
+            self._append(pipeline_id, identity, revision + 1, claimed)
+            revision += 1
+            row = {"watermark_type": claimed["kind"], "claim": claimed}
         if row is None:
             return None, 0
-        kind, revision = row["watermark_type"], row["revision"] or 0
+        if "claim" in row:
+            return (from_text(row["claim"]["kind"], row["claim"]["mark"]) if row["claim"]["kind"] else None), revision
+        kind = row["watermark_type"]
         value = row[VALUE_COLUMN[kind]] if kind is not None else None
         if value is None:
             return None, revision
         return Mark(kind, Decimal(value) if kind == "decimal" else value), revision
 
+    def _claim(self, pipeline_id: str, identity, revision: int) -> str:
+        key = hashlib.sha256(json.dumps([pipeline_id, *identity]).encode()).hexdigest()
+        return f"{self.path}/_claims/{key}/{revision:012d}"
+
+    def _claimed(self, pipeline_id: str, identity, revision: int) -> dict | None:
+        """What a claim of this revision holds, ``None`` without one."""
+        files, path = Files(self.spark), self._claim(pipeline_id, identity, revision)
+        text = files.read(path)
+        if text is None:
+            return None
+        try:
+            return json.loads(text)
+        except ValueError:
+            if time.time() - files.modified_ms(path) / 1000 < BROKEN_CLAIM_SECONDS:
+                raise StateConflict(f"another run of {pipeline_id} is writing revision {revision}") from None
+            files.delete(path)
+            return None
+
+    def check(self, pipeline_id: str, identity, revision: int) -> None:
+        """Fail if the key has moved on from the revision that the run read."""
+        if Files(self.spark).exists(self._claim(pipeline_id, identity, revision + 1)):
+            raise StateConflict(f"another run of {pipeline_id} has moved the mark beyond revision {revision}")
+
     def get(self, pipeline_id: str, identity) -> Mark | None:
         """The stored mark; ``None`` when the key has no mark yet."""
         return self.lookup(pipeline_id, identity)[0]
 
     def put(self, pipeline_id: str, identity, column: str, mark: Mark | None, record_count: int,
             batch_id: str = "", revision: int | None = None) -> None:
-        """Append the new state row (typed columns, explicit schema).
+        """Claim the next revision and append the new state row (typed columns, explicit schema).
 
-        Its revision is one more than ``revision``, the key's revision as the run read it (looked up here when
-        not given): the order of updates does not depend on any clock."""
+        The revision is one more than ``revision``, the key's revision as the run read it (looked up here when
+        not given): the order of updates does not depend on any clock. :class:`StateConflict` if another run has it."""
         if revision is None:
             revision = self.lookup(pipeline_id, identity)[1]
+        now = self.spark.sql("SELECT unix_micros(current_timestamp()) AS t").first()["t"]
+        row = {"kind": mark.kind if mark else None, "mark": mark.exact_text() if mark else None, "column": column, "rows": int(record_count),
+               "batch_id": batch_id, "updated": now}
+        files, path = Files(self.spark), self._claim(pipeline_id, identity, revision + 1)
+        try:
+            files.write(path, json.dumps(row), overwrite=False)
+        except Exception:
+            if files.exists(path):
+                raise StateConflict(f"another run of {pipeline_id} has moved the mark beyond revision {revision}") from None
+            raise
+        self._append(pipeline_id, identity, revision + 1, row)
+
+    def _append(self, pipeline_id: str, identity, revision: int, claimed: dict) -> None:
+        """The row of a claimed revision. Written twice it is the same row, and read once."""
         conn, schema, table = identity
+        mark = from_text(claimed["kind"], claimed["mark"]) if claimed["kind"] else None
         values = {
             "source_connection": F.lit(conn),
             "source_schema": F.lit(schema),
             "source_table": F.lit(table),
-            "watermark_column": F.lit(column),
-            "watermark_type": F.lit(mark.kind if mark else None).cast("string"),
-            "last_updated": F.current_timestamp(),
-            "last_record_count": F.lit(int(record_count)).cast("bigint"),
-            "revision": F.lit(revision + 1).cast("bigint"),
-            "batch_id": F.lit(batch_id),
+            "watermark_column": F.lit(claimed["column"]),
+            "watermark_type": F.lit(claimed["kind"]).cast("string"),
+            "last_updated": F.timestamp_micros(F.lit(claimed["updated"])),
+            "last_record_count": F.lit(claimed["rows"]).cast("bigint"),
+            "revision": F.lit(revision).cast("bigint"),
+            "batch_id": F.lit(claimed["batch_id"]),
             "pipeline_id": F.lit(pipeline_id),
         }
         for col in VALUE_COLUMN.values():

@@ -17,7 +17,7 @@ import json
 import time
 import uuid
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Any, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,14 +55,16 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc)
 
 
-def incremental_predicate(spec: SyncSpec, mark: M.Mark | None, dtype):
-    """``c1 > m OR …`` from the stored mark; without a mark, rows with any non-NULL mark column."""
+def incremental_predicate(spec: SyncSpec, mark: M.Mark | None, dtype, cut: M.Mark | None = None):
+    """``c1 > m OR …`` from the stored mark; without a mark, rows with any non-NULL mark column. With ``cut``, rows beyond it are left out."""
     if spec.mode != "incremental":
         return None
     if mark is None:
-        return M.any_not_null(spec.watermark_columns)
-    lower = M.shift_back(mark, spec.lookback)
-    return M.after(spec.watermark_columns, lower, dtype, inclusive=spec.boundary == "closed")
+        predicate = M.any_not_null(spec.watermark_columns)
+    else:
+        lower = M.shift_back(mark, spec.lookback)
+        predicate = M.after(spec.watermark_columns, lower, dtype, inclusive=spec.boundary == "closed")
+    return predicate if cut is None else M.not_beyond(predicate, cut, dtype)
 
 
 def sync(
@@ -72,15 +74,17 @@ def sync(
     target: Store,
     state: StateStore | None = None,
     history: RunHistory | None = None,
+    cut: Any = None,
 ) -> SyncResult:
-    """Run one pipeline; a failure is recorded in the run history (``FAILED``) and re-raised."""
+    """Run one pipeline; a failure is recorded in the run history (``FAILED``) and re-raised. ``cut`` (a mark, or a value or text of one): rows
+    beyond it are left to a later run, as if they had not arrived yet (incremental mode)."""
     state = state or StateStore(spark)
     history = history or RunHistory(spark)
     started = _now()
     clock = time.monotonic()
     run_id = uuid.uuid4().hex[:16]
     try:
-        return _run(spark, spec, source, target, state, history, started, clock, run_id)
+        return _run(spark, spec, source, target, state, history, started, clock, run_id, cut)
     except Exception as exc:
         try:
             _finish(history, spec, run_id, "", "", "FAILED", 0, None, None, started, clock,
@@ -90,7 +94,7 @@ def sync(
         raise
 
 
-def _run(spark, spec, source, target, state, history, started, clock, run_id) -> SyncResult:
+def _run(spark, spec, source, target, state, history, started, clock, run_id, cut=None) -> SyncResult:
     identity = source.identity()
 
     if spec.write_mode in ("ignore", "error") and target.exists(spark):
@@ -109,7 +113,9 @@ def _run(spark, spec, source, target, state, history, started, clock, run_id) ->
         if old is None and spec.initial_mark is not None:
             old = M.coerce(spec.initial_mark, dtype, spark.conf.get("spark.sql.session.timeZone"))
     batch_id = batch_id_for(spec, identity, old, target.identity())
-    predicate = incremental_predicate(spec, old, dtype)
+    if cut is not None and dtype is not None and not isinstance(cut, M.Mark):
+        cut = M.coerce(cut, dtype, spark.conf.get("spark.sql.session.timeZone"))
+    predicate = incremental_predicate(spec, old, dtype, cut)
 
     appends = spec.mode == "incremental" and spec.write_mode == "append"
     if appends and (note := target.committed(spark, batch_id)) is not None:
@@ -150,6 +156,8 @@ def _publish(spark, spec, source, target, state, history, identity, old, revisio
                        started, clock, "no new records")
 
     frame = staged.frame(spark)
+    if spec.mode == "incremental":
+        state.check(spec.pipeline_id, identity, revision)  # a run that is too late publishes nothing
     if spec.write_mode in ("overwrite", "ignore", "error"):
         target.publish_overwrite(spark, frame, staged_path, version)
     elif spec.write_mode == "append":
@@ -180,7 +188,32 @@ def _finish(history, spec, run_id, batch_id, version, status, rows, before, afte
     return SyncResult(spec.pipeline_id, status, rows, duration, batch_id, before, after, message, version)
 
 
+def chain_cut(spark: SparkSession, steps: Sequence[tuple[SyncSpec, Store, Store]]) -> M.Mark | None:
+    """One upper end for all incremental steps of a chain: the largest mark in any of their sources now. The last step's source is asked
+    first: what a detail refers to was there before it, so a header of any detail up to the cut is there when the headers are read.
+    Sources that an earlier step of the chain writes are not asked."""
+    cut, written = None, [target.identity() for _, _, target in steps]
+    for k in range(len(steps) - 1, -1, -1):
+        spec, source, _ = steps[k]
+        if spec.mode != "incremental" or source.identity() in written[:k]:
+            continue
+        dtype = M.mark_type(source.schema(spark), spec.watermark_columns)
+        found = source.read(spark, M.any_not_null(spec.watermark_columns)).agg(M.batch_max(spec.watermark_columns, dtype).alias("m")).first()["m"]
+        mark = M.from_observed(found, dtype)
+        if cut is not None and mark is not None and mark.kind != cut.kind:
+            raise ValueError(f"a chain with one cut needs marks of one kind, not {cut.kind} and {mark.kind}")
+        cut = M.later(cut, mark)
+    return cut
+
+
 def sync_chain(spark: SparkSession, steps: Sequence[tuple[SyncSpec, Store, Store]],
-               state: StateStore | None = None, history: RunHistory | None = None) -> list[SyncResult]:
-    """Run syncs in order (header → detail → facts); each reads what the previous one published."""
-    return [sync(spark, spec, source, target, state, history) for spec, source, target in steps]
+               state: StateStore | None = None, history: RunHistory | None = None, cut: Any = None) -> list[SyncResult]:
+    """Run syncs in order (header → detail → facts); each reads what the previous one published.
+
+    ``cut``: every incremental step reads up to it only, so all steps see one state of their sources: a detail that arrives while the chain
+    runs is not copied before its header. ``"latest"`` takes :func:`chain_cut`; a mark, value or text is taken as it is. Without
+    it each step reads all that is there when it starts.
+    """
+    if isinstance(cut, str) and cut == "latest":
+        cut = chain_cut(spark, steps)
+    return [sync(spark, spec, source, target, state, history, cut=cut) for spec, source, target in steps]

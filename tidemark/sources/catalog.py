@@ -321,6 +321,7 @@ class CatalogTable(Store):
                 and Files(spark).move_folder(staged_path, pending)):  # else the staged files themselves
             rows = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields])
             self._write_version(spark, self._by_bucket(spark, rows), pending)
+        commits.refuse_repeat(spark, root, batch_id)
         commits.seal(spark, root, batch_id, note)
         self.committed(spark, batch_id)
 

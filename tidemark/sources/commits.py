@@ -50,6 +50,13 @@ def published(spark: SparkSession, root: str, batch_id: str) -> str | None:
     return Files(spark).read(note_path(root, batch_id))
 
 
+def refuse_repeat(spark: SparkSession, root: str, batch_id: str) -> None:
+    """Fail if another run has appended the batch since this one asked."""
+    if published(spark, root, batch_id) is not None:
+        Files(spark).delete(pending_path(root, batch_id))
+        raise RuntimeError(f"batch {batch_id} was appended by another run meanwhile")
+
+
 def sealed(spark: SparkSession, root: str, batch_id: str) -> bool:
     return Files(spark).exists(f"{pending_path(root, batch_id)}/_note")
 

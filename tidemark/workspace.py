@@ -106,6 +106,11 @@ class Files:
         fs, p = self._at(path)
         return fs.getFileStatus(p).getModificationTime()
 
+    def names(self, path: str) -> list[str]:
+        """Names of the files directly in ``path``."""
+        fs, p = self._at(path)
+        return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
+
     def folders(self, path: str) -> list[str]:
         """Names of the folders directly in ``path``."""
         fs, p = self._at(path)
