@@ -28,7 +28,9 @@ from tidemark import (
     SyncSpec,
     ViewTable,
     checks,
+    create_namespace,
     from_config,
+    namespaces,
     sync,
     sync_chain,
 )
@@ -523,6 +525,78 @@ def q_save_modes_ignore_error(spark, sf_dir):
     return target.read(spark)
 
 
+# --- late rows, drill-down, changing columns, namespaces ----------------------------------
+
+def q_late_append_once(spark, sf_dir):
+    """An append that re-reads three days: purchases of the last day arrive late and are copied once, rows copied before are not copied again."""
+    r = Run(spark, sf_dir)
+    target = r.table("events")
+    spec = SyncSpec("events_late_append", mode="incremental", write_mode="append", watermark_columns=["ts"], lookback=dt.timedelta(days=3), row_keys=["event_id"])
+    late = "(event_type = 'purchase' AND ts >= TIMESTAMP '2024-01-15')"
+    r.sync(spec, r.query(f"SELECT * FROM {{events}} WHERE ts < TIMESTAMP '2024-01-16' AND NOT {late}", "events"), target)
+    r.sync(spec, r.query("SELECT * FROM {events} WHERE ts < TIMESTAMP '2024-01-16'", "events"), target)  # late rows only: the mark may stay
+    for _ in range(2):
+        r.sync(spec, r.parquet("events"), target)
+    return target.read(spark)
+
+
+def q_reconcile_drilldown(spark, sf_dir):
+    """Orders against a copy that lacks some and has some changed: only the differing ranges of keys are compared row by row."""
+    orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+    copy = orders.where("o_orderkey % 1000 <> 7").withColumn("o_totalprice", F.expr("CASE WHEN o_orderkey % 1000 = 13 THEN -o_totalprice ELSE o_totalprice END"))
+    return checks.reconcile_drilldown(orders, copy, ["o_orderkey"])
+
+
+def q_view_schema_evolution(spark, sf_dir):
+    """A table whose source gains a column and widens its key from int to bigint between two appends, and is then merged with both."""
+    r = Run(spark, sf_dir)
+    target = r.view("parts", evolve=True)
+    spec = dict(mode="incremental", watermark_columns=["mark"])
+    first = "SELECT CAST(p_partkey AS INT) AS p_partkey, p_size, CAST(p_partkey AS BIGINT) AS mark FROM {part} WHERE p_partkey <= 500"
+    second = "SELECT p_partkey, p_size, p_brand, p_partkey AS mark FROM {part} WHERE p_partkey <= 1500"
+    r.sync(SyncSpec("parts_append", write_mode="append", **spec), r.query(first, "part"), target)
+    r.sync(SyncSpec("parts_append", write_mode="append", **spec), r.query(second, "part"), target)
+    r.sync(SyncSpec("parts_merge", write_mode="merge", merge_keys=["p_partkey"]),
+           r.query("SELECT p_partkey, CAST(p_size AS BIGINT) + 1 AS p_size, p_partkey AS mark, p_retailprice FROM {part} WHERE p_partkey % 10 = 0", "part_prices"), target)
+    return target.read(spark)
+
+
+def q_namespace_listing(spark, sf_dir):
+    """A namespace for each region with a table of its nations: created, listed, and read."""
+    r = Run(spark, sf_dir)
+    regions = [x["r_name"] for x in spark.read.parquet(r.path("region")).select("r_name").collect()]  # a handful of names
+    for name in regions:
+        space = f"{r.db}_{name.lower().replace(' ', '_')}"
+        create_namespace(spark, space, f"nations of {name}", f"{r.root}/{space}")
+        target = CatalogTable(f"{space}.nation", root=f"{r.root}/tables/{space}")
+        r.sync(SyncSpec(f"nations_{space}", write_mode="overwrite"),
+               r.query(f"SELECT n.* FROM {{nation}} n JOIN {{region}} ON n_regionkey = r_regionkey WHERE r_name = '{name}'", f"nation_{space}"), target)
+    listed = namespaces(spark, f"{r.db}_*").collect()
+    frames = [spark.read.table(f"{x['namespace']}.nation").agg(F.lit(x["namespace"][len(r.db) + 1:]).alias("namespace"), F.lit(x["tables"]).cast("bigint").alias("tables"),
+                                                              F.count("*").alias("nations")) for x in listed]
+    return reduce(DataFrame.unionByName, frames)
+
+
+# --- hot keys, unusual runs --------------------------------------------------------------
+
+def q_preflight_hot_keys(spark, sf_dir):
+    """Merge keys that hold a two-hundredth of all rows or more: one task would get them all."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    by_user = checks.hot_keys(events, ["user_id"], 0.005).select(F.lit("user_id").alias("key"), F.col("user_id").cast("string").alias("value"), "n")
+    by_type = checks.hot_keys(events, ["event_type", "user_id"], 0.0015)
+    return by_user.unionByName(by_type.select(F.lit("event_type,user_id").alias("key"), F.concat_ws(",", "event_type", "user_id").alias("value"), "n"))
+
+
+def q_run_anomalies(spark, sf_dir):
+    """Runs judged by their pipeline's last ones. Each user's events of a day are taken as a run, whose seconds are their largest value."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    runs = events.groupBy(F.concat(F.lit("user_"), "user_id").alias("pipeline_id"), F.date_trunc("day", "ts").alias("started_at")).agg(
+        F.when(F.count_if(F.col("event_type") == "error") >= 2, "FAILED").otherwise("SUCCESS").alias("status"),
+        F.count("*").alias("records_synced"), F.max("value").alias("duration_seconds"))
+    found = checks.run_anomalies(runs, last=10, least=3, factor=2.0)
+    return found.withColumn("started_at", F.date_format("started_at", "yyyy-MM-dd"))
+
+
 # --- tables behind a view ----------------------------------------------------------------
 
 def q_merge_touched_files(spark, sf_dir):
@@ -1046,6 +1120,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preflight_checks": q_preflight_checks,
         "schema_diff": q_schema_diff,
         "stale_marks": q_stale_marks,
+        "late_append_once": q_late_append_once,
+        "reconcile_drilldown": q_reconcile_drilldown,
+        "view_schema_evolution": q_view_schema_evolution,
+        "namespace_listing": q_namespace_listing,
+        "preflight_hot_keys": q_preflight_hot_keys,
+        "run_anomalies": q_run_anomalies,
         "merge_touched_files": q_merge_touched_files,
         "publish_view_partitions": q_publish_view_partitions,
         "state_two_writers": q_state_two_writers,
@@ -1228,6 +1308,29 @@ def _own_oracle_sql() -> dict[str, str]:
             "UNION ALL SELECT 'o_status', 'string', NULL, 'only_in_source', 0 "
             "UNION ALL SELECT 'o_orderstatus', NULL, 'string', 'only_in_target', 0"),
         "stale_marks": STALE_MARKS_SQL,
+        "late_append_once": f"SELECT {EVENTS_COLS} FROM events",
+        "reconcile_drilldown": ("SELECT o_orderkey, CASE o_orderkey % 1000 WHEN 7 THEN 'missing_in_target' ELSE 'changed' END AS status FROM orders "
+                                "WHERE o_orderkey % 1000 = 7 OR o_orderkey % 1000 = 13 AND o_totalprice <> 0"),
+        "view_schema_evolution": (
+            "SELECT p_partkey, CAST(CASE WHEN p_partkey % 10 = 0 THEN p_size + 1 ELSE p_size END AS BIGINT) AS p_size, p_partkey AS mark, "
+            "CASE WHEN p_partkey BETWEEN 501 AND 1500 AND p_partkey % 10 <> 0 THEN p_brand END AS p_brand, "
+            "CASE WHEN p_partkey % 10 = 0 THEN p_retailprice END AS p_retailprice FROM part WHERE p_partkey <= 1500 OR p_partkey % 10 = 0"),
+        "namespace_listing": ("SELECT lower(replace(r_name, ' ', '_')) AS namespace, CAST(1 AS BIGINT) AS tables, count(n_nationkey) AS nations "
+                              "FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY r_name"),
+        "preflight_hot_keys": (
+            "SELECT 'user_id' AS key, CAST(user_id AS VARCHAR) AS value, count(*) AS n FROM events GROUP BY user_id HAVING count(*) >= 0.005 * (SELECT count(*) FROM events) "
+            "UNION ALL SELECT 'event_type,user_id', event_type || ',' || user_id, count(*) FROM events GROUP BY event_type, user_id "
+            "HAVING count(*) >= 0.0015 * (SELECT count(*) FROM events)"),
+        "run_anomalies": (
+            "WITH r AS (SELECT 'user_' || user_id AS pipeline_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS started_at, count(*) AS n, max(value) AS s, "
+            "count(*) FILTER (event_type = 'error') >= 2 AS failed FROM events GROUP BY ALL), "
+            "w AS (SELECT *, count(*) OVER b AS before, quantile_cont(s, 0.5) OVER b AS ms, quantile_cont(n, 0.5) OVER b AS mn FROM r WHERE NOT failed "
+            "WINDOW b AS (PARTITION BY pipeline_id ORDER BY started_at ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)), "
+            "l AS (SELECT *, lag(failed) OVER (PARTITION BY pipeline_id ORDER BY started_at) AS last FROM r) "
+            "SELECT pipeline_id, started_at, 'slow' AS problem, s AS value, ms AS usual, before FROM w WHERE before >= 3 AND s > 2 * ms "
+            "UNION ALL SELECT pipeline_id, started_at, 'many_rows', n, mn, before FROM w WHERE before >= 3 AND n > 2 * mn "
+            "UNION ALL SELECT pipeline_id, started_at, 'few_rows', n, mn, before FROM w WHERE before >= 3 AND n * 2 < mn "
+            "UNION ALL SELECT pipeline_id, started_at, 'failed', NULL, NULL, 0 FROM l WHERE failed AND NOT coalesce(last, false)"),
         "merge_touched_files": (
             f"WITH two AS ({merge_sql(li_latest(f'SELECT {LI_COLS} FROM lineitem WHERE l_shipdate <= ' + DAY_1999), li_latest(f'{LI_PLUS_SQL} WHERE l_shipdate > ' + DAY_1998), li_on)}), "
             f"few AS ({li_latest(f'{LI_PLUS_SQL} WHERE l_orderkey <= (SELECT max(l_orderkey) FROM lineitem) / 100')}) "

@@ -1,5 +1,8 @@
 import datetime as dt
 
+import pytest
+from pyspark.sql import functions as F
+
 from tidemark import checks
 
 from .conftest import SF
@@ -102,3 +105,57 @@ def test_lag_of_large_integers_and_long_decimals(spark, local_dir):
     newest = checks.newest_marks({"big": (src, ["k"]), "dec": (src, ["x"])})
     got = {r.pipeline_id: (r.lag_units, r.stale) for r in checks.mark_lag(store.current(), newest, dt.timedelta(days=1), stale_after_units=10).collect()}
     assert got == {"big": (50.0, True), "dec": (2e-12, False)}
+
+
+# --- hot keys, unusual runs --------------------------------------------------------------
+
+def test_hot_keys_are_all_found(spark):
+    rows = [(None, 1)] * 40 + [(k % 7, k % 3) for k in range(300)] + [(100 + k, k) for k in range(660)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint").repartition(4)
+    for keys in (["a"], ["a", "b"]):
+        for share in (0.001, 0.01, 0.04, 1.0):
+            plain = {tuple(r[:-1]): r[-1] for r in df.groupBy(*keys).count().collect() if r["count"] >= share * len(rows)}
+            got = {tuple(r[k] for k in keys): r["n"] for r in checks.hot_keys(df, keys, share).collect()}
+            assert got == plain
+    assert checks.hot_keys(df.limit(0), ["a"]).count() == 0
+    with pytest.raises(ValueError):
+        checks.hot_keys(df, ["a"], 0)
+
+
+def test_runs_that_stand_out(spark):
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [("p", start + dt.timedelta(hours=k), "SUCCESS", 100 + k % 3, 10.0 + k % 2) for k in range(10)]
+    rows += [("p", start + dt.timedelta(hours=10), "FAILED", 0, 900.0), ("p", start + dt.timedelta(hours=11), "FAILED", 0, 900.0),
+             ("p", start + dt.timedelta(hours=12), "SUCCESS", 5000, 95.0), ("p", start + dt.timedelta(hours=13), "SUCCESS", 3, 10.0)]
+    rows += [("young", start + dt.timedelta(hours=k), "SUCCESS", 10 ** k, 10.0 ** k) for k in range(5)]
+    runs = spark.createDataFrame(rows, "pipeline_id string, started_at timestamp, status string, records_synced bigint, duration_seconds double")
+    got = {(r["pipeline_id"], r["problem"], r["value"], r["usual"]) for r in checks.run_anomalies(runs).collect()}
+    assert got == {("p", "failed", None, None), ("p", "slow", 95.0, 10.5), ("p", "many_rows", 5000.0, 101.0), ("p", "few_rows", 3.0, 101.0)}
+
+
+def test_drilldown_equals_the_plain_comparison(spark):
+    rows = [(k, k % 5 or None, f"v{k}") for k in range(5000)]
+    source = spark.createDataFrame(rows + [(None, 1, "x")], "k bigint, g int, v string")
+    other = [r for r in rows if r[0] != 17] + [(9000, 1, "new")]
+    other[100] = (100, 0, "changed")
+    target = spark.createDataFrame(other + [(None, 1, "x")], "k bigint, g bigint, v string")
+    for keys in (["k"], ["k", "g"]):
+        want = sorted(map(str, checks.reconcile_keys(source, target, keys).collect()))
+        for ranges in (1, 64, 4096):
+            assert sorted(map(str, checks.reconcile_drilldown(source, target, keys, ranges).collect())) == want
+    assert checks.reconcile_drilldown(source, source, ["k"]).count() == 0
+    assert checks.reconcile_drilldown(source.limit(0), source.limit(0), ["k"]).count() == 0
+
+
+def test_drilldown_moves_the_differing_ranges_only(spark):
+    source = spark.range(200_000).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+    target = source.withColumn("v", F.when(F.col("k") == 777, -1).otherwise(F.col("v")))
+    found = checks.reconcile_drilldown(source, target, ["k"])
+    assert [tuple(r) for r in found.collect()] == [(777, "changed")]
+    # the rows that are compared by key: those that pass the filter on the ranges
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    condition = [r for r in plan.splitlines() if "pmod" in r]
+    assert condition and "IN (" not in condition[0]  # one range
+    place = F.pmod(F.xxhash64("k"), F.lit(4096))
+    moved = source.where(place == source.where("k = 777").select(place.alias("p")).first()["p"]).count()
+    assert moved < 0.01 * 200_000

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from tidemark import StateStore, SyncSpec, sync
+from tidemark import CatalogTable, ParquetPath, QuerySource, StateStore, SyncSpec, sync, sync_chain
+from tidemark.functions import marks as M
 from tidemark.functions.marks import Mark
 
 
@@ -378,3 +379,76 @@ def test_latest_follows_a_renamed_mark_and_needs_one(run, spark):
         run.sync(SyncSpec("x", transforms=[lambda df: df.select("k", "v")], **kw), rows_, run.table("latest_x"))
     with pytest.raises(ValueError):
         SyncSpec("y", write_mode="merge", merge_keys=["k"], duplicate_keys="latest")
+
+
+# --- late rows by append -----------------------------------------------------------------
+
+def test_late_rows_are_appended_once(spark, run):
+    """Rows below the mark that the target lacks are copied; rows that it holds are not, nor are they read beyond the window; a changed
+    row (another mark) is a row of its own."""
+    t0 = dt.datetime(2024, 1, 10)
+    rows = [(k, t0 + dt.timedelta(hours=k), "v") for k in range(48)] + [(None, t0 + dt.timedelta(hours=47), "null key")]
+    schema = "id int, ts timestamp_ntz, v string"
+    target = run.table("late")
+    spec = SyncSpec("late", mode="incremental", write_mode="append", watermark_columns=["ts"], lookback=dt.timedelta(hours=10), row_keys=["id"])
+
+    def upstream(rows):
+        path = f"{run.root}/up-{len(rows)}"
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(path)
+        return ParquetPath(path, name="up", connection="c")
+
+    held_back = [r for r in rows if r[0] not in (3, 40)]
+    assert run.sync(spec, upstream(held_back), target).records_synced == 47
+    assert run.sync(spec, upstream(held_back), target).records_synced == 0
+    late = rows + [(45, t0 + dt.timedelta(hours=60), "changed")]
+    assert run.sync(spec, upstream(late), target).records_synced == 2  # 40, and the changed row; 3 is beyond the window
+    assert run.sync(spec, upstream(late), target).records_synced == 0
+    got = sorted((str(r["id"]), r["v"]) for r in target.read(spark).collect())
+    assert got == sorted([(str(r[0]), r[2]) for r in rows if r[0] != 3] + [("45", "changed")])
+
+
+def test_append_with_lookback_needs_row_keys():
+    with pytest.raises(ValueError):
+        SyncSpec("x", mode="incremental", write_mode="append", watermark_columns=["ts"], lookback=dt.timedelta(days=1))
+    with pytest.raises(ValueError):
+        SyncSpec("x", write_mode="overwrite", row_keys=["id"])
+
+
+# --- chains with one cut -----------------------------------------------------------------
+
+def test_a_chain_reads_one_state_of_its_sources(spark, run):
+    """A header and its details arrive between the steps: without a cut the details are copied without their header."""
+    class Growing(QuerySource):
+        def read(self, spark, predicate=None):
+            if predicate is not None and M.window_of(predicate) is not None and spark.catalog.tableExists("arrived"):
+                return spark.sql(self.sql.replace("/* more */", "UNION ALL SELECT 2, 20 FROM arrived")).where(predicate)
+            return super().read(spark, predicate)
+
+    def chain(cut, tag):
+        spark.catalog.dropTempView("arrived")
+        header = QuerySource("SELECT 1 AS k, 10 AS mark /* more */", f"h{tag}", "c")
+        detail = Growing("SELECT 1 AS k, 10 AS mark /* more */", f"d{tag}", "c")
+        specs = [SyncSpec(f"{n}{tag}", mode="incremental", write_mode="append", watermark_columns=["mark"]) for n in ("h", "d")]
+        targets = [run.table(f"{n}{tag}") for n in ("h", "d")]
+
+        class Between(CatalogTable):
+            def publish_append(self, spark, *args, **kw):
+                super().publish_append(spark, *args, **kw)
+                spark.range(1).createOrReplaceTempView("arrived")
+
+        targets[0] = Between(targets[0].name, root=targets[0].root)
+        sync_chain(spark, [(specs[0], header, targets[0]), (specs[1], detail, targets[1])], run.state, run.history, cut=cut)
+        return [sorted(r["k"] for r in t.read(spark).collect()) for t in targets]
+
+    assert chain(None, "plain") == [[1], [1, 2]]
+    assert chain("latest", "cut") == [[1], [1]]
+    spark.catalog.dropTempView("arrived")
+
+
+def test_marks_not_beyond_a_cut(spark):
+    dtype = spark.createDataFrame([], "a bigint").schema["a"].dataType
+    df = spark.createDataFrame([(1, None), (None, 5), (7, 2), (3, 9), (None, None), (4, 4)], "a bigint, b bigint")
+    pred = M.not_beyond(M.after(["a", "b"], M.Mark("bigint", 1), dtype), M.Mark("bigint", 5), dtype)
+    want = df.where("greatest(a, b) > 1 AND greatest(a, b) <= 5")
+    assert sorted(map(str, df.where(pred).collect())) == sorted(map(str, want.collect()))
+    assert M.window_of(pred).upto == M.Mark("bigint", 5)

@@ -1,5 +1,6 @@
 """Tables behind a view: what a merge rewrites, what readers see, and how many catalog calls a publish takes."""
 
+import datetime as dt
 import json
 import os
 
@@ -220,3 +221,51 @@ def test_not_a_view_of_ours(spark, run):
     spark.sql(f"CREATE TABLE {run.db}.plain (k bigint) USING parquet")
     with pytest.raises(ValueError):
         ViewTable(f"{run.db}.plain").version(spark)
+
+
+# --- columns that change -----------------------------------------------------------------
+
+def test_added_missing_and_widened_columns(spark, run, table):
+    target = table("evolving", evolve=True)
+    first = spark.createDataFrame([(1, 10, 1.5, "a"), (2, 20, 2.5, "b")], "k int, n int, f float, only_old string")
+    target.publish_append(spark, staged(run, first), None, "v0", "b0", "n0")
+    second = spark.createDataFrame([(2**40, 2**33, 0.1, "new")], "k bigint, n bigint, f double, added string")
+    target.publish_append(spark, staged(run, second), None, "v1", "b1", "n1")
+    assert target.read(spark).dtypes == [("k", "bigint"), ("n", "bigint"), ("f", "double"), ("only_old", "string"), ("added", "string")]
+    assert content(target, spark) == sorted(map(str, [(1, 10, 1.5, "a", None), (2, 20, 2.5, "b", None), (2**40, 2**33, 0.1, None, "new")]))
+    assert target.committed(spark, "b0") == "n0" and target.committed(spark, "b1") == "n1" and target.committed(spark, "b2") is None
+    # a narrower batch goes into the table as it is; a merge meets the old part's int keys by a bigint
+    target.publish_append(spark, staged(run, spark.createDataFrame([(3,)], "k int")), None, "v2", "b2", "n2")
+    merge(run, target, spark.createDataFrame([(2, "merged", dt.date(2024, 1, 1))], "k bigint, added string, day date"), version="v3")
+    rows = {r["k"]: r for r in target.read(spark).collect()}
+    assert sorted(rows) == [1, 2, 3, 2**40] and rows[2]["added"] == "merged" and rows[2]["n"] is None and str(rows[2]["day"]) == "2024-01-01"
+    assert rows[1]["day"] is None and rows[1]["only_old"] == "a" and rows[3]["n"] is None
+    assert target.committed(spark, "b1") == "n1"  # its part was rewritten or not
+    with pytest.raises(ValueError):
+        target.publish_append(spark, staged(run, spark.createDataFrame([("x",)], "k string")), None, "v4", "b4", "")
+    with pytest.raises(ValueError):
+        table("fixed").publish_append(spark, staged(run, first), None, "v0", "b0", "n0")
+        table("fixed").publish_append(spark, staged(run, second), None, "v1", "b1", "n1")
+
+
+def test_an_append_with_new_columns_that_stops(spark, run, table, monkeypatch):
+    """Published, but the note is not written: the replay finds the batch in the view, and adds nothing twice."""
+    target = table("torn", evolve=True)
+    target.publish_append(spark, staged(run, frame(spark, [(1, "p", "a")])), None, "v0", "b0", "n0")
+    plain = V.committed
+    calls = []
+    monkeypatch.setattr(V, "committed", lambda self, *a: plain(self, *a) if not calls.append(1) and len(calls) < 2 else (_ for _ in ()).throw(InterruptedError()))
+    with pytest.raises(InterruptedError):
+        target.publish_append(spark, staged(run, spark.createDataFrame([(2, 7)], "k bigint, extra int")), None, "v1", "b1", "n1")
+    monkeypatch.setattr(V, "committed", plain)
+    assert target.committed(spark, "b1") == "n1" and target.read(spark).count() == 2
+
+
+@pytest.mark.parametrize("wide, narrow, ok", [("bigint", "int", True), ("int", "bigint", False), ("double", "int", True), ("double", "bigint", False),
+                                              ("decimal(20,2)", "decimal(10,2)", True), ("decimal(10,4)", "decimal(10,2)", False), ("decimal(19,0)", "bigint", True),
+                                              ("timestamp_ntz", "date", True), ("string", "int", False), ("double", "float", True)])
+def test_types_that_hold_others(spark, wide, narrow, ok):
+    from tidemark.sources.views import _holds
+
+    a, b = (spark.createDataFrame([], f"x {t}").schema["x"].dataType for t in (wide, narrow))
+    assert _holds(a, b) == ok

@@ -9,7 +9,7 @@ from .functions.marks import Mark
 from .operators import checks
 from .operators.transform import filter_rows, from_config, rename_columns, select_columns
 from .plans import RunHistory, StateStore, SyncResult, sync, sync_chain
-from .sources import CatalogTable, JdbcTable, ParquetPath, QuerySource, ViewTable
+from .sources import CatalogTable, JdbcTable, ParquetPath, QuerySource, ViewTable, create_namespace, namespaces
 from .spec import SyncSpec, spec_from_config
 from .workspace import shared_root
 
@@ -17,5 +17,6 @@ __all__ = [
     "Mark", "checks", "filter_rows", "from_config", "rename_columns", "select_columns",
     "RunHistory", "StateStore", "SyncResult", "sync", "sync_chain",
     "CatalogTable", "JdbcTable", "ParquetPath", "QuerySource", "ViewTable", "SyncSpec", "spec_from_config",
+    "create_namespace", "namespaces",
     "shared_root",
 ]

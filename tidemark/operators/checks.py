@@ -12,7 +12,7 @@ import datetime as dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, MapType, StructType, TimestampNTZType, TimestampType
 
@@ -62,15 +62,46 @@ def reconcile_keys(source: DataFrame, target: DataFrame, keys: Sequence[str]) ->
     formed. NULL keys compare as equal. Values are compared by the sums of two 64-bit
     hashes, not byte by byte; maps may be columns, but not inside other columns.
     """
-    keys = list(keys)
-    values = [c for c in source.columns if c not in keys]
-    both = source.select(*keys, *values, F.lit(True).alias("_s")).unionByName(target.select(*keys, *values, F.lit(False).alias("_s")))
+    return _differing(_tagged(source, target, keys), keys)
+
+
+def reconcile_drilldown(source: DataFrame, target: DataFrame, keys: Sequence[str], ranges: int = 4096) -> DataFrame:
+    """The result of :func:`reconcile_keys`, for sides that hardly differ: only the rows of differing ranges of key hashes are shuffled.
+
+    Each side is first reduced to an order-free digest of every range (its row count and two sums of row hashes), in one scan that ships
+    ``ranges`` small rows a task. Ranges whose digests agree are equal; the rows of the others, about a ``ranges``-th of all for each changed key,
+    are read again and compared by key. If more than half of the ranges differ, all rows are.
+    """
+    if ranges < 1:
+        raise ValueError("one range at least")
+    both = _tagged(source, target, keys)
+    place = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(ranges))
+    ns, nt, sums = _digests(both, [c for c in both.columns if c != "_s"])
+    digests = both.groupBy(place.alias("p")).agg(ns.alias("ns"), nt.alias("nt"), *[x.alias(f"h{i}") for i, x in enumerate(sums)])
+    differ = [r["p"] for r in digests.where("ns <> nt OR h0 <> 0 OR h1 <> 0").select("p").collect()]  # ``ranges`` numbers at most
+    if len(differ) <= ranges // 2:
+        both = both.where(place.isin(differ) if differ else F.lit(False))
+    return _differing(both, keys)
+
+
+def _tagged(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides in one frame, each column of a common type, ``_s`` for the rows of the source."""
+    columns = [*keys, *[c for c in source.columns if c not in keys]]
+    return source.select(*columns, F.lit(True).alias("_s")).unionByName(target.select(*columns, F.lit(False).alias("_s")))
+
+
+def _digests(both: DataFrame, values: Sequence[str]) -> tuple[Column, Column, list[Column]]:
+    """Aggregates of a group: rows of the source, of the target, and two sums of hashes of their values that cancel out where the sides agree."""
     parts = [x for c in values for x in (F.col(c).isNull(), _comparable(F.col(c), both.schema[c].dataType))]
     hashes = [F.xxhash64(F.lit(k), *parts).cast("decimal(38,0)") for k in (1, 2)]
     own = F.col("_s")
     sums = [F.coalesce(F.sum(F.when(own, h)), F.lit(0)) - F.coalesce(F.sum(F.when(~own, h)), F.lit(0)) for h in hashes]
-    counted = both.groupBy(*keys).agg(
-        F.count_if(own).alias("_ns"), F.count_if(~own).alias("_nt"), *[x.alias(f"_h{i}") for i, x in enumerate(sums)])
+    return F.count_if(own), F.count_if(~own), sums
+
+
+def _differing(both: DataFrame, keys: Sequence[str]) -> DataFrame:
+    ns, nt, sums = _digests(both, [c for c in both.columns if c not in (*keys, "_s")])
+    counted = both.groupBy(*keys).agg(ns.alias("_ns"), nt.alias("_nt"), *[x.alias(f"_h{i}") for i, x in enumerate(sums)])
     status = (
         F.when(F.col("_nt") == 0, F.lit("missing_in_target"))
         .when(F.col("_ns") == 0, F.lit("missing_in_source"))
@@ -84,6 +115,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows: key columns, ``n`` and ``share``. A NULL part is a value like any other.
+
+    Rows are counted by a hash of the key first, in ``64 / share`` buckets: a hot key makes its bucket hot, so only the rows of hot
+    buckets (about a 64th of the others) are counted by key. Both counts combine before they shuffle; the driver sees ``1 / share`` buckets at most.
+    """
+    if not 0 < share <= 1:
+        raise ValueError("share is a part of all rows, between 0 and 1")
+    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(int(64 / share)))
+    counted = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r["b"]: r["n"] for r in counted.collect()}
+    total = sum(counts.values())
+    hot = [b for b, n in counts.items() if n >= share * total]
+    rows = df.where(bucket.isin(hot) if hot else F.lit(False)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("share", F.col("n") / F.lit(total)).where(F.col("n") >= F.lit(share * total))
+
+
+
 def preflight(df: DataFrame, merge_keys: Sequence[str] = (), watermark_columns: Sequence[str] = ()) -> DataFrame:
     """Pre-flight data checks, one row per check: ``check``, ``subject``, ``violations``.
 
@@ -175,6 +224,32 @@ def run_monitor(runs: DataFrame, long_run_seconds: float = 3600.0) -> DataFrame:
     )
 
 
+def run_anomalies(runs: DataFrame, last: int = 20, least: int = 5, factor: float = 3.0) -> DataFrame:
+    """Runs judged by their own pipeline's history: the median duration and row count of up to ``last`` successful runs before each.
+
+    One row per run that stands out: ``pipeline_id``, ``started_at``, ``problem``, ``value``, ``usual`` (the median) and ``before`` (the runs it is
+    from, ``least`` at least). ``slow``: over ``factor`` times the usual duration; ``many_rows`` / ``few_rows``: over ``factor`` times, or under a
+    ``factor``-th of, the usual rows; ``failed``: it failed though the one before did not (``before`` is 0). Failed runs count for no median.
+    """
+    ok = F.col("status") != "FAILED"
+    order = Window.partitionBy("pipeline_id").orderBy("started_at")
+    before = order.rowsBetween(-last, -1)
+    success = runs.where(ok).select(
+        "pipeline_id", "started_at", "duration_seconds", "records_synced", F.count(F.lit(1)).over(before).alias("before"),
+        F.percentile("duration_seconds", 0.5).over(before).alias("d"), F.percentile("records_synced", 0.5).over(before).alias("r"))
+    seconds, rows = F.col("duration_seconds"), F.col("records_synced").cast("double")
+    found = [(seconds > F.lit(factor) * F.col("d"), "slow", seconds, "d"), (rows > F.lit(factor) * F.col("r"), "many_rows", rows, "r"),
+             (rows * F.lit(factor) < F.col("r"), "few_rows", rows, "r")]
+    judged = success.where(F.col("before") >= least).select("pipeline_id", "started_at", "before", F.explode(F.filter(F.array(*[
+        F.when(test, F.struct(F.lit(name).alias("problem"), value.alias("value"), F.col(usual).alias("usual"))) for test, name, value, usual in found]),
+        lambda x: x.isNotNull())).alias("x")).select("pipeline_id", "started_at", "x.problem", "x.value", "x.usual", "before")
+    failed = runs.select("pipeline_id", "started_at", "status", F.lag("status").over(order).alias("last_status")).where(
+        ~ok & (F.coalesce(F.col("last_status"), F.lit("")) != "FAILED"))
+    nothing = F.lit(None).cast("double")
+    return judged.unionByName(failed.select("pipeline_id", "started_at", F.lit("failed").alias("problem"), nothing.alias("value"),
+                                            nothing.alias("usual"), F.lit(0).cast("bigint").alias("before")))
+
+
 def _wall_micros(value: Column) -> Column:
     """Epoch microseconds of a wall-clock value (timestamp_ntz or date) read as UTC, so a lag
     between two wall clocks never depends on the session zone or a daylight-saving change."""

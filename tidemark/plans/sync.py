@@ -17,6 +17,7 @@ import json
 import time
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,6 +68,19 @@ def incremental_predicate(spec: SyncSpec, mark: M.Mark | None, dtype, cut: M.Mar
     return predicate if cut is None else M.not_beyond(predicate, cut, dtype)
 
 
+def not_copied(spec: SyncSpec, copied: DataFrame):
+    """A transformation that leaves out rows of the batch that the target holds: an exact anti join on the row's keys and marks, NULLs equal,
+    against the target's rows of the re-read window only. A changed row has another mark, so it is copied."""
+    columns = [*spec.row_keys, *[c for c in spec.watermark_columns if c not in spec.row_keys]]
+    held = copied.select(*[F.col(f"`{c}`").alias(f"_tm_held_{i}") for i, c in enumerate(columns)]).distinct()
+
+    def leave_out(batch: DataFrame) -> DataFrame:
+        same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_tm_held_{i}")) for i, c in enumerate(columns)]
+        return batch.join(held, reduce(lambda a, b: a & b, same), "left_anti")
+
+    return leave_out
+
+
 def sync(
     spark: SparkSession,
     spec: SyncSpec,
@@ -143,10 +157,13 @@ def _run(spark, spec, source, target, state, history, started, clock, run_id, cu
 def _publish(spark, spec, source, target, state, history, identity, old, revision, batch_id, predicate, dtype, version,
              staged_path, layout, appends, started, clock, run_id) -> SyncResult:
     batch = source.read(spark, predicate)
+    transforms = spec.transforms
+    if spec.write_mode == "append" and spec.rereads and old is not None and target.exists(spark):
+        transforms = (*transforms, not_copied(spec, target.read(spark, incremental_predicate(spec, old, dtype))))
     latest = (spec.merge_keys, spec.watermark_columns) \
         if spec.write_mode == "merge" and spec.duplicate_keys == "latest" else None
     staged: StagedBatch = stage(spark, batch, staged_path, spec.watermark_columns if spec.mode == "incremental" else (),
-                                dtype, spec.transforms, partition_by=layout, rebalance=old is not None,
+                                dtype, transforms, partition_by=layout, rebalance=old is not None,
                                 reduce_to_latest=latest,
                                 measure_keys=spec.merge_keys if spec.write_mode == "merge" else ())
     mark_before = old.text() if old else None

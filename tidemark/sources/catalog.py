@@ -483,6 +483,21 @@ class CatalogTable(Store):
         return True
 
 
+def namespaces(spark: SparkSession, like: str = "*", catalog: str | None = None) -> DataFrame:
+    """``namespace`` and ``tables`` (their number) of the namespaces whose name matches (``*`` and ``|`` as in ``SHOW NAMESPACES``)."""
+    inside = f" IN {_quote(catalog)}" if catalog else ""
+    found = [r[0] for r in spark.sql(f"SHOW NAMESPACES{inside} LIKE '{like}'").collect()]
+    prefix = f"{catalog}." if catalog else ""
+    rows = [(n, sum(not r["isTemporary"] for r in spark.sql(f"SHOW TABLES IN {_quote(prefix + n)}").collect())) for n in found]
+    return spark.createDataFrame(rows, "namespace string, tables bigint")
+
+
+def create_namespace(spark: SparkSession, name: str, comment: str = "", location: str | None = None) -> None:
+    """Create a namespace unless it exists."""
+    text = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {_quote(name)}" + (f" COMMENT '{text}'" if comment else "") + (f" LOCATION '{location}'" if location else ""))
+
+
 @dataclass(frozen=True)
 class QuerySource(Store):
     """A SQL query run by Spark (``source.query``). The incremental predicate wraps the query

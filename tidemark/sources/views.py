@@ -11,6 +11,10 @@ replace are written, with the batch, as a new part; the files are left out of th
 than ``rewrite_share`` of the bytes the whole table is rewritten as one part, and if there are ``most_parts`` parts the smaller ones are
 rewritten with the batch, so reads stay plain.
 
+With ``evolve`` a batch may have other columns than the table: added ones, missing ones, and types that one side's values all fit
+into (``int`` and ``bigint``, ``float`` and ``double``, ``date`` and ``timestamp_ntz``, decimals with more digits). The view then
+shows all columns in the wider types; parts stay as they were written, and lack a column as NULLs.
+
 What a version consists of is kept in ``<root>/_views/<version>.json``; the view names its version. Publishing happens under the table's lock and only if
 the view and the files are still those that the plan was made on, else it is planned again. Files and parts that none of the newest ``retain_versions``
 versions reads are deleted.
@@ -20,14 +24,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from typing import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType
 
 from ..operators import merge as merge_ops
 from ..workspace import Files, shared_root
@@ -41,23 +45,66 @@ VERSION_PROPERTY, MOST_FILES = "tidemark.version", 20_000
 
 @dataclass(frozen=True)
 class Part:
-    """A table of the parts, its folder, and the files in it (as Spark names them) that are not read any more."""
+    """A table of the parts, its folder, and the files in it (as Spark names them) that are not read any more. ``batch`` and ``note``: of the
+    append that made it, if it had columns of its own."""
 
     table: str
     path: str
     out: tuple[str, ...] = ()
+    batch: str = ""
+    note: str = ""
 
     def name_of(self, file_path: str) -> str:
         """The file's name below the part's folder, for a name as Spark gives it."""
         return unquote(file_path).split(self.path.rsplit("/", 1)[-1] + "/", 1)[1]
 
 
+# Whole-number types from narrow to wide, and the digits that their values have at most.
+WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _holds(wide: DataType, narrow: DataType) -> bool:
+    """Whether every value of one type is a value of the other."""
+    w, n = wide.simpleString(), narrow.simpleString()
+    if w == n or (n, w) in (("float", "double"), ("date", "timestamp_ntz")) or (n in ("tinyint", "smallint", "int") and w == "double"):
+        return True
+    if w in WHOLE and n in WHOLE:
+        return WHOLE[w] >= WHOLE[n]
+    if isinstance(wide, DecimalType):
+        if n in WHOLE:
+            return wide.precision - wide.scale >= WHOLE[n]
+        return isinstance(narrow, DecimalType) and wide.scale >= narrow.scale and wide.precision - wide.scale >= narrow.precision - narrow.scale
+    return False
+
+
+def reconciled(table: StructType, batch: StructType, fixed: Sequence[str] = ()) -> StructType:
+    """The columns of both, each in the type that holds the values of both; the table's first. ``fixed`` columns keep their type."""
+    fields = []
+    for f in table.fields:
+        other = batch[f.name].dataType if f.name in batch.names else f.dataType
+        if _holds(f.dataType, other):
+            fields.append(StructField(f.name, f.dataType))
+        elif _holds(other, f.dataType) and f.name not in fixed:
+            fields.append(StructField(f.name, other))
+        else:
+            raise ValueError(f"column {f.name}: neither of {f.dataType.simpleString()} and {other.simpleString()} holds all values of the other")
+    return StructType(fields + [StructField(f.name, f.dataType) for f in batch.fields if f.name not in table.names])
+
+
+def adapted(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns and types of ``schema``; a column that it lacks is NULL."""
+    return df.select(*[
+        F.lit(None).cast(f.dataType).alias(f.name) if f.name not in df.columns else
+        F.col(f"`{f.name}`") if df.schema[f.name].dataType == f.dataType else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 @dataclass(frozen=True)
 class ViewTable(Store):
     """A table published through a view, named ``[catalog.]schema.table`` in full.
 
     ``partition_by``     partition columns of parts that are written. ``cluster_by``: columns by whose ranges rows are dealt to files.
     ``retain_versions``  versions whose files are kept: the default keeps the one before the current one, for readers that started on it.
+    ``evolve``           take batches with added, missing or differently typed columns.
     ``rewrite_share``    share of the bytes from which a merge rewrites the table. ``most_parts``: parts of which the view consists at most.
     """
 
@@ -69,6 +116,7 @@ class ViewTable(Store):
     retain_versions: int = 2
     rewrite_share: float = 0.5
     most_parts: int = 8
+    evolve: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "partition_by", tuple(self.partition_by))
@@ -106,8 +154,14 @@ class ViewTable(Store):
     def parts(self, spark: SparkSession, version: str | None) -> list[Part]:
         if version is None:
             return []
-        known = json.loads(Files(spark).read(f"{self.table_root(spark)}/_views/{version}.json"))
-        return [Part(p["table"], p["path"], tuple(p["out"])) for p in known["parts"]]
+        return [Part(p["table"], p["path"], tuple(p["out"]), p["batch"], p["note"]) for p in self._known(spark, version)["parts"]]
+
+    def columns(self, spark: SparkSession, version: str) -> StructType:
+        """The columns that a version shows."""
+        return StructType.fromJson(self._known(spark, version)["schema"])
+
+    def _known(self, spark: SparkSession, version: str) -> dict:
+        return json.loads(Files(spark).read(f"{self.table_root(spark)}/_views/{version}.json"))
 
     def part_path(self, spark: SparkSession, version: str) -> str:
         return f"{self.table_root(spark)}/p_{version}"
@@ -137,13 +191,16 @@ class ViewTable(Store):
             df = df.hint("rebalance", *self.partition_by)
         df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
 
-    def _publish(self, spark: SparkSession, version: str, parts: Sequence[Part], columns: Sequence[str]) -> None:
+    def _publish(self, spark: SparkSession, version: str, parts: Sequence[Part], schema: StructType) -> None:
         """Make a version seen, then delete what no kept version reads. The caller holds the lock."""
         files, root = Files(spark), self.table_root(spark)
-        files.write(f"{root}/_views/{version}.json", json.dumps({"parts": [{"table": p.table, "path": p.path, "out": p.out} for p in parts]}))
-        listed = ", ".join(f"`{c}`" for c in columns)
+        plain = StructType([StructField(f.name, f.dataType) for f in schema.fields])
+        files.write(f"{root}/_views/{version}.json", json.dumps({"parts": [asdict(p) for p in parts], "schema": plain.jsonValue()}))
         queries = []
         for p in parts:
+            own = {f.name: f.dataType for f in spark.read.table(p.table).schema.fields}
+            listed = ", ".join(f"`{f.name}`" if own.get(f.name) == f.dataType else
+                               f"CAST({f'`{f.name}`' if f.name in own else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields)
             names = ", ".join("'" + n.replace("\\", "\\\\").replace("'", "\\'") + "'" for n in p.out)
             queries.append(f"SELECT {listed} FROM {_quote(p.table)}" + (f" WHERE _metadata.file_path NOT IN ({names})" if names else ""))
         spark.sql(f"CREATE OR REPLACE VIEW {_quote(self.name)} TBLPROPERTIES ('{VERSION_PROPERTY}' = '{version}') AS {' UNION ALL '.join(queries)}")
@@ -177,7 +234,7 @@ class ViewTable(Store):
             self._write(staged, self.part_path(spark, version))
         part = self._new_part(spark, version, staged.schema)
         with commits.lock(spark, self.table_root(spark)):
-            self._publish(spark, version, [part], staged.columns)
+            self._publish(spark, version, [part], staged.schema)
 
     def publish_append(self, spark, staged, staged_path, version, batch_id=None, note=""):
         """The batch's files move into the newest part, under names that begin with the batch id: exactly once, as in :mod:`.commits`."""
@@ -190,22 +247,43 @@ class ViewTable(Store):
                 if self.exists(spark):
                     spark.sql(f"DROP TABLE {_quote(part.table)}")
                 else:
-                    self._publish(spark, version, [part], staged.columns)
-        table = self.read(spark).schema
+                    self._publish(spark, version, [part], staged.schema)
+        table = self.columns(spark, self.version(spark))
+        wider = reconciled(table, staged.schema, self.partition_by) if self.evolve else table
+        if wider != table:
+            self._append_part(spark, staged, version, batch_id, note)
+            return
         other = set(table.names) ^ set(staged.columns)
-        if other:
+        if other and not self.evolve:
             raise ValueError(f"append to {self.name} needs its columns; differing: {sorted(other)}")
+        staged = adapted(staged, table)
         rows = staged.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.fields])
         self._write(rows, commits.pending_path(root, batch_id))
         commits.refuse_repeat(spark, root, batch_id)
         commits.seal(spark, root, batch_id, note)
         self.committed(spark, batch_id)
 
+    def _append_part(self, spark: SparkSession, staged: DataFrame, version: str, batch_id: str, note: str) -> None:
+        """An append with columns of its own: a part, published with the view that shows them."""
+        root = self.table_root(spark)
+        self._write(staged, self.part_path(spark, version))
+        part = replace(self._new_part(spark, version, staged.schema), batch=batch_id, note=note)
+        with commits.lock(spark, root):
+            if self.committed(spark, batch_id) is not None:
+                raise RuntimeError(f"batch {batch_id} was appended by another run meanwhile")
+            seen = self.version(spark)
+            schema = reconciled(self.columns(spark, seen), staged.schema, self.partition_by)
+            self._publish(spark, version, [*self.parts(spark, seen), part], schema)
+        self.committed(spark, batch_id)
+
     def committed(self, spark, batch_id):
         root = self.table_root(spark)
         if not self.exists(spark):
             commits.forget(spark, root, batch_id)  # of a table that was dropped since
             return None
+        own = [p for p in self.parts(spark, self.version(spark)) if p.batch == batch_id]
+        if own and commits.published(spark, root, batch_id) is None:  # kept when the part is rewritten
+            Files(spark).write(commits.note_path(root, batch_id), own[0].note)
         if commits.sealed(spark, root, batch_id):
             with commits.lock(spark, root):
                 if commits.sealed(spark, root, batch_id):
@@ -240,24 +318,28 @@ class ViewTable(Store):
         target = self.read(spark)
         if duplicate_keys == "error":
             merge_ops.check_duplicates(staged, target, keys)
-        if set(target.columns) != set(staged.columns):
-            raise ValueError(f"merge needs identical column sets; differing: {sorted(set(target.columns) ^ set(staged.columns))}")
+        schema = self.columns(spark, seen)
+        if self.evolve:
+            schema = reconciled(schema, staged.schema, self.partition_by)
+        elif set(schema.names) != set(staged.columns):
+            raise ValueError(f"merge needs identical column sets; differing: {sorted(set(schema.names) ^ set(staged.columns))}")
+        staged = adapted(staged, schema)
         strategy = merge_ops.join_strategy(spark, measured)
         sizes = {p.table: dict(found) for p, (_, found) in zip(parts, before)}
         stays, rewritten = self._parted(spark, parts, sizes, self.touched(spark, parts, staged, keys, strategy))
-        rows = [self._rows(spark, p, target.columns, only) for p, only in rewritten]
+        rows = [self._rows(spark, p, schema, only) for p, only in rewritten]
         path = self.part_path(spark, version)
         if rows:
             merged = merge_ops.merge_plan(reduce(DataFrame.unionByName, rows), staged, keys, unique_keys=duplicate_keys in ("latest", "unique"), strategy=strategy)
         else:
-            merged = staged.select(*target.columns)
+            merged = staged
         try:
             self._write(merged, path)
             part = self._new_part(spark, version, merged.schema)
             with commits.lock(spark, self.table_root(spark)):
                 fresh = self.version(spark) == seen and self._snapshot(spark, seen) == before
                 if fresh:
-                    self._publish(spark, version, [*stays, part], target.columns)
+                    self._publish(spark, version, [*stays, part], schema)
         except Exception:
             Files(spark).delete(path)
             raise
@@ -266,33 +348,41 @@ class ViewTable(Store):
             Files(spark).delete(path)
         return fresh
 
-    def _rows(self, spark: SparkSession, part: Part, columns: Sequence[str], only: Sequence[str] | None = None) -> DataFrame:
-        """The rows of a part that are read: of all its files, or of those named."""
+    def _rows(self, spark: SparkSession, part: Part, schema: StructType, only: Sequence[str] | None = None) -> DataFrame:
+        """The rows of a part that are read, as the view shows them: of all its files, or of those named."""
         df = spark.read.table(part.table)
         if only is not None:
             df = df.where(F.col("_metadata.file_path").isin(list(only)))
         elif part.out:
             df = df.where(~F.col("_metadata.file_path").isin(list(part.out)))
-        return df.select(*[F.col(f"`{c}`") for c in columns])
+        return adapted(df, schema)
 
     def touched(self, spark: SparkSession, parts: Sequence[Part], batch: DataFrame, keys: Sequence[str], strategy: str | None = None) -> list[tuple[str, str]]:
         """``(part's table, file)`` of the files that hold a key of the batch, ``MOST_FILES`` and one more at most."""
-        inside = F.lit(True)
+        inside = {}
         ranged = [k for k in keys if batch.schema[k].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint", "string", "date") or "decimal" in batch.schema[k].dataType.simpleString()]
         if ranged:
             ends = batch.agg(*[f(k).alias(f"{n}_{k}") for k in ranged for n, f in (("lo", F.min), ("hi", F.max))]).first()
             for k in ranged:
                 if ends[f"lo_{k}"] is None:
                     return []  # no key that could match
-                inside &= F.col(f"`{k}`").between(*[F.lit(ends[f"{n}_{k}"]).cast(batch.schema[k].dataType) for n in ("lo", "hi")])
+                inside[k] = F.col(f"`{k}`").between(*[F.lit(ends[f"{n}_{k}"]).cast(batch.schema[k].dataType) for n in ("lo", "hi")])
+        key_schema = StructType([batch.schema[k] for k in keys])
         wanted = batch.select(*keys).distinct()
         wanted = wanted.hint(strategy) if strategy else wanted
         found = []
         for p in parts:
-            df = spark.read.table(p.table).where(inside)
+            df = spark.read.table(p.table)
+            if not set(keys) <= set(df.columns):
+                continue  # its rows have no such key: NULL never matches
+            for k in inside:
+                df = df.where(inside[k])
             if p.out:
                 df = df.where(~F.col("_metadata.file_path").isin(list(p.out)))
-            found.append(df.select(*keys, F.lit(p.table).alias("_tm_part"), F.col("_metadata.file_path").alias("_tm_file")))
+            tagged = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in key_schema.fields]
+            found.append(df.select(*tagged, F.lit(p.table).alias("_tm_part"), F.col("_metadata.file_path").alias("_tm_file")))
+        if not found:
+            return []
         hit = reduce(DataFrame.unionByName, found).join(wanted, list(keys), "left_semi").select("_tm_part", "_tm_file").distinct()
         return [tuple(r) for r in hit.limit(MOST_FILES + 1).collect()]
 

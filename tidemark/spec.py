@@ -26,8 +26,10 @@ class SyncSpec:
     ``merge_keys``       key columns for ``merge``; NULL keys never match.
     ``duplicate_keys``   ``error``: fail when several batch rows match one target row;
                          ``latest``: keep, per key, the row with the largest mark.
-    ``boundary``         ``open`` (``> mark``) or ``closed`` (``>= mark``, merge only: re-reads ties).
-    ``lookback``         re-read rows up to this far below the mark (merge only): late arrivals.
+    ``boundary``         ``open`` (``> mark``) or ``closed`` (``>= mark``, re-reads ties: merge, or append with ``row_keys``).
+    ``lookback``         re-read rows up to this far below the mark: late arrivals (merge, or append with ``row_keys``).
+    ``row_keys``         columns that, with the watermark columns, name a row: an append that re-reads rows leaves
+                         out those that the target holds already.
     ``initial_mark``     mark to start from when no state exists (value or text).
     ``on_empty``         empty full batch: ``keep`` the target (default) or ``truncate`` it.
     ``transforms``       ``DataFrame -> DataFrame`` callables applied after the read, in order.
@@ -43,13 +45,19 @@ class SyncSpec:
     lookback: Any = None
     initial_mark: Any = None
     on_empty: str = "keep"
+    row_keys: tuple[str, ...] = ()
     transforms: tuple[Callable[[DataFrame], DataFrame], ...] = field(default=(), compare=False)
     description: str = ""
 
+    @property
+    def rereads(self) -> bool:
+        return self.boundary == "closed" or self.lookback is not None
+
     def __post_init__(self):
         object.__setattr__(self, "watermark_columns", tuple(self.watermark_columns))
         object.__setattr__(self, "merge_keys", tuple(self.merge_keys))
         object.__setattr__(self, "transforms", tuple(self.transforms))
+        object.__setattr__(self, "row_keys", tuple(self.row_keys))
         if not self.pipeline_id:
             raise ValueError("pipeline_id is required")
         if self.mode not in READ_MODES:
@@ -70,9 +78,11 @@ class SyncSpec:
             raise ValueError("duplicate_keys='latest' needs watermark_columns: they say which row is the latest")
         if self.merge_keys and self.write_mode != "merge":
             raise ValueError("merge_keys are only used by write_mode 'merge'")
-        rereads = self.boundary == "closed" or self.lookback is not None
-        if rereads and self.write_mode != "merge":
-            raise ValueError("boundary='closed' and lookback re-read rows: allowed with write_mode 'merge' only")
+        rereads = self.rereads
+        if rereads and self.write_mode != "merge" and not (self.write_mode == "append" and self.row_keys):
+            raise ValueError("boundary='closed' and lookback re-read rows: allowed with write_mode 'merge', or 'append' with row_keys, only")
+        if self.row_keys and self.write_mode != "append":
+            raise ValueError("row_keys are only used by write_mode 'append'")
         if rereads and self.mode != "incremental":
             raise ValueError("boundary and lookback apply to incremental mode only")
         if self.lookback is not None and not isinstance(self.lookback, (dt.timedelta, int, float, Decimal)):
