@@ -60,4 +60,18 @@ def test_odd_rows(spark):
     one = M.fingerprinted(documents(spark, [(9, "ab\ncd")])).collect()[0]
     assert one.near_next == 1 and one.edited_sha256 == hashlib.sha256(b"ab\nab").hexdigest()
     assert M.fingerprinted(documents(spark, ODD).limit(0)).count() == 0
-    assert np.array_equal(M.vectors([[]])[0], np.zeros(M.EQUAL + M.LIKE, np.uint16))
+    assert np.array_equal(M.vectors([[]])[0], np.zeros(M.EQUAL + M.LIKE, np.uint32))
+
+
+def test_likeness_of_long_repetitive_texts():
+    """Counts beyond 16 bits: one sentence more, and half as many."""
+    one, more, half = (M.vectors([["The same sentence again."] * n])[0] for n in (65_536, 65_537, 32_768))
+    assert M.likeness(one, more) > 0.999 and abs(M.likeness(one, half) - 0.8) < 1e-6
+    assert str(M.Fingerprint(["a."] * 70_000).delete(*["a."] * 69_999)) == str(M.Fingerprint(["a."]))
+
+
+def test_the_sample_of_ids_is_small_and_the_rows_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(M, "SAMPLE", 20)
+    rows = [(k, prose(k, 5)) for k in range(600)] + [(7, prose(k, 4)) for k in range(300)]
+    got = M.fingerprinted(documents(spark, rows)).collect()
+    assert len(got) == 900 and len({r.doc_id for r in got}) == 600

@@ -1,20 +1,20 @@
 """Document fingerprints: a homomorphic multiset hash.
 
 A text is the multiset of its paragraphs (its ``\\n``-split lines, empty ones too). Each paragraph is hashed to a wide
-vector and the vectors are summed lane by lane modulo 2**16, so the sum does not depend on the order of paragraphs, and a
+vector and the vectors are summed lane by lane modulo 2**32, so the sum does not depend on the order of paragraphs, and a
 paragraph is inserted or deleted by adding or subtracting its vector (``Fingerprint.insert``, ``.delete``).
 
-A vector has two parts. ``EQUAL`` lanes are 16 bits each of SHAKE-128 of the paragraph: sums are equal for equal multisets, and
+A vector has two parts. ``EQUAL`` lanes are 32 bits each of SHAKE-128 of the paragraph: sums are equal for equal multisets, and
 for others with negligible probability. ``LIKE`` lanes are +1 or -1 for each piece of the paragraph (its sentences, at
 most 200 code points each): by the tug-of-war estimate the squared length of a difference of two such sums is the size
-of the multisets' difference. ``likeness`` is 1 - |a - b|**2 / (|a|**2 + |b|**2) over them, between 0 and 1; equal vectors give 1.
+of the multisets' difference (exact up to 2**31 pieces a text). ``likeness`` is 1 - |a - b|**2 / (|a|**2 + |b|**2) over them, between 0 and 1; equal vectors give 1.
 
 ``fingerprinted`` pairs each document with the next in descending doc_id. Rows are dealt out by ranges of doc_id and sorted once, each range with a
-copy of the row that follows it, so that pairs are made as a range streams by. Bounds come from a sample of ``SAMPLE`` ids; no text goes
-through the driver, which sees them and the first key of each range.
+copy of the row that follows it, so that pairs are made as a range streams by. Bounds come from a sample of about ``SAMPLE`` distinct ids, chosen by
+their hash where they are read; no text goes through the driver, which sees them and the first key of each range.
 
 Defined cases: null text is empty; rows with null doc_id come last; rows of equal doc_id are ordered by a hash of
-the text and the text; a single row is its own next; an empty table gives no rows; columns other than doc_id and text are not read.
+the text and the text; a single row is its own next; a very long text is a slice of its own, with its paragraphs' vectors; an empty table gives no rows; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -32,24 +32,24 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-EQUAL, LIKE, SAMPLE = 128, 256, 20_000
+EQUAL, LIKE, SAMPLE = 64, 256, 20_000
 PIECES = re.compile(r"[^.!?\n]{1,200}[.!?]*|[.!?]+")
 RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
           "near_edited double, near_next double")
 
 
 def vectors(groups: list[list[str]]) -> np.ndarray:
-    """The sum of the vectors of each list of paragraphs: a row of uint16 lanes for each list."""
-    out = np.zeros((len(groups), EQUAL + LIKE), np.uint16)
+    """The sum of the vectors of each list of paragraphs: a row of uint32 lanes for each list."""
+    out = np.zeros((len(groups), EQUAL + LIKE), np.uint32)
     lines = [len(g) for g in groups]
-    raw = b"".join(hashlib.shake_128(p.encode()).digest(2 * EQUAL) for g in groups for p in g)
-    out[:, :EQUAL] = _sums(np.frombuffer(raw, "<u2").reshape(-1, EQUAL), lines, np.uint16)
+    raw = b"".join(hashlib.shake_128(p.encode()).digest(4 * EQUAL) for g in groups for p in g)
+    out[:, :EQUAL] = _sums(np.frombuffer(raw, "<u4").reshape(-1, EQUAL), lines, np.uint32)
     pieces = [[x for p in g for x in PIECES.findall(p)] for g in groups]
     counts = [len(x) for x in pieces]
     raw = b"".join(hashlib.blake2b(x.encode(), digest_size=LIKE // 8).digest() for g in pieces for x in g)
     bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, LIKE // 8), axis=1)
     ones = _sums(bits, counts, np.int64)
-    out[:, EQUAL:] = (2 * ones - np.array(counts, np.int64).reshape(-1, 1)).astype(np.uint16)  # modulo 2**16
+    out[:, EQUAL:] = (2 * ones - np.array(counts, np.int64).reshape(-1, 1)).astype(np.uint32)  # modulo 2**32
     return out
 
 
@@ -68,7 +68,7 @@ def paragraphs(text: str) -> list[str]:
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if (a == b).all():
         return 1.0
-    x, y = (v[EQUAL:].view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[EQUAL:].view(np.int32).astype(np.float64) for v in (a, b))
     whole = x @ x + y @ y
     return float(min(1.0, max(0.0, 1 - (x - y) @ (x - y) / whole))) if whole else 0.0
 
@@ -92,7 +92,7 @@ class Fingerprint:
 
 
 def written(vector: np.ndarray) -> str:
-    return base64.b64encode(vector.astype("<u2").tobytes()).decode()
+    return base64.b64encode(vector.astype("<u4").tobytes()).decode()
 
 
 def edit(text: str, after: str) -> str:
@@ -119,7 +119,8 @@ def _pairs(rows: list[tuple[int, str]]) -> list[tuple]:
 def _ranges(docs: DataFrame, n: int) -> DataFrame:
     """``docs`` with ``range``, a number from 0 on that grows as doc_id falls, null ids last; its bounds come from a bounded sample of the ids."""
     ids = docs.select("doc_id").where("doc_id IS NOT NULL")
-    sample = sorted(r[0] for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).collect())
+    part = max(1, ids.count() // SAMPLE)
+    sample = sorted(r[0] for r in ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0).distinct().collect())
     bounds = sorted({float(sample[k * len(sample) // n]) for k in range(1, n)}) if sample else []
     cut = Bucketizer(splits=[-np.inf, *(bounds or [0.0]), np.inf], inputCol="as_double", outputCol="range", handleInvalid="keep")
     found = cut.transform(docs.withColumn("as_double", F.coalesce(F.col("doc_id").cast("double"), F.lit(np.inf)))).drop("as_double")
