@@ -179,7 +179,8 @@ def linked(points: np.ndarray, home: np.ndarray, most: int) -> np.ndarray:
 def links(distinct: DataFrame, most: int) -> DataFrame:
     """``(a, b)`` of fingerprints (column ``fp``, distinct rows) whose paths join all that are within ``most`` bits."""
     n = distinct.count()
-    sample = [r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()]  # a bounded sample
+    # a sample of about SAMPLE, chosen by a hash where the fingerprints are read
+    sample = [r[0] for r in distinct.where(F.pmod(F.xxhash64("fp"), F.lit(max(1, n // SAMPLE))) == 0).select("fp").collect()]
     share = min(1.0, len(sample) / max(1, n))
     tree, _ = plant(np.array(sample, np.int64).view(np.uint64), max(4, int(LEAF * share)), most)
     sent = distinct.sparkSession.sparkContext.broadcast(tree)
