@@ -220,7 +220,7 @@ def _pieces(docs: DataFrame, opened: DataFrame) -> DataFrame:
             (np.concatenate([low[keep], e]), np.concatenate([d[keep], e]), np.concatenate([lo[keep], elo]),
              np.concatenate([np.ones(len(keep), np.int64), en]), found), types)], names=names)
 
-    return docs.join(lists, "d").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
+    return docs.join(lists.hint("merge"), "d").select("d", "text", "open").mapInArrow(run, "route bigint, d bigint, lo int, n int, bytes binary")
 
 
 def prefix_ranks(data: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -344,7 +344,7 @@ def _with_runs(docs: DataFrame) -> DataFrame:
     if not keyed:
         distinct = staged(distinct.groupBy("d").agg(F.first("text").alias("text")), "distinct-documents")
     lists = staged(repeats(distinct).groupBy("d").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "runs")
-    return own.join(lists, "d", "left")
+    return own.join(lists.hint("merge"), "d", "left")  # one plan at every size
 
 
 def digests(docs: DataFrame) -> DataFrame:
