@@ -92,3 +92,17 @@ def test_blocks_and_odd_rows(spark, monkeypatch):
     assert P.packed(docs.limit(0)).count() == 0
     assert P.pack([], (4, 8))[0].tolist() == []
     assert np.array_equal(P.pack([4, 4], (4, 8))[2], [8, 8]) or np.array_equal(P.pack([4, 4], (4, 8))[2], [4, 4])
+
+
+def test_a_hot_hash_is_cut_alike_at_every_batch_size(spark, monkeypatch):
+    """Rows with one hash beyond MOST: the blocks do not depend on where Arrow's batches end."""
+    monkeypatch.setattr(P, "MOST", 7)
+    docs = documents(spark, [(5, "one two three four")] * 40 + [(k, "a b " * k) for k in range(30)])
+    found = []
+    for size in ("3", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found.append(sorted(map(str, P.packed(docs).collect())))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1] and len(found[0]) == 70

@@ -114,13 +114,14 @@ def packed(docs: DataFrame, lengths: Sequence[int] = LENGTHS, size: str | None =
             number = batch.column(2).to_numpy()
             cuts = [0, *(np.flatnonzero(number[1:] != number[:-1]) + 1).tolist(), len(number)]
             for a, b in zip(cuts, cuts[1:]):
-                if a == b:
-                    continue
-                if number[a] != block or sum(map(len, kept)) >= MOST:
-                    if kept:
-                        done = yield from emit(block, done, *together(kept))
-                    block, done, kept = int(number[a]), done if number[a] == block else 0, []
-                kept.append(batch.slice(a, b - a))
+                while a < b:
+                    if number[a] != block or sum(map(len, kept)) >= MOST:
+                        if kept:
+                            done = yield from emit(block, done, *together(kept))
+                        block, done, kept = int(number[a]), done if number[a] == block else 0, []
+                    stop = min(b, a + MOST - sum(map(len, kept)))  # exactly MOST rows, wherever Arrow's batches end
+                    kept.append(batch.slice(a, stop - a))
+                    a = stop
         if kept:
             yield from emit(block, done, *together(kept))
 
