@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -75,6 +76,27 @@ def test_legacy_migration_uses_full_key(spark, store):
     assert store.get("p_db1", ("oracle", "db1", "t")) == Mark("bigint", 11)
 
 
+def test_migrated_files_do_not_grow_with_the_pipelines(spark, store):
+    from tidemark.plans.state import SLOTS
+
+    legacy = spark.range(300).repartition(3).selectExpr(
+        "'db' AS databaseName", "concat('t', id) AS tableName", "'bigint' AS wmType", "CAST(NULL AS TIMESTAMP) AS timestampWm",
+        "id AS bigIntWm", "CAST(NULL AS INT) AS intWm", "CAST(NULL AS STRING) AS stringWm")
+    pid = F.when(F.col("bigIntWm") < 298, F.concat(F.lit("p/ü_"), F.col("tableName")))  # two have none
+    store.migrate(legacy, pid, "oracle")
+    files = [f for _, _, names in os.walk(store.path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= SLOTS + 1
+    got = {r.source_table: (r.pipeline_id, r.watermark_value_bigint, r.revision) for r in store.current().collect()}
+    assert got == {f"t{k}": (f"p/ü_t{k}" if k < 298 else None, k, 0) for k in range(300)}
+    assert store.get("p/ü_t7", ("oracle", "db", "t7")) == Mark("bigint", 7)
+    assert store.get("p/ü_t7", ("oracle", "db", "t8")) is None and store.get("p/ü_t299", ("oracle", "db", "t299")) is None
+    store.put("p/ü_t7", ("oracle", "db", "t7"), "c", Mark("bigint", 70), 1)
+    assert store.lookup("p/ü_t7", ("oracle", "db", "t7")) == (Mark("bigint", 70), 1)
+    assert store.current().count() == 300 and store.log("p/ü_t7").count() == 2
+    store.migrate(legacy, pid, "oracle")  # the same rows again are read once
+    assert store.log().count() == 301
+
+
 def test_register_view_for_sql(spark, store):
     store.put("p", IDENT, "c", Mark("bigint", 3), 1)
     store.register_view("_watermarks_test")
