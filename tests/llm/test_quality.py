@@ -69,6 +69,45 @@ def test_verdicts_are_those_of_a_plain_count(spark):
     assert kept == {i for i, r in got.items() if r.kept}
 
 
+def labelled(spark):
+    """Documents of one table whose labels are all good, bad or trusted, with repeated and unnamed rows among them."""
+    r = random.Random(9)
+    words = [["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)] for _ in range(2)]
+    rows = [(k, " ".join(r.choice(words[k % 3 == 0 if r.random() < 0.7 else r.randrange(2)]) for _ in range(r.randint(0, 40)))) for k in range(400)]
+    rows += [rows[7], rows[7], rows[9], (None, rows[5][1]), (None, None), (900, None), (901, rows[12][1])]
+    return rows, [(k, int(k % 3 != 0), int(k % 7 == 0)) for k in range(400)] + [(None, 1, 0), (5000, 1, 0)]
+
+
+@pytest.mark.parametrize("sent", [True, False])
+def test_every_label_counts(spark, monkeypatch, sent):
+    """Neither the trusted counts nor the threshold come from some of the labelled documents only, however small the caps on them once were."""
+    for cap, n in (("TRUSTED", 20), ("TUNING", 10)):
+        monkeypatch.setattr(Q, cap, n, raising=False)
+    if not sent:
+        monkeypatch.setattr(Q, "SENT_BYTES", 0)
+    rows, marks = labelled(spark)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    good, bad = ({i for i, q, _ in marks if q == want} - {None} for want in (1, 0))
+    scores, least = plain_verdicts(rows, {i for i, q, toxic in marks if q and not toxic} - {None}, good, bad)
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.score, r.kept) for r in Q.judged(docs, labels).collect())
+    failed = [Q.base_failed((c := Q.base_counts(t or ""))[0], c[4]) for _, t in rows]
+    want = sorted((-1 if i is None else i, s, not f and s >= least) for (i, _), s, f in zip(rows, scores, failed))
+    assert [(i, k) for i, _, k in got] == [(i, k) for i, _, k in want]
+    assert [s for _, s, _ in got] == pytest.approx([s for _, s, _ in want], abs=1e-9)
+    assert {True, False} == {k for _, _, k in want}
+    assert sorted((r.doc_id if r.doc_id is not None else -1) for r in Q.kept_documents(docs, labels).collect()) == [i for i, _, k in want if k]
+
+
+def test_ranks_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(Q, "BINS", 4)
+    r = random.Random(11)
+    for values in ([0.25], [0.5] * 40, [r.choice([-1e300, 1e-300, 0.0, 2.0, 2.0000000000000004, 1e300]) for _ in range(80)], [r.gauss(0, 1) for _ in range(200)] + [9.0] * 50):
+        scores = spark.createDataFrame([(v,) for v in values], "score double")
+        for rank in {0, len(values) // 3, len(values) - 1}:
+            assert Q._ranked(scores, rank) == sorted(values)[rank]
+
+
 def test_labelled_documents_are_told_apart(spark):
     sf = SF.replace("0.001", "0.01")
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
