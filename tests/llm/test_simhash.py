@@ -106,3 +106,20 @@ def test_one_of_each_decides_by_row(spark):
     rows = stay.collect()
     assert sorted(((r.doc_id or -1), r.text or "") for r in rows) == sorted([(2, a), (5, c), (7, e), (-1, e), (-1, prose(4, 50)), (-1, prose(4, 50)), (8, "")])
     assert {r["a.b"] for r in rows} == {"own a.b"}
+
+
+def test_few_links_and_rounds_agree(spark, monkeypatch):
+    """A few links are joined on the driver, with no round of jobs; more go by rounds, to the same components."""
+    import random
+
+    from tidemark.llm import common
+
+    r = random.Random(9)
+    links = [(r.randrange(-90, 90), r.randrange(-90, 90)) for _ in range(80)] + [(k, k + 1) for k in r.sample(range(1000, 1060), 60)]
+    df, seen, staged = spark.createDataFrame(links, "a bigint, b bigint"), [], common.staged
+    monkeypatch.setattr(common, "staged", lambda x, name: seen.append(name) or staged(x, name))
+    few = sorted(map(tuple, common.smallest_reachable(df).collect()))
+    assert "large-star" not in seen
+    monkeypatch.setattr(common, "FEW_LINKS", 0, raising=False)
+    assert sorted(map(tuple, common.smallest_reachable(df).collect())) == few
+    assert "large-star" in seen and dict(few)[1060] == 1000
